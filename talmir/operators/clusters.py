@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from talmir.functions import require, unit_draw
 from talmir.operators.joins import HOT_ROWS, join_back
 from talmir.operators.kernels import nearest_centre
+from talmir.session import cut_lineage
 
 # Up to this many clusters, a table with one row per cluster is broadcast, or brought to
 # the driver in one go. Beyond it there is a shuffle, or several rounds.
@@ -63,6 +64,18 @@ def number_copies(points: DataFrame, copy_run: int = COPY_RUN) -> DataFrame:
     return numbered(small).unionByName(numbered(large))
 
 
+def settled_sizes(points: DataFrame, k: int) -> DataFrame:
+    """:func:`cluster_sizes`, computed now, for the several places that need them.
+
+    This pass also checks the labels. So it returns at most k rows, which decides where
+    they are kept.
+    """
+    sizes = cluster_sizes(check_labels(points, k))
+    if k > MAX_SMALL_K:
+        return cut_lineage(sizes)
+    return points.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
+
+
 def with_sizes(
     points: DataFrame, sizes: DataFrame, k: int | None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
@@ -106,11 +119,14 @@ def sample_clusters(
     """
     if k is not None:
         points = check_labels(points, k)
-    columns = points.columns
+    return sample_given_sizes(points, cluster_sizes(points), t, seed, k, id_column)
+
+
+def sample_given_sizes(points, sizes, t, seed, k, id_column) -> DataFrame:
+    """As :func:`sample_clusters`, where the sizes are already there."""
     rows, ids = identified(points, id_column)
-    sized = with_sizes(rows, cluster_sizes(points), k)
-    kept = columns if id_column is not None else ["point", "cluster"]
-    return draw(sized, t, seed, ids).select(*kept)
+    kept = points.columns if id_column is not None else ["point", "cluster"]
+    return draw(with_sizes(rows, sizes, k), t, seed, ids).select(*kept)
 
 
 def sample_sizes(sample: DataFrame) -> DataFrame:
@@ -123,7 +139,7 @@ def pages(table: DataFrame, key: str, size: int = MAX_SMALL_K) -> Iterator[list[
     page = table.orderBy(key).limit(size).collect()
     yield page
     if len(page) == size:
-        table = table.checkpoint()
+        table = cut_lineage(table)
     while len(page) == size:
         page = table.filter(F.col(key) > page[-1][key]).orderBy(key).limit(size).collect()
         if page:
@@ -154,7 +170,7 @@ def assign_nearest(points: DataFrame, rounds) -> DataFrame:
         if not ids:
             raise ValueError("there are no centres to assign points to")
         if best is not None:
-            points = points.checkpoint()
+            points = cut_lineage(points)
         previous = none if best is None else F.col("_best")
         best = nearest_centre(ids, centres)(F.col("point"), previous["d"], previous["cid"])
         points = points.select(*columns, best.alias("_best"))

@@ -8,11 +8,17 @@ here, which decides the run time once there are many points, dimensions or centr
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
+# Sent to the workers with each function, so they need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Rows handled at a time, so that a block of 64-dimensional points fits a core's cache.
 BLOCK_ROWS = 2048
 
@@ -26,6 +32,11 @@ def to_matrix(points: pa.Array, dimensions: int) -> np.ndarray:
     return values.to_numpy(zero_copy_only=False).reshape(len(points), dimensions)
 
 
+def _once(function):
+    # Else a filter on the result would be pushed below it, and compute it a second time.
+    return function.asNondeterministic()
+
+
 def _squared_distances(matrix: np.ndarray, centre: np.ndarray) -> np.ndarray:
     # Differences first: exact zeros stay exact, whatever the size of the coordinates.
     difference = matrix - centre
@@ -54,7 +65,45 @@ def nearest_centre(ids: list[int], centres: list[list[float]]):
                 block_id[closer] = index
         return pa.StructArray.from_arrays([pa.array(best_d), pa.array(best_id)], ["d", "cid"])
 
-    return nearest
+    return _once(nearest)
+
+
+def partial_means(centres: list[list[float]]):
+    """Function of batches of points to (cid, n, mean): one row per centre and partition.
+
+    Each point counts for its nearest centre; the lowest index wins ties.
+    """
+    centre_matrix = np.array(centres, dtype=np.float64)
+
+    def combine(batches):
+        counts = np.zeros(len(centre_matrix), dtype=np.int64)
+        sums = np.zeros_like(centre_matrix)
+        for batch in batches:
+            matrix = to_matrix(batch.column(0), centre_matrix.shape[1])
+            for rows in _blocks(len(matrix)):
+                block = matrix[rows]
+                best_d = np.full(len(block), np.inf)
+                best = np.zeros(len(block), dtype=np.int32)
+                for index, centre in enumerate(centre_matrix):
+                    distance = _squared_distances(block, centre)
+                    closer = distance < best_d
+                    best_d[closer] = distance[closer]
+                    best[closer] = index
+                counts += np.bincount(best, minlength=len(counts))
+                for index in np.unique(best):
+                    sums[index] += block[best == index].sum(axis=0)
+        used = np.flatnonzero(counts)
+        means = sums[used] / counts[used, None]
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(used, pa.int32()),
+                pa.array(counts[used], pa.int64()),
+                pa.array(list(means), pa.list_(pa.float64())),
+            ],
+            ["cid", "n", "mean"],
+        )
+
+    return combine
 
 
 class ClusterStatistics:
@@ -109,7 +158,7 @@ def mean_distances(statistics: ClusterStatistics):
         statistics.fold(matrix, labels, *result)
         return pa.StructArray.from_arrays([pa.array(x) for x in result], ["own", "other"])
 
-    return fold
+    return _once(fold)
 
 
 def trial_mean_distances(statistics: dict[int, ClusterStatistics]):
@@ -130,4 +179,4 @@ def trial_mean_distances(statistics: dict[int, ClusterStatistics]):
             own[rows], other[rows] = part_own, part_other
         return pa.StructArray.from_arrays([pa.array(own), pa.array(other)], ["own", "other"])
 
-    return fold
+    return _once(fold)

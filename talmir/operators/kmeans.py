@@ -6,7 +6,6 @@ through the driver between steps; the points do not.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
@@ -14,7 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talmir.functions.expressions import hash_key
-from talmir.operators.clusters import assign_clusters, assign_nearest, check_k, pages
+from talmir.operators.clusters import assign_clusters, check_k, pages
+from talmir.operators.kernels import partial_means
 from talmir.operators.silhouette import approx_silhouette
 
 CENTRE_SCHEMA = "cid int, centre array<double>"
@@ -41,34 +41,34 @@ def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None
     return [row["point"] for row in rows]
 
 
+def _step(points: DataFrame, centres: list[list[float]]) -> DataFrame:
+    """(cid, mean) of the points nearest to each centre; no row where there are none."""
+    partial = points.select("point").mapInArrow(
+        partial_means(centres), "cid int, n bigint, mean array<double>"
+    )
+    mean = Summarizer.mean(array_to_vector(F.col("mean")), F.col("n").cast("double"))
+    return partial.groupBy("cid").agg(vector_to_array(mean).alias("mean"))
+
+
 def lloyd_kmeans(
     points: DataFrame, k: int, iters: int, seed: int, id_column: str | None = None
 ) -> DataFrame:
     """Centres after ``iters`` steps from k points picked by hash; repeatable anywhere.
 
-    A centre that no point is nearest to stays where it is. Every step is one pass over
-    the points and a shuffle of one partial mean per task and centre.
+    A centre that no point is nearest to stays where it is. A step is one pass over the
+    points and a shuffle of one mean per centre and partition, so persist the points first
+    if they are slow to read.
     """
     check_k(k)
-    cached = points.storageLevel.useMemory or points.storageLevel.useDisk
-    if not cached:
-        points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        centres = _initial_centres(points, k, seed, id_column)
-        for _ in range(iters):
-            assigned = assign_nearest(points.select("point"), [(range(len(centres)), centres)])
-            mean = Summarizer.mean(array_to_vector(F.col("point")))
-            means = assigned.groupBy("cluster").agg(vector_to_array(mean).alias("mean"))
-            moved = list(centres)
-            for page in pages(means, "cluster"):
-                for row in page:
-                    moved[row["cluster"]] = row["mean"]
-            if moved == centres:
-                break
-            centres = moved
-    finally:
-        if not cached:
-            points.unpersist()
+    centres = _initial_centres(points, k, seed, id_column)
+    for _ in range(iters):
+        moved = list(centres)
+        for page in pages(_step(points, centres), "cid"):
+            for row in page:
+                moved[row["cid"]] = row["mean"]
+        if moved == centres:
+            break
+        centres = moved
     return _centres(points, centres)
 
 
@@ -84,18 +84,20 @@ def k_sweep(
 ) -> DataFrame:
     """(k, n, silhouette) for each k from kstart to kstart + h - 1.
 
-    About m points are sampled in all, so t = m / k, which need not be whole. Each k's
-    assignment is kept while its silhouette is computed, then released. ``trainer`` is
-    :func:`lloyd_kmeans` or :func:`kmeans`.
+    About m points are sampled in all, so t = m / k, which need not be whole. ``trainer``
+    is :func:`lloyd_kmeans` or :func:`kmeans`.
+
+    The assignment of one k is not stored. Each of the three passes over it finds the
+    nearest centres again, which takes about as long as to write and read a copy of all
+    the points, and needs no room for one.
     """
     check_k(kstart, least=2)
     options = {"id_column": id_column} if trainer is lloyd_kmeans else {}
     results = []
     for k in range(kstart, kstart + h):
         centres = trainer(points, k, iters, seed, **options)
-        assigned = assign_clusters(points, centres).persist(StorageLevel.MEMORY_AND_DISK)
+        assigned = assign_clusters(points, centres)
         score = approx_silhouette(assigned, m / k, k, seed, id_column).first()
-        assigned.unpersist()
         results.append((k, score["n"], score["silhouette"]))
     schema = "k int, n bigint, silhouette double"
     return points.sparkSession.createDataFrame(results, schema)

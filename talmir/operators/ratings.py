@@ -77,9 +77,7 @@ def reviews_by_user(
     bound. Equal reviews are counted before anything is collected.
     """
     bag = ratings.groupBy("user", "product", "rating").agg(F.count("*").alias("copies"))
-    totals = bag.groupBy("user").agg(
-        F.count("*").alias("n"), F.sum("copies").alias("n_all")
-    )
+    totals = bag.groupBy("user").agg(F.sum("copies").alias("n"))
     spread = join_back(bag, totals, "user", hot_rows=hot_rows)
     parts = F.ceil(F.col("n") / max_reviews)
     part = F.floor(unit_draw(0, F.col("product"), F.col("rating")) * parts).cast("int")

@@ -27,10 +27,12 @@ from talmir.operators.clusters import (
     draw,
     identified,
     pages,
-    sample_clusters,
+    sample_given_sizes,
+    settled_sizes,
     with_sizes,
 )
 from talmir.operators.kernels import ClusterStatistics, mean_distances, trial_mean_distances
+from talmir.session import cut_lineage
 
 
 def _summaries(sample: DataFrame, *keys: str) -> DataFrame:
@@ -69,6 +71,16 @@ def cluster_statistics(points: DataFrame, sample: DataFrame, t: float, k: int) -
     return _statistics(cluster_sizes(check_labels(points, k)), sample, t, "cluster")
 
 
+def _sampled(
+    points: DataFrame, t: float, k: int, seed: int, id_column: str | None
+) -> tuple[DataFrame, DataFrame]:
+    """A sample, and the statistics of the clusters against it, from one pass for sizes."""
+    check_k(k, least=2)
+    sizes = settled_sizes(points, k)
+    sample = sample_given_sizes(points, sizes, t, seed, k, id_column)
+    return sample, _statistics(sizes, sample, t, "cluster")
+
+
 def _coefficient(a: Column, b: Column) -> Column:
     """NULL where there is no other cluster."""
     larger = F.greatest(a, b)
@@ -83,7 +95,7 @@ def _score(points: DataFrame, rounds: Iterator[ClusterStatistics]) -> DataFrame:
     scored = False
     for statistics in rounds:
         if scored:
-            points = points.checkpoint()
+            points = cut_lineage(points)
             own, other = F.col("_m")["own"], F.col("_m")["other"]
         fold = mean_distances(statistics)(F.col("point"), F.col("cluster"), own, other)
         points = points.select(*columns, fold.alias("_m"))
@@ -121,18 +133,16 @@ def approx_silhouette(
     points: DataFrame, t: float, k: int, seed: int, id_column: str | None = None
 ) -> DataFrame:
     """One row (n, silhouette): mean over all points against a sample of them."""
-    check_k(k, least=2)
-    sample = sample_clusters(points, t, seed, k, id_column)
-    return _mean_score(silhouette_points(points, sample, t, k))
+    _, statistics = _sampled(points, t, k, seed, id_column)
+    return _mean_score(score_points(points, statistics))
 
 
 def exact_sample_silhouette(
     points: DataFrame, t: float, k: int, seed: int, id_column: str | None = None
 ) -> DataFrame:
     """One row (n, silhouette): mean over the sampled points only, same denominators."""
-    check_k(k, least=2)
-    sample = sample_clusters(points, t, seed, k, id_column)
-    return _mean_score(score_points(sample, cluster_statistics(points, sample, t, k)))
+    sample, statistics = _sampled(points, t, k, seed, id_column)
+    return _mean_score(score_points(sample, statistics))
 
 
 def silhouette_trials(
@@ -153,7 +163,7 @@ def silhouette_trials(
     if trials * k > max_rows:
         return _trials_one_by_one(points, t, k, trials, id_column)
 
-    sizes = cluster_sizes(check_labels(points, k))
+    sizes = settled_sizes(points, k)
     rows, ids = identified(points, id_column)
     numbers = F.explode(F.sequence(F.lit(0), F.lit(trials - 1))).alias("trial")
     candidates = with_sizes(rows, sizes, k).select("*", numbers)
@@ -190,8 +200,7 @@ def silhouette_trials(
 def _trials_one_by_one(points, t, k, trials, id_column) -> DataFrame:
     result = None
     for trial in range(trials):
-        sample = sample_clusters(points, t, trial, k, id_column)
-        statistics = cluster_statistics(points, sample, t, k)
+        sample, statistics = _sampled(points, t, k, trial, id_column)
         approx = _mean_score(score_points(points, statistics))
         exact = _mean_score(score_points(sample, statistics))
         both = [

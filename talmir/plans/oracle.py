@@ -167,7 +167,7 @@ SELECT avg(length(word)) AS avg_distinct_word_length FROM (SELECT DISTINCT word
     "truncated_rating_sum": """
 SELECT event_type, sum(trunc(value)::BIGINT)::BIGINT AS total FROM events GROUP BY event_type""",
     "reviews_by_user": _reviews("1"),
-    "reviews_by_user_parts": _reviews("""ceil(count(*) OVER (PARTITION BY "user") / 16.0)"""),
+    "reviews_by_user_parts": _reviews("""ceil(sum(copies) OVER (PARTITION BY "user") / 16.0)"""),
     "user_totals": f"""WITH {RATINGS}
 SELECT "user", product, (sum(trunc(rating)) OVER w)::BIGINT AS total,
        count(*) OVER w AS n, rating

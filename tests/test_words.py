@@ -1,0 +1,87 @@
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from talmir.operators import words
+from tests.plans import plan, shuffles, uses_python
+
+TEXTS = ["a  b ", "", "b a"]
+
+
+def docs(spark, texts):
+    return spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+
+
+def counts(df):
+    rows = [tuple(r) for r in df.collect()]
+    assert len({word for word, _ in rows}) == len(rows)
+    return dict(rows)
+
+
+def test_words_are_split_on_single_spaces(spark):
+    df = docs(spark, TEXTS)
+    assert counts(words.word_count(df)) == {"a": 2, "b": 2, "": 3}
+    assert words.num_distinct_words(df).first()[0] == 3
+    assert words.avg_distinct_word_length(df).first()[0] == pytest.approx(2 / 3)
+    assert words.num_documents(df).first()[0] == 3
+
+
+def test_counts_per_document(spark):
+    rows = {tuple(r) for r in words.doc_word_count(docs(spark, TEXTS)).collect()}
+    assert rows == {
+        (0, "a", 1), (0, "", 2), (0, "b", 1), (1, "", 1), (2, "b", 1), (2, "a", 1),
+    }
+
+
+def test_case_line_ends_and_wide_characters(spark):
+    df = docs(spark, ["Pen pen", "one\ntwo", "\U0001f600\U0001f600"])
+    assert counts(words.word_count(df))["one\ntwo"] == 1
+    assert counts(words.word_count(df))["Pen"] == 1
+    # 3 + 3 + 7 + 2 code points in 4 words
+    assert words.avg_distinct_word_length(df).first()[0] == 15 / 4
+
+
+@pytest.mark.parametrize("k", [1, 8, 1000])
+@pytest.mark.parametrize("partitions", [1, 4, 16])
+def test_all_forms_agree(spark, k, partitions):
+    texts = [f"w{i % 7} w{i % 3}  x" for i in range(60)] + ["same same"] * 40
+    df = docs(spark, texts).repartition(partitions)
+    expected = Counter(w for t in texts for w in t.split(" "))
+    assert counts(words.word_count(df)) == expected
+    assert counts(words.word_count_salted(df, k)) == expected
+    assert counts(words.word_count_salted_groupby(df, k)) == expected
+    assert counts(words.word_count_by_partition(df)) == expected
+
+
+@settings(
+    max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(st.text(alphabet="aB \n\té", max_size=12), min_size=1, max_size=6))
+def test_counts_equal_those_of_plain_python(spark, texts):
+    expected = Counter(w for t in texts for w in t.split(" "))
+    df = docs(spark, texts)
+    assert counts(words.word_count(df)) == expected
+    assert counts(words.word_count_salted(df, 3)) == expected
+
+
+@pytest.mark.parametrize("operator", [words.word_count_salted, words.word_count_salted_groupby])
+def test_no_salts_are_rejected(spark, operator):
+    with pytest.raises(ValueError, match="at least 1"):
+        operator(docs(spark, TEXTS), 0)
+
+
+def test_plans(spark):
+    df = docs(spark, TEXTS)
+    for counted, expected in [
+        (words.word_count(df), 1),
+        (words.word_count_by_partition(df), 1),
+        (words.doc_word_count(df), 1),
+        (words.word_count_salted(df, 8), 2),
+        (words.word_count_salted_groupby(df, 8), 3),
+    ]:
+        text = plan(counted)
+        assert shuffles(text) == expected
+        assert "partial_" in text
+        assert not uses_python(text)
