@@ -113,8 +113,9 @@ def sample_clusters(
 ) -> DataFrame:
     """Each point independently with probability min(1, t / size of its cluster).
 
-    The same for every partitioning. Without an id column, a point is identified by its
-    values and its number among identical rows, so copies are drawn independently.
+    The same for every partitioning. An id column must tell every row from the others.
+    Without one, a point is identified by its values and its number among identical rows,
+    so copies are drawn independently, and only ``point`` and ``cluster`` are returned.
     ``k`` is the number of clusters; without it none is assumed to be small.
     """
     if k is not None:

@@ -13,27 +13,27 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from talmir.functions.expressions import hash_key
-from talmir.operators.clusters import assign_clusters, check_k, pages
+from talmir.operators.clusters import assign_nearest, check_k, pages
 from talmir.operators.kernels import partial_means
 from talmir.operators.silhouette import approx_silhouette
 
 CENTRE_SCHEMA = "cid int, centre array<double>"
 
 
-def _centres(points: DataFrame, centres: list[list[float]]) -> DataFrame:
+Matrix = list[list[float]]
+
+
+def _centres(points: DataFrame, centres: Matrix) -> DataFrame:
     return points.sparkSession.createDataFrame(list(enumerate(centres)), CENTRE_SCHEMA)
 
 
-def kmeans(points: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
-    """Centres by Spark ML, from random points. There may be fewer than k."""
-    check_k(k)
+def _ml_centres(points: DataFrame, k: int, iters: int, seed: int, id_column=None) -> Matrix:
     vectors = points.select(array_to_vector(F.col("point")).alias("features"))
     trainer = KMeans(k=k, maxIter=iters, initMode="random", seed=seed)
-    centres = trainer.fit(vectors).clusterCenters()
-    return _centres(points, [centre.tolist() for centre in centres])
+    return [centre.tolist() for centre in trainer.fit(vectors).clusterCenters()]
 
 
-def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None):
+def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None) -> Matrix:
     name = id_column or "point"
     text = F.col(name) if id_column else F.concat_ws(",", F.col(name).cast("array<string>"))
     drawn = points.select("point", F.col(name).alias("_tie"), hash_key(seed, text).alias("_hash"))
@@ -41,7 +41,7 @@ def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None
     return [row["point"] for row in rows]
 
 
-def _step(points: DataFrame, centres: list[list[float]]) -> DataFrame:
+def _step(points: DataFrame, centres: Matrix) -> DataFrame:
     """(cid, mean) of the points nearest to each centre; no row where there are none."""
     partial = points.select("point").mapInArrow(
         partial_means(centres), "cid int, n bigint, mean array<double>"
@@ -50,6 +50,25 @@ def _step(points: DataFrame, centres: list[list[float]]) -> DataFrame:
     return partial.groupBy("cid").agg(vector_to_array(mean).alias("mean"))
 
 
+def _lloyd_centres(points: DataFrame, k: int, iters: int, seed: int, id_column=None) -> Matrix:
+    centres = _initial_centres(points, k, seed, id_column)
+    for _ in range(iters):
+        moved = list(centres)
+        for page in pages(_step(points, centres), "cid"):
+            for row in page:
+                moved[row["cid"]] = row["mean"]
+        if moved == centres:
+            break
+        centres = moved
+    return centres
+
+
+def kmeans(points: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
+    """Centres by Spark ML, from random points. There may be fewer than k."""
+    check_k(k)
+    return _centres(points, _ml_centres(points, k, iters, seed))
+
+
 def lloyd_kmeans(
     points: DataFrame, k: int, iters: int, seed: int, id_column: str | None = None
 ) -> DataFrame:
@@ -60,16 +79,7 @@ def lloyd_kmeans(
     if they are slow to read.
     """
     check_k(k)
-    centres = _initial_centres(points, k, seed, id_column)
-    for _ in range(iters):
-        moved = list(centres)
-        for page in pages(_step(points, centres), "cid"):
-            for row in page:
-                moved[row["cid"]] = row["mean"]
-        if moved == centres:
-            break
-        centres = moved
-    return _centres(points, centres)
+    return _centres(points, _lloyd_centres(points, k, iters, seed, id_column))
 
 
 def k_sweep(
@@ -80,23 +90,23 @@ def k_sweep(
     m: float,
     seed: int,
     id_column: str | None = None,
-    trainer=lloyd_kmeans,
+    random_start: bool = False,
 ) -> DataFrame:
     """(k, n, silhouette) for each k from kstart to kstart + h - 1.
 
-    About m points are sampled in all, so t = m / k, which need not be whole. ``trainer``
-    is :func:`lloyd_kmeans` or :func:`kmeans`.
+    About m points are sampled in all, so t = m / k, which need not be whole. Centres are
+    those of :func:`kmeans` with ``random_start``, else of :func:`lloyd_kmeans`.
 
     The assignment of one k is not stored. Each of the three passes over it finds the
     nearest centres again, which takes about as long as to write and read a copy of all
     the points, and needs no room for one.
     """
     check_k(kstart, least=2)
-    options = {"id_column": id_column} if trainer is lloyd_kmeans else {}
+    train = _ml_centres if random_start else _lloyd_centres
     results = []
     for k in range(kstart, kstart + h):
-        centres = trainer(points, k, iters, seed, **options)
-        assigned = assign_clusters(points, centres)
+        centres = train(points, k, iters, seed, id_column)
+        assigned = assign_nearest(points, [(range(len(centres)), centres)])
         score = approx_silhouette(assigned, m / k, k, seed, id_column).first()
         results.append((k, score["n"], score["silhouette"]))
     schema = "k int, n bigint, silhouette double"

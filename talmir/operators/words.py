@@ -49,9 +49,14 @@ def word_count_salted(
 def word_count_salted_groupby(
     docs: DataFrame, k: int, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(word, cnt) in two rounds; each per-document count gets one of k salts."""
-    counts = doc_word_count(docs, doc, text).select("word", "cnt", _salt(k, "word", doc, "cnt"))
-    return _sum_per_word(counts.groupBy("salt", "word").agg(F.sum("cnt").alias("cnt")))
+    """(word, cnt) in two rounds; the salt is drawn by the grouping, per document and word.
+
+    All occurrences of a word in a document share a salt, so that the map side has the
+    count per document combined before it shuffles. Counting per document first, as
+    :func:`doc_word_count` does, would add a shuffle of every such pair.
+    """
+    grouped = _words(docs, text, doc).groupBy(_salt(k, doc, "word"), "word")
+    return _sum_per_word(grouped.agg(F.count("*").alias("cnt")))
 
 
 def word_count_by_partition(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from talmir.sources import spread
+
 LABELS = 10  # embeddings.label is 0 to 9
 
 
@@ -15,7 +17,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", "text")
+    return spread(table(spark, folder, "documents").select("doc_id", "text"))
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:

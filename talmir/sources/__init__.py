@@ -10,6 +10,7 @@ from talmir.sources.text import (
     split_bad_labelled_points,
     split_bad_points,
     split_bad_ratings,
+    spread,
     write_result,
 )
 
@@ -25,5 +26,6 @@ __all__ = [
     "split_bad_labelled_points",
     "split_bad_points",
     "split_bad_ratings",
+    "spread",
     "write_result",
 ]

@@ -29,6 +29,15 @@ def partition_into(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """One partition per core, for an input with fewer splits than there are cores.
+
+    Only small inputs have so few, so the shuffle is small too. Others stay as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return partition_into(df, cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_result(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a result as Parquet, one file per partition."""
     df.write.mode(mode).parquet(path)

@@ -79,7 +79,7 @@ def test_plans(spark):
         (words.word_count_by_partition(df), 1),
         (words.doc_word_count(df), 1),
         (words.word_count_salted(df, 8), 2),
-        (words.word_count_salted_groupby(df, 8), 3),
+        (words.word_count_salted_groupby(df, 8), 2),
     ]:
         text = plan(counted)
         assert shuffles(text) == expected
