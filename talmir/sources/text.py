@@ -7,6 +7,8 @@ Columns other than the text column are carried through.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ from talmir.functions import require
 # Fixed values of the file formats: field counts, separators and white space.
 RATING_FIELDS = 4
 COMMA = ","
-SPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
-NOT_SPACE = r"(?U)[^\s\x1c-\x1f]"
+ASCII_SPACE_RUN = r"[\t-\r\x1c-\x20]+"
+OTHER_SPACES = "\x85\xa0                　"
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -43,93 +45,128 @@ def write_result(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.write.mode(mode).parquet(path)
 
 
-def _number(text: Column) -> Column:
-    return text.try_cast("double")
+def _doubles(texts: Column) -> Column:
+    """As numbers, with NULL for a text that is none."""
+    return texts.try_cast("array<double>")
 
 
-def _all_numbers(texts: Column) -> Column:
-    return F.forall(texts, lambda x: _number(x).isNotNull())
+def _complete(numbers: Column) -> Column:
+    return (F.size(numbers) > 0) & F.forall(numbers, lambda x: x.isNotNull())
 
 
-def _rating_fields(text: Column) -> tuple[Column, dict[str, Column]]:
-    # Plain commas: quotes are ordinary characters here, so no CSV reader.
-    fields = F.split(text, COMMA, -1)
-    rating = _number(F.get(fields, F.lit(2)))
-    # A rating must have a whole part; NaN and infinities have none.
-    valid = (F.size(fields) == RATING_FIELDS) & (F.abs(rating) < F.lit(2.0**63))
-    return valid, {
+class _Format:
+    """How a line becomes columns.
+
+    ``parse`` does the costly part, once per line. ``valid`` and ``columns`` refer to what it
+    returns by name.
+    """
+
+    def __init__(self, parse, valid: Callable[[], Column], columns: Callable[[], dict]):
+        self.parse, self.valid, self.columns = parse, valid, columns
+
+
+def _rating_columns() -> dict[str, Column]:
+    fields = F.col("_fields")
+    return {
         "product": F.get(fields, F.lit(0)),
         "user": F.get(fields, F.lit(1)),
-        "rating": rating,
+        "rating": F.get(fields, F.lit(2)).try_cast("double"),
         "ts": F.get(fields, F.lit(3)).try_cast("bigint"),
     }
 
 
-def _labelled_point_fields(text: Column) -> tuple[Column, dict[str, Column]]:
+def _is_rating() -> Column:
+    # A rating must have a whole part; NaN and infinities have none.
+    in_range = F.abs(_rating_columns()["rating"]) < F.lit(2.0**63)
+    return (F.size("_fields") == RATING_FIELDS) & in_range
+
+
+def _parse_labelled_point(text: Column) -> dict[str, Column]:
     fields = F.split(text, COMMA, -1)
-    coordinates = F.slice(fields, 1, F.size(fields) - 1)
-    label = F.substring_index(text, COMMA, -1).try_cast("int")
-    valid = label.isNotNull() & F.contains(text, F.lit(COMMA)) & _all_numbers(coordinates)
-    return valid, {"point": F.transform(coordinates, _number), "cluster": label}
+    return {
+        "point": _doubles(F.slice(fields, 1, F.size(fields) - 1)),
+        "cluster": F.substring_index(text, COMMA, -1).try_cast("int"),
+    }
 
 
-def _point_fields(text: Column) -> tuple[Column, dict[str, Column]]:
+def _parse_point(text: Column) -> dict[str, Column]:
+    # Nearly all lines are ASCII, for which a look at two lengths is enough.
+    ascii_only = F.length(text) == F.octet_length(text)
+    spaces = F.translate(text, OTHER_SPACES, " " * len(OTHER_SPACES))
+    fields = F.split(F.when(ascii_only, text).otherwise(spaces), ASCII_SPACE_RUN, -1)
     # Surrounding white space leaves an empty text at either end.
-    coordinates = F.filter(F.split(text, SPACE_RUN, -1), lambda x: x != "")
-    valid = F.rlike(text, F.lit(NOT_SPACE)) & _all_numbers(coordinates)
-    return valid, {"point": F.transform(coordinates, _number)}
+    return {"point": _doubles(F.array_remove(fields, ""))}
+
+
+# Plain commas: quotes are ordinary characters here, so no CSV reader.
+RATING = _Format(lambda text: {"_fields": F.split(text, COMMA, -1)}, _is_rating, _rating_columns)
+LABELLED_POINT = _Format(
+    _parse_labelled_point,
+    lambda: F.col("cluster").isNotNull() & _complete(F.col("point")),
+    lambda: {"point": F.col("point"), "cluster": F.col("cluster")},
+)
+POINT = _Format(
+    _parse_point, lambda: _complete(F.col("point")), lambda: {"point": F.col("point")}
+)
+
+
+def _parsed(lines: DataFrame, column: str, line: _Format) -> DataFrame:
+    # Through a generator of one row, as a filter on its columns is not pushed below it.
+    # So each line is parsed once, and checked even where only some columns are used.
+    values = line.parse(F.col(column))
+    row = F.struct(*[value.alias(name) for name, value in values.items()])
+    return lines.select("*", F.inline(F.array(row)))
 
 
-def _columns(lines: DataFrame, column: str, fields: dict[str, Column]) -> list[Column]:
+def _columns(lines: DataFrame, column: str, line: _Format) -> list[Column]:
     kept = [F.col(name) for name in lines.columns if name != column]
-    return kept + [value.alias(name) for name, value in fields.items()]
+    return kept + [value.alias(name) for name, value in line.columns().items()]
 
 
-def _strict(lines: DataFrame, column: str, parser) -> DataFrame:
-    valid, fields = parser(F.col(column))
-    # A filter, so that the check survives column pruning (a bare count() included).
+def _strict(lines: DataFrame, column: str, line: _Format) -> DataFrame:
     message = F.concat(F.lit("malformed line: "), F.col(column))
-    checked = lines.filter(require(F.coalesce(valid, F.lit(False)), message))
-    return checked.select(*_columns(lines, column, fields))
+    valid = F.coalesce(line.valid(), F.lit(False))
+    checked = _parsed(lines, column, line).filter(require(valid, message))
+    return checked.select(*_columns(lines, column, line))
 
 
-def _permissive(lines: DataFrame, column: str, parser) -> tuple[DataFrame, DataFrame]:
-    valid, fields = parser(F.col(column))
-    valid = F.coalesce(valid, F.lit(False))
-    good = lines.filter(valid).select(*_columns(lines, column, fields))
-    return good, lines.filter(~valid)
+def _permissive(lines: DataFrame, column: str, line: _Format) -> tuple[DataFrame, DataFrame]:
+    parsed = _parsed(lines, column, line)
+    valid = F.coalesce(line.valid(), F.lit(False))
+    good = parsed.filter(valid).select(*_columns(lines, column, line))
+    return good, parsed.filter(~valid).select(*lines.columns)
 
 
 def parse_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
     """``product,user,rating,timestamp`` lines to (product, user, rating, ts)."""
-    return _strict(lines, column, _rating_fields)
+    return _strict(lines, column, RATING)
 
 
 def split_bad_ratings(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_ratings`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, _rating_fields)
+    return _permissive(lines, column, RATING)
 
 
 def parse_labelled_points(lines: DataFrame, column: str = "value") -> DataFrame:
     """``x1,...,xd,label`` lines to (point, cluster)."""
-    return _strict(lines, column, _labelled_point_fields)
+    return _strict(lines, column, LABELLED_POINT)
 
 
 def split_bad_labelled_points(
     lines: DataFrame, column: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_labelled_points`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, _labelled_point_fields)
+    return _permissive(lines, column, LABELLED_POINT)
 
 
 def parse_points(lines: DataFrame, column: str = "value") -> DataFrame:
     """Whitespace-separated coordinates to (point). A blank line is malformed."""
-    return _strict(lines, column, _point_fields)
+    return _strict(lines, column, POINT)
 
 
 def split_bad_points(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_points`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, _point_fields)
+    return _permissive(lines, column, POINT)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:

@@ -75,7 +75,14 @@ def test_points_split_on_any_white_space(spark, tmp_path):
     assert [r.point for r in read_points(spark, str(tmp_path)).collect()] == [[1.0, 2.0]] * 3
 
 
-@pytest.mark.parametrize("bad", ["", "  ", "1 x"])
+def test_white_space_is_the_same_as_in_plain_python(spark):
+    spaces = [chr(i) for i in range(0x3100) if chr(i).isspace()]
+    texts = [f"{c}1{c}{c}2{c}" for c in spaces]
+    points = parse_points(lines(spark, *texts)).collect()
+    assert [r.point for r in points] == [[float(x) for x in t.split()] for t in texts]
+
+
+@pytest.mark.parametrize("bad", ["", "  ", "1 x", "1\u200b2"])
 def test_bad_points(spark, bad):
     with pytest.raises(Exception, match="malformed line"):
         parse_points(lines(spark, bad)).count()
@@ -83,6 +90,17 @@ def test_bad_points(spark, bad):
     assert (good.count(), rejected.count()) == (1, 1)
 
 
+def test_lines_are_parsed_once(spark):
+    for parsed in (
+        parse_points(lines(spark, "1 2")),
+        parse_labelled_points(lines(spark, "1,2,0")),
+        parse_ratings(lines(spark, "a,b,1,2")),
+    ):
+        optimized = parsed._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate inline" in optimized
+        assert "split(" not in optimized.split("Generate inline")[0]
+
+
 def test_other_columns_are_carried_through(spark):
     df = lines(spark, "1 2").withColumn("id", F.lit(5))
     assert parse_points(df).columns == ["id", "point"]
