@@ -18,7 +18,10 @@ from talmir.functions import require
 RATING_FIELDS = 4
 COMMA = ","
 ASCII_SPACE_RUN = r"[\t-\r\x1c-\x20]+"
-OTHER_SPACES = "\x85\xa0                　"
+OTHER_SPACES = (
+    "\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -32,7 +35,7 @@ def partition_into(df: DataFrame, n: int) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """One partition per core, for an input with fewer splits than there are cores.
+    """One partition per core, for a table as read that has fewer splits than there are cores.
 
     Only small inputs have so few, so the shuffle is small too. Others stay as they are.
     """
