@@ -2,8 +2,9 @@
 
 Spark partitions the points and hands each task its rows in Arrow batches. Only the point
 (and a running best) crosses to Python; every other column stays in the JVM. The same sums
-written with higher-order functions cost about 200 ns per coordinate, against about 1 ns
-here, which decides the run time once there are many points, dimensions or centres.
+written with higher-order functions cost about 200 ns of a core per coordinate, against
+about 2 ns here (and 3 us to hand over a point of 64 dimensions), which decides the run time
+once there are many points, dimensions or centres.
 """
 
 from __future__ import annotations
