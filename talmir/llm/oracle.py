@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import math
+
+from talmir.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+
 WARC = """WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS h FROM pages),
 q AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS last FROM p)
@@ -60,7 +64,56 @@ SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesce(
   sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
 FROM d LEFT JOIN g USING (doc_id)"""
 
+SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _words(text: str) -> str:
+    split = f"string_split_regex({_LOWER.format(text)}, '{SEPARATORS}')"
+    return f"list_filter({split}, lambda x: x <> '')"
+
+
+def _phrases() -> str:
+    cases = []
+    for phrase, label in PHRASES.items():
+        parts = phrase.split(" ")
+        same = " AND ".join(f"w[i + {j + 1}] = '{x}'" for j, x in enumerate(parts))
+        cases.append(f"WHEN {same} THEN '{label}'")
+    return "CASE " + " ".join(cases) + " END"
+
+
+def _templates() -> str:
+    rows = []
+    for label, text in TEMPLATES.items():
+        least = math.ceil(THRESHOLD * len(set(text.split())) - 1e-9)
+        listed = ", ".join(f"'{w}'" for w in sorted(set(text.split())))
+        rows.append(f"('{label}', [{listed}], {least})")
+    return "t(label, words, least) AS (VALUES " + ", ".join(rows) + ")"
+
+
+LICENSES = f"""WITH {_templates()},
+d AS (SELECT doc_id, coalesce(text, '') AS text, {_words("coalesce(text, '')")} AS w FROM documents),
+p AS (
+  SELECT doc_id, i, {_phrases()} AS label
+  FROM (SELECT doc_id, w, unnest(range(len(w))) AS i FROM d)),
+b AS (
+  SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last,
+    list_sort(list_distinct(list(label))) AS labels
+  FROM p WHERE label IS NOT NULL GROUP BY doc_id),
+m AS (
+  SELECT doc_id, label, max(len(list_intersect(bw, words)) / len(words)) AS score
+  FROM (SELECT doc_id, {_words("line")} AS bw
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)), t
+  WHERE len(list_intersect(bw, words)) >= least GROUP BY doc_id, label),
+ml AS (SELECT doc_id, list(label) AS labels, max(score) AS score FROM m GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first::BIGINT AS first_word,
+  last::BIGINT AS last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(ml.labels, [])))), ',') AS labels,
+  CASE WHEN n > 0 THEN 1.0 ELSE coalesce(ml.score, 0.0) END::DOUBLE AS score
+FROM d LEFT JOIN b USING (doc_id) LEFT JOIN ml USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op2_secret_scan": SECRETS,
+    "op3_license_scan": LICENSES,
 }

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talmir.llm import secrets, warc
-from talmir.llm.common import table
+from talmir.llm import licenses, secrets, sharding, warc
+from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
 
@@ -64,7 +64,51 @@ def op2_secret_scan(spark, folder):
     )
 
 
+def op3_license_scan(spark, folder):
+    """License phrases and templates in all documents."""
+    found = licenses.scan_licenses(table(spark, folder, "documents").select("doc_id", "text"))
+    base = F.array_distinct(F.col("places.label"))
+    every = F.array_union(base, F.col("matches.label"))
+    score = F.coalesce(F.array_max("matches.containment"), F.lit(0.0))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("places").cast("bigint").alias("n_base"),
+        F.array_min("places.place").alias("first_word"),
+        F.array_max("places.place").alias("last_word"),
+        F.array_join(F.array_sort(base), ",").alias("base_labels"),
+        F.array_join(F.array_sort(every), ",").alias("labels"),
+        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(score).alias("score"),
+    )
+
+
+SHARDS = 24
+
+
+def op5_sharding(spark, folder):
+    """All documents in 24 shards of equal numbers of rows, copies kept together."""
+    text = text_or_empty()
+    facts = table(spark, folder, "documents").select(
+        "doc_id",
+        (F.octet_length(text) + 8).cast("bigint").alias("size"),
+        F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.unhex(F.md5(text.cast("binary"))).alias("copies"),
+    )
+    sharded = sharding.shard_rows(stored(facts, "facts"), "copies", ["doc_id", "copies"], SHARDS)
+    return sharded.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
+    "op3_license_scan": op3_license_scan,
+    "op5_sharding": op5_sharding,
 }
