@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talmir.llm import licenses, secrets, sharding, warc
+from talmir.llm import licenses, secrets, sharding, simhash, warc
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -106,9 +106,26 @@ def op5_sharding(spark, folder):
     )
 
 
+SIMHASH_SHINGLE, SIMHASH_BITS = 3, 3
+
+
+def op7_simhash(spark, folder):
+    """All documents with their fingerprint and the smallest document they are linked to."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    groups = simhash.simhash_groups(
+        documents, "doc_id", "text", SIMHASH_SHINGLE, SIMHASH_BITS
+    )
+    return groups.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"),
+        F.col("component").alias("component_id"),
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
     "op3_license_scan": op3_license_scan,
     "op5_sharding": op5_sharding,
+    "op7_simhash": op7_simhash,
 }
