@@ -131,12 +131,12 @@ def update_ledger(
         .groupBy("blob")
         .agg(F.collect_set("rule").alias("seen"))
     )
-    done = seen.filter(F.size("seen") == len(rules))
-    # The join with complete blobs comes first: on a later run it leaves few texts to shuffle.
-    unseen = blobs.join(done, "blob", "left_anti").groupBy("blob").agg(F.first("content").alias("content"))
-    pending = unseen.join(seen, "blob", "left").select(
+    # Copies are combined in the tasks that read them, so a very frequent text is not shuffled.
+    texts = blobs.groupBy("blob").agg(F.first("content").alias("content"))
+    pending = texts.join(seen, "blob", "left").select(
         "blob", "content", F.array_except(names, F.coalesce("seen", F.array())).alias("scanned")
     )
+    pending = pending.filter(F.size("scanned") > 0)
     nothing = F.array()
     found = [
         F.when(F.array_contains("scanned", rule.name), _spans(F.col("content"), rule, i)).otherwise(

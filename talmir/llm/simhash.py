@@ -75,9 +75,10 @@ def fingerprint_column(text: Column, shingle: int = 3) -> Column:
     return compute.asNondeterministic()(text)
 
 
-def _mask(start: int, size: int) -> int:
-    value = ((1 << size) - 1) << start
-    return value - (1 << 64) if value >= 1 << 63 else value
+def _mask(size: int, deleted: int = -1) -> int:
+    """The lowest bits set, but for the deleted one, as a signed number."""
+    value = (1 << size) - 1 - (1 << deleted if deleted >= 0 else 0)
+    return value - (1 << 64) if value >> 63 else value
 
 
 def _segments(start: int, size: int, max_bits: int) -> list[tuple[int, int]]:
@@ -88,7 +89,7 @@ def _segments(start: int, size: int, max_bits: int) -> list[tuple[int, int]]:
 
 
 def _part(start: int, size: int) -> Column:
-    return F.shiftrightunsigned("value", start).bitwiseAND(F.lit(_mask(0, size)))
+    return F.shiftrightunsigned("value", start).bitwiseAND(F.lit(_mask(size)))
 
 
 def _keys(segments: list[tuple[int, int]]) -> Column:
@@ -98,7 +99,7 @@ def _keys(segments: list[tuple[int, int]]) -> Column:
     for start, size in segments:
         part = _part(start, size)
         for bit in [-1, *range(size)]:
-            rest = part if bit < 0 else part.bitwiseAND(F.lit(_mask(0, size) & ~(1 << bit)))
+            rest = part if bit < 0 else part.bitwiseAND(F.lit(_mask(size, bit)))
             side = F.lit(-1) if bit < 0 else F.shiftrightunsigned(part, bit).bitwiseAND(F.lit(1))
             which = F.lit(start * (BITS + 1) + bit + 1)
             keys.append(
