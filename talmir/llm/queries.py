@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talmir.llm import licenses, secrets, sharding, simhash, warc
+from talmir.llm import licenses, quality, secrets, sharding, simhash, warc
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -106,6 +106,17 @@ def op5_sharding(spark, folder):
     )
 
 
+def op6_quality(spark, folder):
+    """All documents with the quality score of a model that has not seen the held-out labels."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "quality")
+    model, rows = quality.train(documents, labels)
+    scored = rows.select(
+        F.col("_id").alias("doc_id"), "held_out", model.score_features(F.col("features")).alias("score")
+    )
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 SIMHASH_SHINGLE, SIMHASH_BITS = 3, 3
 
 
@@ -127,5 +138,6 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_license_scan": op3_license_scan,
     "op5_sharding": op5_sharding,
+    "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
 }

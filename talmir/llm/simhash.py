@@ -1,6 +1,6 @@
 """Near-duplicates by SimHash: fingerprints that differ in few bits, by deletion variants.
 
-A fingerprint of 64 bits is cut into (max_bits + 1) // 2 segments: fewer than the max_bits + 1
+A fingerprint of 64 bits is cut into max_bits // 2 + 1 segments: fewer than the max_bits + 1
 that would leave one segment untouched, and few enough that one of them differs by one bit at
 most. So two fingerprints within ``max_bits`` agree in a segment as it is, or in a segment
 with one bit left out. Each fingerprint is indexed under its segments, and under every segment
@@ -83,7 +83,7 @@ def _mask(size: int, deleted: int = -1) -> int:
 
 def _segments(start: int, size: int, max_bits: int) -> list[tuple[int, int]]:
     """(start, size) of the segments of this stretch of bits."""
-    count = max(1, (max_bits + 1) // 2)
+    count = max_bits // 2 + 1
     cuts = [start + size * i // count for i in range(count + 1)]
     return [(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
 
