@@ -112,8 +112,23 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, firs
   CASE WHEN n > 0 THEN 1.0 ELSE coalesce(ml.score, 0.0) END::DOUBLE AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN ml USING (doc_id)"""
 
+def _shingles(key: str, table_name: str) -> str:
+    grams = "list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))"
+    return f"""SELECT DISTINCT {key}, unnest({grams}) AS gram
+  FROM (SELECT {key}, {_words("coalesce(text, '')")} AS w FROM {table_name}) WHERE len(w) > 0"""
+
+
+LEAKS = f"""WITH i AS ({_shingles("item_id", "benchmark")}),
+s AS (SELECT item_id, count(*) AS n_shingles FROM i GROUP BY item_id),
+d AS ({_shingles("doc_id", "documents")})
+SELECT doc_id, item_id, any_value(n_shingles) AS n_shingles, count(*) AS n_shared,
+  count(*) / any_value(n_shingles) AS containment
+FROM d JOIN i USING (gram) JOIN s USING (item_id) GROUP BY doc_id, item_id
+HAVING count(*) >= ceil(0.8 * any_value(n_shingles) - 1e-9)"""
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op2_secret_scan": SECRETS,
     "op3_license_scan": LICENSES,
+    "op9_decontamination": LEAKS,
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talmir.llm import licenses, quality, secrets, sharding, simhash, warc
+from talmir.llm import decontaminate, licenses, quality, secrets, sharding, simhash, warc
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -133,6 +133,13 @@ def op7_simhash(spark, folder):
     )
 
 
+def op9_decontamination(spark, folder):
+    """Every document that contains a benchmark item, with the item."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    items = table(spark, folder, "benchmark").select("item_id", "text")
+    return decontaminate.find_leaks(documents, items)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -140,4 +147,5 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op9_decontamination": op9_decontamination,
 }
