@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from talmir.llm import decontaminate, licenses, quality, secrets, sharding, simhash, warc
+from talmir.llm import chunking, decontaminate, licenses, quality, secrets, sharding, simhash, warc
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -133,6 +133,11 @@ def op7_simhash(spark, folder):
     )
 
 
+def op8_fingerprints(spark, folder):
+    """Fingerprints of all documents and their edited texts, and what they have in common."""
+    return chunking.compare_with_next(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op9_decontamination(spark, folder):
     """Every document that contains a benchmark item, with the item."""
     documents = table(spark, folder, "documents").select("doc_id", "text")
@@ -147,5 +152,6 @@ QUERIES = {
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
+    "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
 }
