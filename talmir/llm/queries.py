@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
-from talmir.llm import chunking, decontaminate, licenses, quality, secrets, sharding, simhash, warc
+from talmir.llm import chunking, decontaminate, licenses, quality, secrets, sentencepiece, sharding, simhash, warc
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -82,6 +84,24 @@ def op3_license_scan(spark, folder):
     )
 
 
+# Where the public tokenizer files are; never copied here.
+TOKENIZER = os.environ.get("TALMIR_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op4_sentencepiece(spark, folder):
+    """The pieces of all documents, and whether they decode to the text again."""
+    pieces = sentencepiece.Pieces(spark, TOKENIZER)
+    documents = table(spark, folder, "documents").select("doc_id", text_or_empty().alias("text"))
+    coded = documents.select("doc_id", "text", pieces.encode(F.col("text")).alias("pieces"))
+    same = pieces.decode(F.col("pieces")) == F.replace("text", F.lit("\u2581"), F.lit(" "))
+    return coded.select(
+        "doc_id",
+        F.size("pieces").cast("bigint").alias("n_pieces"),
+        "pieces",
+        same.alias("round_trip"),
+    )
+
+
 SHARDS = 24
 
 
@@ -149,6 +169,7 @@ QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
     "op3_license_scan": op3_license_scan,
+    "op4_sentencepiece": op4_sentencepiece,
     "op5_sharding": op5_sharding,
     "op6_quality": op6_quality,
     "op7_simhash": op7_simhash,
