@@ -204,3 +204,13 @@ def mask(text: Column, spans: Column, by: str = "*") -> Column:
         return F.concat(done["out"], F.substr(text, (done["at"] + 1).cast("int"), F.length(text)))
 
     return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, state, step, finish))
+
+
+def mask_secrets(
+    docs: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES
+) -> DataFrame:
+    """The documents, with their own columns, every secret in their text replaced by asterisks."""
+    packed = docs.select(F.struct(*docs.columns).alias("_doc"), F.col(text).alias("_text"))
+    found = scan(packed, ledger, "_text", rules)
+    masked = mask(F.col("_text"), F.col("spans")).alias(text)
+    return found.select(*[masked if c == text else F.col("_doc")[c].alias(c) for c in docs.columns])

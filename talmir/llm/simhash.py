@@ -216,3 +216,21 @@ def simhash_groups(
     )
     joined = marked.join(component, F.col("fingerprint") == F.col("_value"))
     return joined.select(F.col("_id").alias(identity), "fingerprint", "component")
+
+
+def keep_one(
+    docs: DataFrame,
+    identity: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    max_bits: int = 3,
+) -> DataFrame:
+    """The document with the smallest identity of each component, with its own columns.
+
+    Of repeated rows of that identity one stays. Rows without identity cannot be told apart
+    and stay as they are.
+    """
+    groups = simhash_groups(docs, identity, text, shingle, max_bits)
+    kept = groups.filter(F.col(identity) == F.col("component")).select(F.col(identity).alias("_kept"))
+    joined = docs.join(kept.distinct(), F.col(identity) == F.col("_kept"), "left_semi")
+    return joined.dropDuplicates([identity]).unionByName(docs.filter(F.col(identity).isNull()))
