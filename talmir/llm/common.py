@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 # Rows that one task numbers at a time, on average.
-NUMBER_RUN = 50_000
+NUMBER_RUN = 2_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +29,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs whose results are stored.
+
+    It does so once the driver's JVM has collected their handles, which on a driver with memory
+    to spare may take hours. Call it between phases, with nothing of the last phase in use.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
@@ -68,7 +80,7 @@ def number_rows(
 
 
 def number_buckets(rows: int) -> int:
-    return max(16, min(10_000, -(-rows // NUMBER_RUN)))
+    return max(512, min(10_000, -(-rows // NUMBER_RUN)))
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -126,9 +126,28 @@ SELECT doc_id, item_id, any_value(n_shingles) AS n_shingles, count(*) AS n_share
 FROM d JOIN i USING (gram) JOIN s USING (item_id) GROUP BY doc_id, item_id
 HAVING count(*) >= ceil(0.8 * any_value(n_shingles) - 1e-9)"""
 
+# Windows as joined words, first places by a window function, covered words by a range join.
+REPEATS = r"""WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, i, md5(array_to_string(w[i + 1:i + 20], ' ')) AS h
+  FROM (SELECT doc_id, w, unnest(range(len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+r AS (
+  SELECT doc_id, i FROM (
+    SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS n FROM s)
+  WHERE n > 1),
+c AS (SELECT DISTINCT doc_id, i + j AS i FROM r, range(20) x(j)),
+g AS (SELECT doc_id, list(i) AS gone, count(*) AS n FROM c GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
+  sha256(array_to_string(CASE WHEN n IS NULL THEN w ELSE list_transform(
+    list_filter(range(len(w)), lambda i: NOT list_contains(gone, i)), lambda i: w[i + 1]) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN g USING (doc_id)"""
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op2_secret_scan": SECRETS,
     "op3_license_scan": LICENSES,
     "op9_decontamination": LEAKS,
+    "op10_phrases": REPEATS,
 }

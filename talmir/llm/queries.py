@@ -6,7 +6,18 @@ import os
 
 from pyspark.sql import functions as F
 
-from talmir.llm import chunking, decontaminate, licenses, quality, secrets, sentencepiece, sharding, simhash, warc
+from talmir.llm import (
+    chunking,
+    decontaminate,
+    licenses,
+    phrases,
+    quality,
+    secrets,
+    sentencepiece,
+    sharding,
+    simhash,
+    warc,
+)
 from talmir.llm.common import stored, table, text_or_empty
 from talmir.session import new_path
 
@@ -165,6 +176,15 @@ def op9_decontamination(spark, folder):
     return decontaminate.find_leaks(documents, items)
 
 
+def op10_phrases(spark, folder):
+    """All documents without the words that repeat 20 words or more of an earlier place."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    kept = phrases.remove_repeats(documents)
+    return kept.select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -175,4 +195,5 @@ QUERIES = {
     "op7_simhash": op7_simhash,
     "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
+    "op10_phrases": op10_phrases,
 }
