@@ -5,9 +5,8 @@ Points have a column ``point`` (ARRAY<DOUBLE>) and a label ``cluster`` (INT, 0 t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import Column, DataFrame, Row
+import numpy as np
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +15,12 @@ from talmir.operators.joins import HOT_ROWS, join_back
 from talmir.operators.kernels import nearest_centre
 from talmir.session import cut_lineage
 
-# Up to this many clusters, a table with one row per cluster is broadcast, or brought to
-# the driver in one go. Beyond it there is a shuffle, or several rounds.
+# Up to this many clusters, their sizes are broadcast. Beyond it they are joined by a shuffle.
 MAX_SMALL_K = 10_000
 
+# Centres and statistics are models, which must fit the memory of the driver and of each task.
+MAX_MODEL_NUMBERS = 1 << 27
+
 # Identical rows are numbered in runs of this length, each of them in one task.
 COPY_RUN = 100_000
 
@@ -29,6 +30,16 @@ def check_k(k: int, least: int = 1) -> None:
         raise ValueError(f"k must be at least {least}, got {k}")
 
 
+def check_t(t: float) -> None:
+    if not t > 0:
+        raise ValueError(f"t must be above 0, got {t}")
+
+
+def check_model(rows: int, dimensions: int) -> None:
+    if rows * dimensions > MAX_MODEL_NUMBERS:
+        raise ValueError(f"{rows} rows of {dimensions} numbers do not fit a broadcast model")
+
+
 def check_labels(points: DataFrame, k: int) -> DataFrame:
     """The same points; the job fails if a label is outside 0 to k - 1."""
     inside = F.coalesce(F.col("cluster").between(0, k - 1), F.lit(False))
@@ -43,24 +54,24 @@ def cluster_sizes(points: DataFrame) -> DataFrame:
 
 
 def number_copies(points: DataFrame, copy_run: int = COPY_RUN) -> DataFrame:
-    """(point, cluster, copy): the same rows, identical ones numbered from 0.
+    """(point, cluster, _copy): the same rows, identical ones numbered from 0.
 
     Copies are counted by a grouped aggregate, which combines them on the map side, and
     then written out again. A large group is first cut into runs that are spread over
     the cluster, so it is never in one task as a window over the group would have it.
     """
-    groups = points.groupBy("point", "cluster").agg(F.count("*").alias("copies"))
+    groups = points.groupBy("point", "cluster").agg(F.count("*").alias("_copies"))
 
     def numbered(runs: DataFrame) -> DataFrame:
-        last = F.least(F.col("start") + copy_run, F.col("copies")) - 1
-        copy = F.explode(F.sequence(F.col("start"), last)).alias("copy")
+        last = F.least(F.col("_start") + copy_run, F.col("_copies")) - 1
+        copy = F.explode(F.sequence(F.col("_start"), last)).alias("_copy")
         return runs.select("point", "cluster", copy)
 
     zero = F.lit(0).cast("bigint")
-    small = groups.filter(F.col("copies") <= copy_run).withColumn("start", zero)
-    large = groups.filter(F.col("copies") > copy_run)
-    starts = F.explode(F.sequence(zero, F.col("copies") - 1, F.lit(copy_run).cast("bigint")))
-    large = large.withColumn("start", starts).repartition("point", "cluster", "start")
+    small = groups.filter(F.col("_copies") <= copy_run).withColumn("_start", zero)
+    large = groups.filter(F.col("_copies") > copy_run)
+    starts = F.explode(F.sequence(zero, F.col("_copies") - 1, F.lit(copy_run).cast("bigint")))
+    large = large.withColumn("_start", starts).repartition("point", "cluster", "_start")
     return numbered(small).unionByName(numbered(large))
 
 
@@ -70,7 +81,7 @@ def settled_sizes(points: DataFrame, k: int) -> DataFrame:
     This pass also checks the labels. So it returns at most k rows, which decides where
     they are kept.
     """
-    sizes = cluster_sizes(check_labels(points, k))
+    sizes = cluster_sizes(check_labels(points.select("cluster"), k))
     if k > MAX_SMALL_K:
         return cut_lineage(sizes)
     return points.sparkSession.createDataFrame(sizes.collect(), sizes.schema)
@@ -79,29 +90,36 @@ def settled_sizes(points: DataFrame, k: int) -> DataFrame:
 def with_sizes(
     points: DataFrame, sizes: DataFrame, k: int | None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Every point with its cluster's ``n``; ``sizes`` has at most k rows."""
+    """Every point with its cluster's size as ``_size``; ``sizes`` has at most k rows."""
+    sizes = sizes.select("cluster", F.col("n").alias("_size"))
     if k is not None and k <= MAX_SMALL_K:
         return points.join(F.broadcast(sizes), "cluster")
-    return join_back(points, sizes, "cluster", hot_rows=hot_rows)
+    return join_back(points, sizes, "cluster", n="_size", hot_rows=hot_rows)
 
 
-def draw(points: DataFrame, t: float, seed: int | Column, id_columns: list[str]) -> DataFrame:
-    """Rows of ``points`` (with their cluster's ``n``) that an independent draw keeps."""
-    parts = []
+def identity_texts(points: DataFrame, id_columns: list[str]) -> list[Column]:
+    """What tells one point from every other, as texts."""
+    texts = []
     for name in id_columns:
         column = F.col(name)
         if isinstance(points.schema[name].dataType, T.ArrayType):
             column = F.concat_ws(",", column.cast("array<string>"))
-        parts.append(column)
+        texts.append(column)
+    return texts
+
+
+def draw(points: DataFrame, t: float, seed: int | Column, id_columns: list[str]) -> DataFrame:
+    """Rows of ``points`` (with their cluster's ``_size``) that an independent draw keeps."""
     # A probability above 1 keeps every row, as the draw is below 1.
-    return points.filter(unit_draw(seed, *parts) < F.lit(float(t)) / F.col("n"))
+    u = unit_draw(seed, *identity_texts(points, id_columns))
+    return points.filter(u < F.lit(float(t)) / F.col("_size"))
 
 
 def identified(points: DataFrame, id_column: str | None) -> tuple[DataFrame, list[str]]:
     """The points, and the columns that tell one point from every other."""
     if id_column is not None:
         return points, [id_column]
-    return number_copies(points), ["point", "cluster", "copy"]
+    return number_copies(points), ["point", "cluster", "_copy"]
 
 
 def sample_clusters(
@@ -118,6 +136,7 @@ def sample_clusters(
     so copies are drawn independently, and only ``point`` and ``cluster`` are returned.
     ``k`` is the number of clusters; without it none is assumed to be small.
     """
+    check_t(t)
     if k is not None:
         points = check_labels(points, k)
     return sample_given_sizes(points, cluster_sizes(points), t, seed, k, id_column)
@@ -135,44 +154,19 @@ def sample_sizes(sample: DataFrame) -> DataFrame:
     return sample.groupBy("cluster").agg(F.count("*").alias("n_sampled"))
 
 
-def pages(table: DataFrame, key: str, size: int = MAX_SMALL_K) -> Iterator[list[Row]]:
-    """The rows of a small table in key order, at most ``size`` of them at a time."""
-    page = table.orderBy(key).limit(size).collect()
-    yield page
-    if len(page) == size:
-        table = cut_lineage(table)
-    while len(page) == size:
-        page = table.filter(F.col(key) > page[-1][key]).orderBy(key).limit(size).collect()
-        if page:
-            yield page
-
-
-def assign_clusters(points: DataFrame, centres: DataFrame, page: int = MAX_SMALL_K) -> DataFrame:
+def assign_clusters(points: DataFrame, centres: DataFrame) -> DataFrame:
     """Every point with the ``cluster`` of its nearest centre; the lowest index wins ties.
 
-    ``centres``: (cid INT, centre ARRAY<DOUBLE>).
-    """
-    rounds = (
-        ([row["cid"] for row in rows], [row["centre"] for row in rows])
-        for rows in pages(centres, "cid", page)
-    )
-    return assign_nearest(points, rounds)
-
-
-def assign_nearest(points: DataFrame, rounds) -> DataFrame:
-    """As :func:`assign_clusters`, from (indices, centres) pairs in index order.
-
-    One pair is the usual case and adds no shuffle. More than one keep the best so far.
+    ``centres``: (cid INT, centre ARRAY<DOUBLE>). They are broadcast, so the points are read
+    once and not shuffled, whatever their number. Coordinates must be finite; where all
+    distances overflow the lowest index is taken.
     """
+    rows = centres.orderBy("cid").collect()
+    if not rows:
+        raise ValueError("there are no centres to assign points to")
+    check_model(len(rows), len(rows[0]["centre"]))
+    ids = np.array([row["cid"] for row in rows], dtype=np.int32)
+    matrix = np.array([row["centre"] for row in rows], dtype=np.float64)
+    model = points.sparkSession.sparkContext.broadcast((ids, matrix))
     columns = [c for c in points.columns if c != "cluster"]
-    none = F.struct(F.lit(float("inf")).alias("d"), F.lit(-1).alias("cid"))
-    best = None
-    for ids, centres in rounds:
-        if not ids:
-            raise ValueError("there are no centres to assign points to")
-        if best is not None:
-            points = cut_lineage(points)
-        previous = none if best is None else F.col("_best")
-        best = nearest_centre(ids, centres)(F.col("point"), previous["d"], previous["cid"])
-        points = points.select(*columns, best.alias("_best"))
-    return points.select(*columns, F.col("_best")["cid"].alias("cluster"))
+    return points.select(*columns, nearest_centre(model)(F.col("point")).alias("cluster"))

@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 # A key with more rows than this is spread over several join partitions.
 HOT_ROWS = 10_000_000
 
-# At most this many keys are spread, and so broadcast. By counting, any other key then
-# holds at most one ten-thousandth of the rows.
-MAX_HOT_KEYS = 10_000
+# No key with less than one part in HOT_PARTS of all rows is spread. So by counting, fewer keys
+# than this are, and their list can be broadcast whatever the size of the table.
+HOT_PARTS = 10_000
 
 
 def join_back(
@@ -19,19 +19,16 @@ def join_back(
     """Every row with its key's totals. ``totals[n]`` is the number of rows of the key.
 
     A window over the key would bring a key's rows into one task, and a plain join would
-    too. Here the keys with the most rows (a broadcast list of bounded length) are cut
-    into slices of about ``hot_rows`` rows, and the join is on (key, slice).
+    too. Here the keys with more than ``hot_rows`` rows, and more than one part in HOT_PARTS of
+    all rows, are cut into slices of that size, and the join is on (key, slice).
 
     The slice comes from the number of the partition that a row is read from. So it
     spreads identical rows as well, and a retried task repeats its choice.
     """
-    slices = F.ceil(F.col(n) / hot_rows).cast("int")
+    most = totals.agg(F.greatest(F.lit(float(hot_rows)), F.sum(n) / HOT_PARTS)).scalar()
+    slices = F.ceil(F.col(n) / most).cast("int")
     sliced = totals.withColumn("_slices", F.greatest(slices, F.lit(1)))
-    # Ordering by every column keeps them all in the aggregate underneath, so that this
-    # branch and the join below read the same shuffle.
-    order = [F.desc(n)] + [F.col(c) for c in totals.columns if c != n]
-    hot = sliced.filter(F.col("_slices") > 1).orderBy(*order).limit(MAX_HOT_KEYS)
-    hot = hot.select(F.col(key).alias("_hot_key"), "_slices")
+    hot = sliced.filter(F.col("_slices") > 1).select(F.col(key).alias("_hot_key"), "_slices")
 
     placed = rows.join(F.broadcast(hot), F.col(key).eqNullSafe(F.col("_hot_key")), "left")
     slice_of_row = F.pmod(F.spark_partition_id(), F.coalesce("_slices", F.lit(1)))

@@ -1,10 +1,13 @@
 """Distances from a batch of points to k centres, as Arrow functions.
 
 Spark partitions the points and hands each task its rows in Arrow batches. Only the point
-(and a running best) crosses to Python; every other column stays in the JVM. The same sums
+crosses to Python; every other column stays in the JVM. The same sums
 written with higher-order functions cost about 200 ns of a core per coordinate, against
 about 2 ns here (and 3 us to hand over a point of 64 dimensions), which decides the run time
 once there are many points, dimensions or centres.
+
+Centres and statistics are a model of k rows. They are broadcast, and each task goes through
+them in one pass over its points, whatever k is.
 """
 
 from __future__ import annotations
@@ -30,7 +33,10 @@ def to_matrix(points: pa.Array, dimensions: int) -> np.ndarray:
     values = points.flatten()
     if points.null_count or values.null_count or same is False:
         raise ValueError(f"every point must have {dimensions} coordinates, none of them NULL")
-    return values.to_numpy(zero_copy_only=False).reshape(len(points), dimensions)
+    matrix = values.to_numpy(zero_copy_only=False).reshape(len(points), dimensions)
+    if not np.isfinite(matrix).all():
+        raise ValueError("a coordinate is NaN or infinite")
+    return matrix
 
 
 def _once(function):
@@ -40,69 +46,84 @@ def _once(function):
 
 def _squared_distances(matrix: np.ndarray, centre: np.ndarray) -> np.ndarray:
     # Differences first: exact zeros stay exact, whatever the size of the coordinates.
-    difference = matrix - centre
-    return np.einsum("ij,ij->i", difference, difference)
+    with np.errstate(over="ignore"):
+        difference = matrix - centre
+        return np.einsum("ij,ij->i", difference, difference)
 
 
 def _blocks(n: int):
     return (slice(start, start + BLOCK_ROWS) for start in range(0, n, BLOCK_ROWS))
 
 
-def nearest_centre(ids: list[int], centres: list[list[float]]):
-    """Function of (point, d, cid) to the nearer of (d, cid) and the closest centre."""
-    centre_matrix = np.array(centres, dtype=np.float64)
+def nearest(matrix: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Index of each row's nearest centre. The first wins ties, and where all overflow."""
+    result = np.zeros(len(matrix), dtype=np.int32)
+    for rows in _blocks(len(matrix)):
+        best_d = np.full(len(matrix[rows]), np.inf)
+        for index, centre in enumerate(centres):
+            distance = _squared_distances(matrix[rows], centre)
+            closer = distance < best_d
+            best_d[closer] = distance[closer]
+            result[rows][closer] = index
+    return result
 
-    @F.arrow_udf("struct<d: double, cid: int>")
-    def nearest(point: pa.Array, d: pa.Array, cid: pa.Array) -> pa.Array:
-        matrix = to_matrix(point, centre_matrix.shape[1])
-        best_d = np.array(d.to_numpy(zero_copy_only=False), dtype=np.float64)
-        best_id = np.array(cid.to_numpy(zero_copy_only=False), dtype=np.int32)
-        for rows in _blocks(len(matrix)):
-            block, block_d, block_id = matrix[rows], best_d[rows], best_id[rows]
-            for index, centre in zip(ids, centre_matrix):
-                distance = _squared_distances(block, centre)
-                closer = distance < block_d
-                block_d[closer] = distance[closer]
-                block_id[closer] = index
-        return pa.StructArray.from_arrays([pa.array(best_d), pa.array(best_id)], ["d", "cid"])
 
-    return _once(nearest)
+def nearest_centre(model):
+    """Function of a point to the id of the nearest centre; ``model``: broadcast (ids, matrix)."""
 
+    @F.arrow_udf("int")
+    def find(point: pa.Array) -> pa.Array:
+        ids, centres = model.value
+        return pa.array(ids[nearest(to_matrix(point, centres.shape[1]), centres)])
 
-def partial_means(centres: list[list[float]]):
-    """Function of batches of points to (cid, n, mean): one row per centre and partition.
+    return _once(find)
+
+
+def nearest_in_sets(model):
+    """Function of a point to one (cid, p) for each set; ``model``: broadcast list of
+    (matrix of centres, a number p for each of them)."""
+
+    @F.arrow_udf("array<struct<cid: int, p: double>>")
+    def find(point: pa.Array) -> pa.Array:
+        sets = model.value
+        matrix = to_matrix(point, sets[0][0].shape[1])
+        cids = np.column_stack([nearest(matrix, centres) for centres, _ in sets])
+        p = np.column_stack([own[cids[:, s]] for s, (_, own) in enumerate(sets)])
+        pairs = pa.StructArray.from_arrays([pa.array(cids.ravel()), pa.array(p.ravel())], ["cid", "p"])
+        return pa.ListArray.from_arrays(np.arange(len(matrix) + 1, dtype=np.int32) * len(sets), pairs)
+
+    return _once(find)
 
-    Each point counts for its nearest centre; the lowest index wins ties.
-    """
-    centre_matrix = np.array(centres, dtype=np.float64)
+
+def partial_means(model):
+    """Function of batches of points to (s, cid, n, mean): a row per set of centres, centre and
+    partition. Each point counts for its nearest centre of each set; ``model``: broadcast list
+    of matrices."""
 
     def combine(batches):
-        counts = np.zeros(len(centre_matrix), dtype=np.int64)
-        sums = np.zeros_like(centre_matrix)
+        sets = model.value
+        counts = [np.zeros(len(centres), dtype=np.int64) for centres in sets]
+        sums = [np.zeros_like(centres) for centres in sets]
         for batch in batches:
-            matrix = to_matrix(batch.column(0), centre_matrix.shape[1])
+            matrix = to_matrix(batch.column(0), sets[0].shape[1])
             for rows in _blocks(len(matrix)):
-                block = matrix[rows]
-                best_d = np.full(len(block), np.inf)
-                best = np.zeros(len(block), dtype=np.int32)
-                for index, centre in enumerate(centre_matrix):
-                    distance = _squared_distances(block, centre)
-                    closer = distance < best_d
-                    best_d[closer] = distance[closer]
-                    best[closer] = index
-                counts += np.bincount(best, minlength=len(counts))
-                for index in np.unique(best):
-                    sums[index] += block[best == index].sum(axis=0)
-        used = np.flatnonzero(counts)
-        means = sums[used] / counts[used, None]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(used, pa.int32()),
-                pa.array(counts[used], pa.int64()),
-                pa.array(list(means), pa.list_(pa.float64())),
-            ],
-            ["cid", "n", "mean"],
-        )
+                for s, centres in enumerate(sets):
+                    best = nearest(matrix[rows], centres)
+                    counts[s] += np.bincount(best, minlength=len(centres))
+                    for index in np.unique(best):
+                        sums[s][index] += matrix[rows][best == index].sum(axis=0)
+        for s in range(len(sets)):
+            used = np.flatnonzero(counts[s])
+            means = sums[s][used] / counts[s][used, None]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(used), s), pa.int32()),
+                    pa.array(used, pa.int32()),
+                    pa.array(counts[s][used], pa.int64()),
+                    pa.array(list(means), pa.list_(pa.float64())),
+                ],
+                ["s", "cid", "n", "mean"],
+            )
 
     return combine
 
@@ -128,8 +149,10 @@ class ClusterStatistics:
             for row in rows
         ]
 
-    def fold(self, matrix: np.ndarray, labels: np.ndarray, own: np.ndarray, other: np.ndarray):
-        """Update each row's mean distance to its own cluster and the least to another."""
+    def distances(self, points: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Each row's mean distance to its own cluster, and the least one to another (or inf)."""
+        matrix = None if self.dimensions is None else to_matrix(points, self.dimensions)
+        own, other = np.full(len(labels), np.nan), np.full(len(labels), np.inf)
         for rows in _blocks(len(labels)):
             block_labels, block_own, block_other = labels[rows], own[rows], other[rows]
             for cluster, ns, mean, scatter, denominator in self.clusters:
@@ -142,42 +165,70 @@ class ClusterStatistics:
                 mine = block_labels == cluster
                 block_own[mine] = distance[mine]
                 np.minimum(block_other, distance, out=block_other, where=~mine)
+        return own, other
+
+    def coefficients(self, points: pa.Array, labels: np.ndarray) -> np.ndarray:
+        """(b - a) / max(a, b), 0 where both are 0; only of rows that have another cluster."""
+        own, other = self.distances(points, labels)
+        there = other < np.inf
+        own, other = own[there], other[there]
+        larger = np.maximum(own, other)
+        return np.divide(other - own, larger, out=np.zeros(len(own)), where=larger != 0)
 
 
-def mean_distances(statistics: ClusterStatistics):
-    """Function of (point, cluster, own, other) to the updated struct (own, other)."""
+def mean_distances(model):
+    """Function of (point, cluster) to (own, other); ``model``: broadcast statistics."""
 
     @F.arrow_udf("struct<own: double, other: double>")
-    def fold(point: pa.Array, cluster: pa.Array, own: pa.Array, other: pa.Array) -> pa.Array:
-        labels = cluster.to_numpy(zero_copy_only=False)
-        result = [
-            np.array(x.to_numpy(zero_copy_only=False), dtype=np.float64) for x in (own, other)
-        ]
-        matrix = None
-        if statistics.dimensions is not None:
-            matrix = to_matrix(point, statistics.dimensions)
-        statistics.fold(matrix, labels, *result)
-        return pa.StructArray.from_arrays([pa.array(x) for x in result], ["own", "other"])
+    def fold(point: pa.Array, cluster: pa.Array) -> pa.Array:
+        both = model.value.distances(point, cluster.to_numpy(zero_copy_only=False))
+        return pa.StructArray.from_arrays([pa.array(x) for x in both], ["own", "other"])
 
     return _once(fold)
 
 
-def trial_mean_distances(statistics: dict[int, ClusterStatistics]):
-    """As :func:`mean_distances`, for rows that each name the trial they belong to."""
+SCORES = "key int, n bigint, scored bigint, total double"
 
-    @F.arrow_udf("struct<own: double, other: double>")
-    def fold(point: pa.Array, cluster: pa.Array, trial: pa.Array) -> pa.Array:
-        labels = cluster.to_numpy(zero_copy_only=False)
-        trials = trial.to_numpy(zero_copy_only=False)
-        own = np.full(len(labels), np.nan)
-        other = np.full(len(labels), np.inf)
-        for number in np.unique(trials):
-            rows = np.flatnonzero(trials == number)
-            part = statistics[int(number)]
-            part_own, part_other = own[rows], other[rows]
-            matrix = to_matrix(point.take(pa.array(rows)), part.dimensions)
-            part.fold(matrix, labels[rows], part_own, part_other)
-            own[rows], other[rows] = part_own, part_other
-        return pa.StructArray.from_arrays([pa.array(own), pa.array(other)], ["own", "other"])
 
-    return _once(fold)
+def score_sums(model, centres=None, keyed: bool = False):
+    """Function of batches (point, cluster) to SCORES: per key of the statistics and partition,
+    the points, those with a coefficient, and the sum of these.
+
+    ``model``: broadcast statistics by key. Labels come from the batch, or for key i are the
+    nearest of the i-th matrix of ``centres``. ``keyed``: a third column names the one key that
+    a row belongs to; else every row counts for every key.
+    """
+
+    def combine(batches):
+        statistics = model.value
+        sums = {key: [0, 0, 0.0] for key in statistics}
+
+        def add(key, points, labels):
+            values = statistics[key].coefficients(points, labels)
+            sums[key][0] += len(labels)
+            sums[key][1] += len(values)
+            sums[key][2] += float(values.sum())
+
+        for batch in batches:
+            points = batch.column(0)
+            if centres is not None:
+                matrix = to_matrix(points, centres.value[0].shape[1])
+                for key in statistics:
+                    add(key, points, nearest(matrix, centres.value[key]))
+                continue
+            labels = batch.column(1).to_numpy(zero_copy_only=False)
+            if not keyed:
+                for key in statistics:
+                    add(key, points, labels)
+                continue
+            keys = batch.column(2).to_numpy(zero_copy_only=False)
+            for key in np.unique(keys).tolist():
+                rows = np.flatnonzero(keys == key)
+                add(key, points.take(pa.array(rows)), labels[rows])
+        rows = [(key, *values) for key, values in sums.items() if values[0]]
+        if rows:
+            types = [pa.int32(), pa.int64(), pa.int64(), pa.float64()]
+            arrays = [pa.array(list(x), t) for x, t in zip(zip(*rows), types)]
+            yield pa.RecordBatch.from_arrays(arrays, ["key", "n", "scored", "total"])
+
+    return combine

@@ -6,19 +6,30 @@ through the driver between steps; the points do not.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from talmir.functions import unit_draw
 from talmir.functions.expressions import hash_key
-from talmir.operators.clusters import assign_nearest, check_k, pages
-from talmir.operators.kernels import partial_means
-from talmir.operators.silhouette import approx_silhouette
+from talmir.operators.clusters import check_k, check_model, check_t, identity_texts, number_copies
+from talmir.operators.kernels import (
+    SCORES,
+    ClusterStatistics,
+    nearest_in_sets,
+    partial_means,
+    score_sums,
+)
+from talmir.operators.silhouette import _statistics, collected, summed_scores
+from talmir.session import cut_lineage
 
 CENTRE_SCHEMA = "cid int, centre array<double>"
 
+# Tasks that share the first round of a search for the k smallest hashes.
+START_GROUPS = 64
 
 Matrix = list[list[float]]
 
@@ -27,40 +38,79 @@ def _centres(points: DataFrame, centres: Matrix) -> DataFrame:
     return points.sparkSession.createDataFrame(list(enumerate(centres)), CENTRE_SCHEMA)
 
 
-def _ml_centres(points: DataFrame, k: int, iters: int, seed: int, id_column=None) -> Matrix:
+def _ml_centres(points: DataFrame, k: int, iters: int, seed: int) -> Matrix:
     vectors = points.select(array_to_vector(F.col("point")).alias("features"))
+    if k == 1:  # which Spark ML refuses: the mean, if there are points
+        mean = vectors.agg(Summarizer.mean(F.col("features")).alias("m"), F.count("*").alias("n"))
+        row = mean.first()
+        return [row["m"].toArray().tolist()] if row["n"] else []
     trainer = KMeans(k=k, maxIter=iters, initMode="random", seed=seed)
     return [centre.tolist() for centre in trainer.fit(vectors).clusterCenters()]
 
 
-def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None) -> Matrix:
+def _first_by_hash(points: DataFrame, id_column: str | None, seed: int, count: int) -> list[list]:
+    """Points in the order of their hashes, ``count`` rows at most, equal ones included.
+
+    Each task keeps ``count`` rows, START_GROUPS tasks keep ``count`` of those, and only then
+    does one task see the rest.
+    """
     name = id_column or "point"
     text = F.col(name) if id_column else F.concat_ws(",", F.col(name).cast("array<string>"))
     drawn = points.select("point", F.col(name).alias("_tie"), hash_key(seed, text).alias("_hash"))
-    rows = drawn.orderBy("_hash", "_tie").limit(k).select("point").collect()
-    return [row["point"] for row in rows]
+    drawn = drawn.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(START_GROUPS)))
+    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", "_tie"))
+    few = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= count)
+    return [r["point"] for r in few.orderBy("_hash", "_tie").limit(count).select("point").collect()]
 
 
-def _step(points: DataFrame, centres: Matrix) -> DataFrame:
-    """(cid, mean) of the points nearest to each centre; no row where there are none."""
+def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None) -> Matrix:
+    """The first k different points in the order of a hash; fewer if there are no more.
+
+    Where points repeat much, further rounds look past those already found.
+    """
+    found: dict[tuple, list] = {}
+    rest, count = points, 2 * k + 16
+    while True:
+        rows = _first_by_hash(rest, id_column, seed, count)
+        for point in rows:
+            found.setdefault(tuple(point), point)
+        if len(found) >= k or len(rows) < count:
+            return list(found.values())[:k]
+        known = points.sparkSession.createDataFrame([(p,) for p in found.values()], "_known array<double>")
+        rest = points.join(F.broadcast(known), F.col("point") == F.col("_known"), "left_anti")
+        count *= 2
+
+
+def _step(points: DataFrame, sets: list[Matrix]) -> DataFrame:
+    """(s, cid, n, mean) of the points nearest to each centre; no row where there are none."""
+    matrices = [np.array(centres, dtype=np.float64) for centres in sets]
+    model = points.sparkSession.sparkContext.broadcast(matrices)
     partial = points.select("point").mapInArrow(
-        partial_means(centres), "cid int, n bigint, mean array<double>"
+        partial_means(model), "s int, cid int, n bigint, mean array<double>"
     )
     mean = Summarizer.mean(array_to_vector(F.col("mean")), F.col("n").cast("double"))
-    return partial.groupBy("cid").agg(vector_to_array(mean).alias("mean"))
+    return partial.groupBy("s", "cid").agg(
+        F.sum("n").alias("n"), vector_to_array(mean).alias("mean")
+    )
 
 
-def _lloyd_centres(points: DataFrame, k: int, iters: int, seed: int, id_column=None) -> Matrix:
-    centres = _initial_centres(points, k, seed, id_column)
+def _lloyd_centres(
+    points: DataFrame, ks: list[int], iters: int, seed: int, id_column: str | None
+) -> list[Matrix]:
+    """Centres for each k. All of them share each pass over the points."""
+    start = _initial_centres(points, max(ks), seed, id_column)
+    sets = [start[:k] for k in ks]
+    if not start:
+        return sets
+    check_model(sum(map(len, sets)), len(start[0]))
     for _ in range(iters):
-        moved = list(centres)
-        for page in pages(_step(points, centres), "cid"):
-            for row in page:
-                moved[row["cid"]] = row["mean"]
-        if moved == centres:
+        moved = [list(centres) for centres in sets]
+        for row in _step(points, sets).collect():  # a row per centre
+            moved[row["s"]][row["cid"]] = row["mean"]
+        if moved == sets:
             break
-        centres = moved
-    return centres
+        sets = moved
+    return sets
 
 
 def kmeans(points: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
@@ -72,14 +122,15 @@ def kmeans(points: DataFrame, k: int, iters: int, seed: int) -> DataFrame:
 def lloyd_kmeans(
     points: DataFrame, k: int, iters: int, seed: int, id_column: str | None = None
 ) -> DataFrame:
-    """Centres after ``iters`` steps from k points picked by hash; repeatable anywhere.
+    """Centres after ``iters`` steps from k different points picked by hash; repeatable anywhere.
 
-    A centre that no point is nearest to stays where it is. A step is one pass over the
+    With fewer than k different points there are as many centres as those. A centre that no
+    point is nearest to stays where it is. A step is one pass over the
     points and a shuffle of one mean per centre and partition, so persist the points first
     if they are slow to read.
     """
     check_k(k)
-    return _centres(points, _lloyd_centres(points, k, iters, seed, id_column))
+    return _centres(points, _lloyd_centres(points, [k], iters, seed, id_column)[0])
 
 
 def k_sweep(
@@ -97,17 +148,56 @@ def k_sweep(
     About m points are sampled in all, so t = m / k, which need not be whole. Centres are
     those of :func:`kmeans` with ``random_start``, else of :func:`lloyd_kmeans`.
 
-    The assignment of one k is not stored. Each of the three passes over it finds the
-    nearest centres again, which was 10 to 20 % slower than to keep a copy of all the
-    points when measured, and needs no room for one.
+    All k share every pass: one for the start (as long as points do not repeat much), one per
+    step, and one each for sizes, samples and scores, which is iters + 4 in all. The samples are
+    stored; the assignments are not, as the nearest centres are found again in each pass.
+    With ``random_start`` Spark ML trains each k on its own.
     """
     check_k(kstart, least=2)
-    train = _ml_centres if random_start else _lloyd_centres
-    results = []
-    for k in range(kstart, kstart + h):
-        centres = train(points, k, iters, seed, id_column)
-        assigned = assign_nearest(points, [(range(len(centres)), centres)])
-        score = approx_silhouette(assigned, m / k, k, seed, id_column).first()
-        results.append((k, score["n"], score["silhouette"]))
+    check_t(m)
+    ks = list(range(kstart, kstart + h))
+    spark = points.sparkSession
     schema = "k int, n bigint, silhouette double"
-    return points.sparkSession.createDataFrame(results, schema)
+    if random_start:
+        sets = [_ml_centres(points, k, iters, seed) for k in ks]
+    else:
+        sets = _lloyd_centres(points, ks, iters, seed, id_column)
+    if not all(sets):
+        return spark.createDataFrame([(k, 0, None) for k in ks], schema)
+
+    sizes = _step(points, sets).select("s", F.col("cid").alias("cluster"), "n").collect()
+    share = [np.zeros(len(centres)) for centres in sets]
+    for row in sizes:
+        share[row["s"]][row["cluster"]] = m / ks[row["s"]] / row["n"]
+    matrices = [np.array(centres, dtype=np.float64) for centres in sets]
+    model = spark.sparkContext.broadcast(list(zip(matrices, share)))
+
+    if id_column is None:
+        # Copies are numbered before they are assigned, which is the same for all of them.
+        rows = number_copies(points.select("point", F.lit(0).alias("cluster")))
+        point, copy = identity_texts(rows, ["point", "_copy"])
+        parts = lambda cid: [point, cid, copy]
+    else:
+        rows = points
+        parts = lambda cid: [F.col(id_column)]
+    assigned = rows.withColumn("_sets", nearest_in_sets(model)(F.col("point")))
+
+    def numbered(x: Column, s: Column) -> Column:
+        return F.struct(s.alias("s"), x["cid"].alias("cluster"), x["p"].alias("p"))
+
+    drawn = F.filter(
+        F.transform("_sets", numbered), lambda x: unit_draw(seed, *parts(x["cluster"])) < x["p"]
+    )
+    sample = cut_lineage(assigned.select("point", F.inline(drawn)))
+    every_size = spark.createDataFrame(sizes, "s int, cluster int, n bigint")
+    found: dict[int, ClusterStatistics] = {}
+    for s, k in enumerate(ks):  # a few rows each, of the stored sample
+        own = [df.filter(F.col("s") == s) for df in (every_size, sample)]
+        statistics = _statistics(own[0].drop("s"), own[1], m / k, "cluster")
+        found[s] = collected(statistics).get((), ClusterStatistics([]))
+    scored = points.select("point").mapInArrow(
+        score_sums(spark.sparkContext.broadcast(found), spark.sparkContext.broadcast(matrices)), SCORES
+    )
+    by_key = {r["key"]: r for r in summed_scores(scored).collect()}
+    results = [(k, by_key[s]["n"], by_key[s]["mean"]) for s, k in enumerate(ks)]
+    return spark.createDataFrame(results, schema)

@@ -12,10 +12,6 @@ from talmir.functions import truncate_rating, unit_draw
 from talmir.operators.joins import HOT_ROWS, join_back
 from talmir.sources.text import parse_ratings
 
-# Longest list of different reviews that goes into one row of reviews_by_user.
-MAX_REVIEWS = 100_000
-
-
 def split_reviews(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents of several rating lines to one row per review, with its ``position``."""
     kept = [c for c in docs.columns if c != text]
@@ -32,22 +28,34 @@ def last_review_per_document(
 
 
 def _totals(ratings: DataFrame) -> DataFrame:
-    """(user, total, n). Combined on the map side, so no user's rows meet in one task."""
+    """(user, total, n, _rated). Combined on the map side, so no user's rows meet in one task."""
     whole = truncate_rating(F.col("rating"))
-    return ratings.groupBy("user").agg(F.sum(whole).alias("total"), F.count("*").alias("n"))
+    return ratings.groupBy("user").agg(
+        F.sum(whole).alias("total"), F.count("*").alias("n"), F.count("rating").alias("_rated")
+    )
 
 
-def user_totals(ratings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(user, product, total, n, rating): every review with its user's sum and count."""
+def _with_totals(ratings: DataFrame, hot_rows: int) -> DataFrame:
     rows = ratings.select("user", "product", "rating")
-    joined = join_back(rows, _totals(ratings), "user", hot_rows=hot_rows)
-    return joined.select("user", "product", "total", "n", "rating")
+    return join_back(rows, _totals(ratings), "user", hot_rows=hot_rows)
+
+
+def user_totals(ratings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(user, product, total, n, rating): every review with its user's sum and count.
+
+    A review without a rating counts in n, and adds nothing to the total.
+    """
+    return _with_totals(ratings, hot_rows).select("user", "product", "total", "n", "rating")
 
 
 def normalize_ratings(ratings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """(product, norm): one row per review, its rating less the mean of its user's."""
-    norm = truncate_rating(F.col("rating")) - F.col("total") / F.col("n")
-    return user_totals(ratings, hot_rows).select("product", norm.alias("norm"))
+    """(product, norm): one row per review, its rating less the mean of its user's.
+
+    The mean is over the ratings that are there; a review without one has norm NULL.
+    """
+    mean = F.try_divide(F.col("total").cast("double"), F.col("_rated"))
+    norm = truncate_rating(F.col("rating")) - mean
+    return _with_totals(ratings, hot_rows).select("product", norm.alias("norm"))
 
 
 def max_normalized_rating(ratings: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -67,21 +75,19 @@ def preview(df: DataFrame, n: int, *keys: str) -> DataFrame:
     return df.orderBy(*(keys or df.columns)).limit(max(n, 0))
 
 
-def reviews_by_user(
-    ratings: DataFrame, max_reviews: int = MAX_REVIEWS, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def reviews_by_user(ratings: DataFrame, parts: int) -> DataFrame:
     """(user, part, n_reviews, reviews): each user's reviews as (product, rating, copies).
 
-    A user has one row, part 0, unless they have more than ``max_reviews`` reviews: those
-    are split over several parts of about that length, so that no row grows without
-    bound. Equal reviews are counted before anything is collected.
+    ``parts`` is the caller's choice and holds for every user alike: with 1, a user has one row,
+    which must hold all that is different among their reviews. With more, a hash of the review
+    says which of a user's rows it is in. Equal reviews are counted on the map side before
+    anything is collected.
     """
+    if parts < 1:
+        raise ValueError(f"there must be at least 1 part, got {parts}")
     bag = ratings.groupBy("user", "product", "rating").agg(F.count("*").alias("copies"))
-    totals = bag.groupBy("user").agg(F.sum("copies").alias("n"))
-    spread = join_back(bag, totals, "user", hot_rows=hot_rows)
-    parts = F.ceil(F.col("n") / max_reviews)
     part = F.floor(unit_draw(0, F.col("product"), F.col("rating")) * parts).cast("int")
-    grouped = spread.withColumn("part", part).groupBy("user", "part")
+    grouped = bag.withColumn("part", part).groupBy("user", "part")
     return grouped.agg(
         F.sum("copies").alias("n_reviews"),
         F.array_sort(F.collect_list(F.struct("product", "rating", "copies"))).alias("reviews"),

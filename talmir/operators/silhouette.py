@@ -12,26 +12,25 @@ it is called; the scores themselves are as lazy as any DataFrame.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from talmir.functions import unit_draw
 from talmir.operators.clusters import (
-    MAX_SMALL_K,
     check_k,
     check_labels,
+    check_model,
+    check_t,
     cluster_sizes,
-    draw,
     identified,
-    pages,
+    identity_texts,
     sample_given_sizes,
     settled_sizes,
     with_sizes,
 )
-from talmir.operators.kernels import ClusterStatistics, mean_distances, trial_mean_distances
+from talmir.operators.kernels import SCORES, ClusterStatistics, mean_distances, score_sums
 from talmir.session import cut_lineage
 
 
@@ -68,16 +67,30 @@ def _statistics(sizes: DataFrame, sample: DataFrame, t: float, *keys: str) -> Da
 def cluster_statistics(points: DataFrame, sample: DataFrame, t: float, k: int) -> DataFrame:
     """(cluster, n, ns, mean, scatter, denominator), one row per cluster that has points."""
     check_k(k, least=2)
+    check_t(t)
     return _statistics(cluster_sizes(check_labels(points, k)), sample, t, "cluster")
 
 
+def collected(statistics: DataFrame, *keys: str) -> dict[tuple, ClusterStatistics]:
+    """The statistics, by the values of the keys. They are a model: a few rows per cluster."""
+    groups: dict[tuple, list] = {}
+    for row in statistics.collect():
+        groups.setdefault(tuple(row[key] for key in keys), []).append(row)
+    found = {key: ClusterStatistics(rows) for key, rows in groups.items()}
+    rows = sum(len(s.clusters) for s in found.values())
+    check_model(rows, max([1, *[s.dimensions or 1 for s in found.values()]]))
+    return found
+
+
 def _sampled(
     points: DataFrame, t: float, k: int, seed: int, id_column: str | None
 ) -> tuple[DataFrame, DataFrame]:
-    """A sample, and the statistics of the clusters against it, from one pass for sizes."""
+    """A stored sample, and the statistics of the clusters against it: two passes."""
     check_k(k, least=2)
+    check_t(t)
     sizes = settled_sizes(points, k)
     sample = sample_given_sizes(points, sizes, t, seed, k, id_column)
+    sample = cut_lineage(sample.select("point", "cluster"))
     return sample, _statistics(sizes, sample, t, "cluster")
 
 
@@ -88,20 +101,14 @@ def _coefficient(a: Column, b: Column) -> Column:
     return F.when(b != float("inf"), s)
 
 
-def _score(points: DataFrame, rounds: Iterator[ClusterStatistics]) -> DataFrame:
-    """The points with (own, other) folded over the rounds; one is the usual case."""
-    columns = points.columns
-    own, other = F.lit(None).cast("double"), F.lit(float("inf"))
-    scored = False
-    for statistics in rounds:
-        if scored:
-            points = cut_lineage(points)
-            own, other = F.col("_m")["own"], F.col("_m")["other"]
-        fold = mean_distances(statistics)(F.col("point"), F.col("cluster"), own, other)
-        points = points.select(*columns, fold.alias("_m"))
-        scored = True
+def score_points(points: DataFrame, statistics: DataFrame) -> DataFrame:
+    """The points with a, b and s, from :func:`cluster_statistics`; one pass, no shuffle."""
+    model = collected(statistics).get((), ClusterStatistics([]))
+    model = points.sparkSession.sparkContext.broadcast(model)
+    columns = [c for c in points.columns if c not in ("a", "b", "s")]
+    m = mean_distances(model)(F.col("point"), F.col("cluster"))
     a, b = F.col("_m")["own"], F.col("_m")["other"]
-    return points.select(
+    return points.select(*columns, m.alias("_m")).select(
         *columns,
         a.alias("a"),
         F.when(b != float("inf"), b).alias("b"),
@@ -109,24 +116,28 @@ def _score(points: DataFrame, rounds: Iterator[ClusterStatistics]) -> DataFrame:
     )
 
 
-def _rounds(statistics: DataFrame, page: int) -> Iterator[ClusterStatistics]:
-    return (ClusterStatistics(rows) for rows in pages(statistics, "cluster", page))
-
-
-def score_points(points: DataFrame, statistics: DataFrame, page: int = MAX_SMALL_K) -> DataFrame:
-    """The points with a, b and s, from :func:`cluster_statistics`."""
-    return _score(points, _rounds(statistics, page))
+def silhouette_points(points: DataFrame, sample: DataFrame, t: float, k: int) -> DataFrame:
+    """Every point with a, b and its coefficient s against the sample."""
+    return score_points(points, cluster_statistics(points, sample, t, k))
 
 
-def silhouette_points(
-    points: DataFrame, sample: DataFrame, t: float, k: int, page: int = MAX_SMALL_K
-) -> DataFrame:
-    """Every point with a, b and its coefficient s against the sample."""
-    return score_points(points, cluster_statistics(points, sample, t, k), page)
+def summed_scores(parts: DataFrame) -> DataFrame:
+    """(key, n, mean) from the SCORES of all partitions."""
+    grouped = parts.groupBy("key").agg(
+        F.sum("n").alias("n"), F.sum("scored").alias("scored"), F.sum("total").alias("total")
+    )
+    return grouped.select("key", "n", F.try_divide("total", "scored").alias("mean"))
 
 
-def _mean_score(scored: DataFrame) -> DataFrame:
-    return scored.agg(F.count("*").alias("n"), F.avg("s").alias("silhouette"))
+def _mean_score(points: DataFrame, statistics: DataFrame) -> DataFrame:
+    model = {0: collected(statistics).get((), ClusterStatistics([]))}
+    model = points.sparkSession.sparkContext.broadcast(model)
+    parts = points.select("point", "cluster").mapInArrow(score_sums(model), SCORES)
+    total = parts.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.try_divide(F.sum("total"), F.sum("scored")).alias("silhouette"),
+    )
+    return total
 
 
 def approx_silhouette(
@@ -134,7 +145,7 @@ def approx_silhouette(
 ) -> DataFrame:
     """One row (n, silhouette): mean over all points against a sample of them."""
     _, statistics = _sampled(points, t, k, seed, id_column)
-    return _mean_score(score_points(points, statistics))
+    return _mean_score(points, statistics)
 
 
 def exact_sample_silhouette(
@@ -142,7 +153,7 @@ def exact_sample_silhouette(
 ) -> DataFrame:
     """One row (n, silhouette): mean over the sampled points only, same denominators."""
     sample, statistics = _sampled(points, t, k, seed, id_column)
-    return _mean_score(score_points(sample, statistics))
+    return _mean_score(sample, statistics)
 
 
 def silhouette_trials(
@@ -151,69 +162,48 @@ def silhouette_trials(
     k: int,
     trials: int,
     id_column: str | None = None,
-    max_rows: int = MAX_SMALL_K,
 ) -> DataFrame:
     """(trial, n, approx, n_sample, exact), for independent samples seeded 0 to trials - 1.
 
-    All trials share one pass over the points for their samples, and one for the scores.
+    The points are read three times, whatever the number of trials: for the sizes, for the
+    samples of all trials (stored once), and for the scores of all trials.
     """
     check_k(k, least=2)
+    check_t(t)
     if trials < 1:
         raise ValueError(f"there must be at least 1 trial, got {trials}")
-    if trials * k > max_rows:
-        return _trials_one_by_one(points, t, k, trials, id_column)
-
+    context = points.sparkSession.sparkContext
     sizes = settled_sizes(points, k)
     rows, ids = identified(points, id_column)
-    numbers = F.explode(F.sequence(F.lit(0), F.lit(trials - 1))).alias("trial")
-    candidates = with_sizes(rows, sizes, k).select("*", numbers)
-    sample = draw(candidates, t, F.col("trial"), ids).select("trial", "point", "cluster")
-    every_size = sizes.select("*", numbers)
-    collected = _statistics(every_size, sample, t, "trial", "cluster").collect()
-    statistics = {
-        trial: ClusterStatistics([row for row in collected if row["trial"] == trial])
-        for trial in range(trials)
-    }
-
-    def score(trial: int) -> Column:
-        fold = mean_distances(statistics[trial])
-        own, other = F.lit(None).cast("double"), F.lit(float("inf"))
-        return fold(F.col("point"), F.col("cluster"), own, other)
-
-    folded = points.select(*[score(trial).alias(f"m{trial}") for trial in range(trials)])
-    means = [
-        F.avg(_coefficient(F.col(f"m{trial}")["own"], F.col(f"m{trial}")["other"]))
-        for trial in range(trials)
-    ]
-    approx = folded.agg(F.count("*").alias("n"), F.array(*means).alias("means"))
-    approx = approx.select("n", F.posexplode("means").alias("trial", "approx"))
-
-    fold = trial_mean_distances(statistics)(F.col("point"), F.col("cluster"), F.col("trial"))
-    m = sample.select("trial", fold.alias("m"))
-    s = _coefficient(F.col("m")["own"], F.col("m")["other"])
-    exact = m.groupBy("trial").agg(F.count("*").alias("n_sample"), F.avg(s).alias("exact"))
-    return approx.join(exact, "trial", "left").select(
-        "trial", "n", "approx", F.coalesce("n_sample", F.lit(0)).alias("n_sample"), "exact"
+    rows = with_sizes(rows, sizes, k)
+    texts = identity_texts(rows, ids)
+    numbers = F.sequence(F.lit(0), F.lit(trials - 1))
+    # Drawn before it is exploded: a point becomes as many rows as trials that drew it.
+    drawn = F.filter(numbers, lambda i: unit_draw(i, *texts) < F.lit(float(t)) / F.col("_size"))
+    sample = cut_lineage(rows.select("point", "cluster", F.explode(drawn).alias("_trial")))
+    every_size = sizes.select("*", F.explode(numbers).alias("_trial"))
+    found = collected(_statistics(every_size, sample, t, "_trial", "cluster"), "_trial")
+    model = context.broadcast({i: found.get((i,), ClusterStatistics([])) for i in range(trials)})
+
+    approx = summed_scores(points.select("point", "cluster").mapInArrow(score_sums(model), SCORES))
+    exact = sample.select("point", "cluster", "_trial").mapInArrow(
+        score_sums(model, keyed=True), SCORES
+    )
+    exact = summed_scores(exact).select(
+        "key", F.col("n").alias("n_sample"), F.col("mean").alias("exact")
+    )
+    all_trials = points.sparkSession.range(trials).select(F.col("id").cast("int").alias("key"))
+    return (
+        all_trials.join(approx, "key", "left")
+        .join(exact, "key", "left")
+        .select(
+            F.col("key").alias("trial"),
+            F.coalesce("n", F.lit(0)).alias("n"),
+            F.col("mean").alias("approx"),
+            F.coalesce("n_sample", F.lit(0)).alias("n_sample"),
+            "exact",
+        )
     )
-
-
-def _trials_one_by_one(points, t, k, trials, id_column) -> DataFrame:
-    result = None
-    for trial in range(trials):
-        sample, statistics = _sampled(points, t, k, trial, id_column)
-        approx = _mean_score(score_points(points, statistics))
-        exact = _mean_score(score_points(sample, statistics))
-        both = [
-            approx.select(F.lit(trial).alias("trial"), "n", F.col("silhouette").alias("approx")),
-            exact.select(
-                F.lit(trial).alias("trial"),
-                F.col("n").alias("n_sample"),
-                F.col("silhouette").alias("exact"),
-            ),
-        ]
-        row = both[0].join(both[1], "trial")
-        result = row if result is None else result.unionByName(row)
-    return result
 
 
 def repeated_silhouette(

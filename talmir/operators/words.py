@@ -41,7 +41,8 @@ def word_count(docs: DataFrame, text: str = "text") -> DataFrame:
 def word_count_salted(
     docs: DataFrame, k: int, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(word, cnt) in two rounds; each occurrence gets one of k salts as it is read."""
+    """(word, cnt) in two rounds. A word gets one of k salts per document as it is read, so all
+    its occurrences in a document share one."""
     words = _words(docs, text, doc).select("word", _salt(k, "word", doc))
     return _sum_per_word(words.groupBy("salt", "word").agg(F.count("*").alias("cnt")))
 
@@ -49,14 +50,13 @@ def word_count_salted(
 def word_count_salted_groupby(
     docs: DataFrame, k: int, doc: str = "doc_id", text: str = "text"
 ) -> DataFrame:
-    """(word, cnt) in two rounds; the salt is drawn by the grouping, per document and word.
+    """(word, cnt) in two rounds after the counts per document: these get the salts.
 
-    All occurrences of a word in a document share a salt, so that the map side has the
-    count per document combined before it shuffles. Counting per document first, as
-    :func:`doc_word_count` does, would add a shuffle of every such pair.
+    Unlike :func:`word_count_salted` it counts each document's words first, which is a shuffle
+    of every such pair more, and salts depend on that count too.
     """
-    grouped = _words(docs, text, doc).groupBy(_salt(k, doc, "word"), "word")
-    return _sum_per_word(grouped.agg(F.count("*").alias("cnt")))
+    counts = doc_word_count(docs, doc, text).select("word", "cnt", _salt(k, "word", doc, "cnt"))
+    return _sum_per_word(counts.groupBy("salt", "word").agg(F.sum("cnt").alias("cnt")))
 
 
 def word_count_by_partition(docs: DataFrame, text: str = "text") -> DataFrame:

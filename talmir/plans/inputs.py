@@ -7,8 +7,6 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from talmir.sources import spread
-
 LABELS = 10  # embeddings.label is 0 to 9
 
 
@@ -17,7 +15,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(table(spark, folder, "documents").select("doc_id", "text"))
+    return table(spark, folder, "documents").select("doc_id", "text")
 
 
 def ratings(spark: SparkSession, folder: str) -> DataFrame:
@@ -46,3 +44,11 @@ def label_means(points: DataFrame) -> DataFrame:
     mean = Summarizer.mean(array_to_vector(F.col("point")))
     means = points.groupBy(F.col("cluster").alias("cid"))
     return means.agg(vector_to_array(mean).alias("centre"))
+
+
+def whole_points(spark: SparkSession, folder: str) -> DataFrame:
+    """Points of three small whole numbers, without an id, many of them equal."""
+    whole = F.transform(F.slice("embedding", 1, 3), lambda x: F.floor(x * 4).cast("double"))
+    return table(spark, folder, "embeddings").select(
+        whole.alias("point"), F.col("label").cast("int").alias("cluster")
+    )

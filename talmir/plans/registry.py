@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from talmir.functions import squared_distance, truncate_rating
 from talmir.operators import clusters, kmeans, ratings, silhouette, words
-from talmir.plans.inputs import LABELS, documents, label_means, points, table
+from talmir.plans.inputs import LABELS, documents, label_means, points, table, whole_points
 from talmir.plans.inputs import ratings as read_given_ratings
 from talmir.session import new_path
 from talmir.sources import (
@@ -18,6 +18,7 @@ from talmir.sources import (
     read_lines,
     read_points,
     read_ratings,
+    split_bad_ratings,
     write_result,
 )
 
@@ -111,12 +112,12 @@ def _reviews_as_text(df: DataFrame) -> DataFrame:
 
 
 def _reviews_by_user(spark, folder):
-    return _reviews_as_text(ratings.reviews_by_user(read_given_ratings(spark, folder)))
+    return _reviews_as_text(ratings.reviews_by_user(read_given_ratings(spark, folder), 1))
 
 
 def _reviews_by_user_parts(spark, folder):
     given = read_given_ratings(spark, folder)
-    return _reviews_as_text(ratings.reviews_by_user(given, max_reviews=16))
+    return _reviews_as_text(ratings.reviews_by_user(given, 3))
 
 
 def _user_totals(spark, folder):
@@ -202,8 +203,19 @@ def _repeated(spark, folder):
 
 
 def _kmeans_random(spark, folder):
-    centres = kmeans.kmeans(points(spark, folder), 4, 10, 1)
-    return _rounded(_by_dimension(centres, "centre", "cid"), 6, "x")
+    """Whatever the start, each centre ends as the mean of the points nearest to it."""
+    given = points(spark, folder).select("point")
+    centres = kmeans.kmeans(given, 4, 200, 1)
+    assigned = clusters.assign_clusters(given, centres)
+    means = label_means(assigned).withColumnRenamed("centre", "mean")
+    counts = clusters.cluster_sizes(assigned).withColumnRenamed("cluster", "cid")
+    both = centres.join(means, "cid").join(counts, "cid")
+    shift = squared_distance(F.col("centre"), F.col("mean"))
+    return both.agg(
+        F.count("*").alias("n_centres"),
+        F.sum("n").alias("n_points"),
+        F.round(F.max(shift), 3).alias("shift"),
+    )
 
 
 def _lloyd(spark, folder):
@@ -222,6 +234,48 @@ def _k_sweep(spark, folder):
     return _rounded(result, 5, "silhouette")
 
 
+def _k_sweep_random(spark, folder):
+    result = kmeans.k_sweep(points(spark, folder), 2, 2, 5, 50, 1, "vec_id", random_start=True)
+    return result.select("k", "n", F.col("silhouette").between(-1, 1).alias("in_range"))
+
+
+def _sample_rows_no_id(spark, folder):
+    sample = clusters.sample_clusters(whole_points(spark, folder), T, SEED, LABELS)
+    text = F.concat_ws(",", F.col("point").cast("array<bigint>").cast("array<string>"))
+    return sample.groupBy(text.alias("p"), "cluster").agg(F.count("*").alias("n"))
+
+
+def _approx_silhouette_no_id(spark, folder):
+    result = silhouette.approx_silhouette(whole_points(spark, folder), T, LABELS, SEED)
+    return _rounded(result, 5, "silhouette")
+
+
+def _last_reviews_from_text(spark, folder):
+    """The events of a day as one document of rating lines, in their order."""
+    line = F.concat_ws(",", "event_type", "user_id", "value", F.unix_seconds(F.col("ts").cast("timestamp")))
+    placed = F.array_sort(F.collect_list(F.struct("ts", "event_id", line.alias("line"))))
+    days = table(spark, folder, "events").groupBy(F.col("ts").cast("date").cast("string").alias("doc"))
+    docs = days.agg(F.array_join(F.transform(placed, lambda x: x["line"]), "\n").alias("text"))
+    last = ratings.last_review_per_document(ratings.split_reviews(docs))
+    return last.withColumn("user", F.col("user").cast("bigint"))
+
+
+def _rejected_ratings(spark, folder):
+    """Every tenth product's ratings are no numbers."""
+    given = read_given_ratings(spark, folder)
+    rating = F.when(F.col("product") % 10 == 0, F.lit("none")).otherwise(F.col("rating").cast("string"))
+    lines = given.select(F.concat_ws(",", "product", "user", rating, "ts").alias("value"))
+    _, bad = split_bad_ratings(lines)
+    return bad.groupBy("value").agg(F.count("*").alias("n"))
+
+
+def _norms_missing(spark, folder):
+    """Every fourth rating is missing."""
+    given = read_given_ratings(spark, folder)
+    some = given.withColumn("rating", F.when(F.col("rating") % 4 != 0, F.col("rating")))
+    return _rounded(ratings.normalize_ratings(some), 6, "norm")
+
+
 def _on_documents(operator, *arguments) -> Query:
     return lambda spark, folder: operator(documents(spark, folder), *arguments)
 
@@ -265,4 +319,10 @@ QUERIES: dict[str, Query] = {
     "lloyd_kmeans": _lloyd,
     "assign_clusters": _assigned,
     "k_sweep": _k_sweep,
+    "k_sweep_random": _k_sweep_random,
+    "sample_clusters_no_id": _sample_rows_no_id,
+    "approx_silhouette_no_id": _approx_silhouette_no_id,
+    "last_review_per_document_from_text": _last_reviews_from_text,
+    "rejected_ratings": _rejected_ratings,
+    "normalize_ratings_missing": _norms_missing,
 }

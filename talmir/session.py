@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -10,15 +13,31 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
+_local_folders: list[str] = []
+
+
+@atexit.register
+def _remove_local_folders() -> None:
+    for folder in _local_folders:
+        shutil.rmtree(folder, ignore_errors=True)
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is set."""
-    folder = spark.conf.get(CHECKPOINT_CONF, None)
+    """The cluster's checkpoint folder.
+
+    Where none is set, a local master gets a temporary one, removed when Python ends. On a
+    cluster that is an error: executors do not see each other's folders.
+    """
+    folder = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="talmir-"))
-    return context.getCheckpointDir()
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share ({master})")
+    folder = tempfile.mkdtemp(prefix="talmir-")
+    _local_folders.append(folder)
+    spark.sparkContext.setCheckpointDir(folder)
+    return folder
 
 
 def new_path(spark: SparkSession, name: str) -> str:

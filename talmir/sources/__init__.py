@@ -10,7 +10,6 @@ from talmir.sources.text import (
     split_bad_labelled_points,
     split_bad_points,
     split_bad_ratings,
-    spread,
     write_result,
 )
 
@@ -26,6 +25,5 @@ __all__ = [
     "split_bad_labelled_points",
     "split_bad_points",
     "split_bad_ratings",
-    "spread",
     "write_result",
 ]

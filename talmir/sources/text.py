@@ -34,15 +34,6 @@ def partition_into(df: DataFrame, n: int) -> DataFrame:
     return df.repartition(n)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """One partition per core, for a table as read that has fewer splits than there are cores.
-
-    Only small inputs have so few, so the shuffle is small too. Others stay as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return partition_into(df, cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_result(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """Write a result as Parquet, one file per partition."""
     df.write.mode(mode).parquet(path)
@@ -54,7 +45,9 @@ def _doubles(texts: Column) -> Column:
 
 
 def _complete(numbers: Column) -> Column:
-    return (F.size(numbers) > 0) & F.forall(numbers, lambda x: x.isNotNull())
+    """At least one number, and all of them finite (NaN is above every number here)."""
+    finite = lambda x: F.coalesce(F.abs(x) < F.lit(float("inf")), F.lit(False))
+    return (F.size(numbers) > 0) & F.forall(numbers, finite)
 
 
 class _Format:
