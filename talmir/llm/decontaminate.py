@@ -89,29 +89,30 @@ def contained_items(
 
     source = docs.select(text_or_empty(text).alias("_text"))
     digest = F.sha2(F.col("_text").cast("binary"), 256)
-    hashed = source.select(digest.alias("digest"), words(F.col("_text")).alias("_w"))
-    hashed = hashed.select("digest", F.explode(_hashes("_w", shingle)).alias("hash"))
+    split = source.select("_text", digest.alias("digest"), words(F.col("_text")).alias("_w"))
+    hashed = split.select("digest", "_text", F.explode(_hashes("_w", shingle)).alias("hash"))
     candidates = None
     for part in range(parts):
         some = sketches.filter(F.col("part") == part).select("_item", "hash")
-        met = hashed.join(F.broadcast(some), "hash").select("digest", "_item").distinct()
+        # Only texts that meet a sketch leave the task that read them, each once.
+        met = hashed.join(F.broadcast(some), "hash").groupBy("digest")
+        met = met.agg(F.first("_text").alias("_text"), F.collect_set("_item").alias("_items"))
         met = stored(met, "candidates")
         candidates = met if candidates is None else candidates.unionByName(met)
     if candidates is None:
+        kind = dict(items.dtypes)[item]
         candidates = docs.sparkSession.createDataFrame(
-            [], f"digest string, _item {dict(items.dtypes)[item]}"
+            [], f"digest string, _text string, _items array<{kind}>"
         )
 
-    # One text of each candidate; only these are looked at again.
-    wanted = candidates.select("digest").distinct()
-    texts = source.select(digest.alias("digest"), "_text").join(wanted, "digest", "left_semi")
-    texts = texts.groupBy("digest").agg(F.first("_text").alias("_text"))
+    pairs = candidates.select("digest", F.explode("_items").alias("_item"))
+    texts = candidates.groupBy("digest").agg(F.first("_text").alias("_text"))
     grams = texts.select("digest", words(F.col("_text")).alias("_w"))
     grams = grams.select("digest", F.explode(F.array_distinct(_texts("_w", shingle))).alias("gram"))
     vocabulary = shingles.select("gram").distinct()
     # Few shingles of a document are in any item, so this comes before the join with pairs.
     grams = grams.join(vocabulary, "gram", "left_semi")
-    pairs = candidates.join(shingles.select("_item", "gram", "n"), "_item")
+    pairs = pairs.join(shingles.select("_item", "gram", "n"), "_item")
     shared = pairs.join(grams, ["digest", "gram"]).groupBy("digest", "_item")
     shared = shared.agg(F.first("n").alias("n_shingles"), F.count("*").alias("n_shared"))
     enough = F.col("n_shared") >= least_shared(F.col("n_shingles"), threshold)
@@ -136,7 +137,10 @@ def find_leaks(
 
 
 def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", **options) -> DataFrame:
-    """The documents that contain no item, with their own columns."""
+    """The documents that contain no item, with their own columns.
+
+    The join is by shuffle whatever the number of leaks, which grows with the documents.
+    """
     found = contained_items(docs, items, text=text, **options).select(F.col("digest").alias("_leak"))
     digest = F.sha2(text_or_empty(text).cast("binary"), 256)
-    return docs.join(found.distinct(), digest == F.col("_leak"), "left_anti")
+    return docs.join(found.distinct().hint("merge"), digest == F.col("_leak"), "left_anti")
