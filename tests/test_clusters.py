@@ -104,7 +104,7 @@ def test_copies_are_drawn_independently(spark):
 def test_copies_are_numbered_from_zero(spark, copy_run):
     df = frame(spark, [[1.0]] * 20 + [[2.0]] * 3 + [[1.0]] * 5, [0] * 23 + [1] * 5)
     rows = clusters.number_copies(df, copy_run).collect()
-    assert sorted((r.point[0], r.cluster, r.copy) for r in rows) == (
+    assert sorted((r.point[0], r.cluster, r._copy) for r in rows) == (
         [(1.0, 0, i) for i in range(20)]
         + [(1.0, 1, i) for i in range(5)]
         + [(2.0, 0, i) for i in range(3)]
@@ -227,34 +227,85 @@ def test_matrix_of_a_slice():
         to_matrix(pa.array([[1.0, None]]), 2)
 
 
-@pytest.mark.parametrize("page", [1, 2, 3])
-def test_many_clusters_are_taken_in_rounds(spark, blobs, page):
+def test_many_clusters_do_not_rewrite_the_points(spark, blobs, monkeypatch):
     df = frame(spark, *blobs)
-    once = silhouette.silhouette_points(df, df, 10, 3)
-    rounds = silhouette.silhouette_points(df, df, 10, 3, page=page)
-    assert rounds.columns == once.columns
-    np.testing.assert_allclose(scored(rounds), scored(once))
+    expected = scored(silhouette.silhouette_points(df, df, 400, 3))
+    rows = [(i, [float(i), 0.0, 0.0]) for i in range(300)]
+    centres = spark.createDataFrame(rows, "cid int, centre array<double>")
+    assigned = ids(clusters.assign_clusters(df, centres).filter("cluster >= 0"))
 
+    def refuse(_):
+        raise AssertionError("the points were written")
 
-def test_pages_cover_a_table_in_order(spark):
-    table = spark.createDataFrame([(i * 3,) for i in range(10)], "key int")
-    for size in (1, 3, 5, 10, 11):
-        read = list(clusters.pages(table, "key", size))
-        assert all(len(page) <= size for page in read)
-        assert [r.key for page in read for r in page] == [i * 3 for i in range(10)]
+    monkeypatch.setattr(clusters, "MAX_SMALL_K", 2)
+    monkeypatch.setattr(clusters, "cut_lineage", refuse)
+    monkeypatch.setattr(silhouette, "cut_lineage", refuse)
+    np.testing.assert_allclose(scored(silhouette.silhouette_points(df, df, 400, 3)), expected)
+    assert ids(clusters.assign_clusters(df, centres).filter("cluster >= 0")) == assigned
+
+
+def test_models_have_a_bound(spark, monkeypatch):
+    df = frame(spark, [[0.0, 1.0]], [0])
+    centres = spark.createDataFrame([(0, [0.0, 0.0])] * 3, "cid int, centre array<double>")
+    monkeypatch.setattr(clusters, "MAX_MODEL_NUMBERS", 5)
+    with pytest.raises(ValueError, match="do not fit"):
+        clusters.assign_clusters(df, centres)
+
+
+@pytest.mark.parametrize("t", [0, -1, float("nan")])
+def test_sample_size_must_be_positive(spark, blobs, t):
+    df = frame(spark, *blobs)
+    for call in (
+        lambda: clusters.sample_clusters(df, t, 1, 3, "id"),
+        lambda: silhouette.approx_silhouette(df, t, 3, 1, "id"),
+        lambda: silhouette.exact_sample_silhouette(df, t, 3, 1, "id"),
+        lambda: silhouette.silhouette_points(df, df, t, 3),
+        lambda: silhouette.silhouette_trials(df, t, 3, 2, "id"),
+    ):
+        with pytest.raises(ValueError, match="above 0"):
+            call()
+
+
+def test_other_columns_may_have_any_name(spark, blobs):
+    names = ["n", "copy", "trial", "own", "_row", "key", "mean", "start"]
+    plain = frame(spark, *blobs)
+    df = plain.select("*", *[F.lit("x").alias(name) for name in names])
+    sample = clusters.sample_clusters(df, 20, 1, 3, "id")
+    assert ids(sample) == ids(clusters.sample_clusters(plain, 20, 1, 3, "id"))
+    assert clusters.sample_clusters(df, 20, 1, 3).count() == clusters.sample_clusters(plain, 20, 1, 3).count()
+    for operator in (silhouette.approx_silhouette, silhouette.exact_sample_silhouette):
+        assert operator(df, 20, 3, 1, "id").first() == operator(plain, 20, 3, 1, "id").first()
+    assert silhouette.silhouette_trials(df, 20, 3, 2, "id").count() == 2
+    points = silhouette.silhouette_points(df, sample, 20, 3)
+    assert set(names) < set(points.columns) and points.count() == plain.count()
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf")])
+def test_points_must_be_finite(spark, bad):
+    df = frame(spark, [[bad, 1.0], [0.0, 0.0]], [0, 1])
+    centres = spark.createDataFrame([(0, [0.0, 0.0])], "cid int, centre array<double>")
+    with pytest.raises(Exception, match="NaN or infinite"):
+        clusters.assign_clusters(df, centres).collect()
+    with pytest.raises(Exception, match="NaN or infinite"):
+        silhouette.approx_silhouette(df, 5, 2, 1, "id").collect()
+
+
+def test_overflowing_distances_go_to_the_first_centre(spark):
+    df = frame(spark, [[1e200, 1e200], [3.0, 0.0]], [0, 0])
+    centres = spark.createDataFrame([(4, [0.0, 0.0]), (7, [3.0, 0.0])], "cid int, centre array<double>")
+    assert [r.cluster for r in clusters.assign_clusters(df, centres).orderBy("id").collect()] == [4, 7]
 
 
 def test_trials(spark, blobs):
     df = frame(spark, *blobs)
     together = silhouette.silhouette_trials(df, 6, 3, 4, "id").orderBy("trial").collect()
-    apart = silhouette.silhouette_trials(df, 6, 3, 4, "id", max_rows=1).orderBy("trial").collect()
     assert [r.trial for r in together] == [0, 1, 2, 3]
-    for one, other in zip(together, apart, strict=True):
-        assert (one.n, one.n_sample) == (other.n, other.n_sample)
+    for one in together:
         single = silhouette.approx_silhouette(df, 6, 3, one.trial, "id").first().silhouette
-        assert one.approx == pytest.approx(other.approx) == pytest.approx(single)
+        assert one.approx == pytest.approx(single)
         exact = silhouette.exact_sample_silhouette(df, 6, 3, one.trial, "id").first()
-        assert one.exact == pytest.approx(other.exact) == pytest.approx(exact.silhouette)
+        assert (one.n, one.n_sample) == (len(blobs[1]), exact.n)
+        assert one.exact == pytest.approx(exact.silhouette)
     mean = silhouette.repeated_silhouette(df, 6, 3, 4, "id").first()
     assert mean.trials == 4
     assert mean.approx == pytest.approx(np.mean([r.approx for r in together]))
@@ -268,13 +319,12 @@ def test_trials_without_ids(spark, blobs):
         silhouette.silhouette_trials(frame(spark, *blobs), 5, 3, 0)
 
 
-@pytest.mark.parametrize("page", [1, 2, 10])
-def test_nearest_centre_and_ties(spark, page):
+def test_nearest_centre_and_ties(spark):
     df = frame(spark, [[0.0], [1.0], [1.1], [-5.0], [1e9]], [7] * 5)
     centres = spark.createDataFrame(
         [(2, [2.0]), (0, [0.0]), (1, [2.0])], "cid int, centre array<double>"
     )
-    rows = clusters.assign_clusters(df, centres, page).orderBy("id").collect()
+    rows = clusters.assign_clusters(df, centres).orderBy("id").collect()
     assert [r.cluster for r in rows] == [0, 0, 1, 0, 1]
     assert set(rows[0].asDict()) == {"id", "point", "cluster"}
 

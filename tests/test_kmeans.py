@@ -45,9 +45,49 @@ def test_lloyd_without_ids_is_repeatable(spark, cloud):
 
 
 def test_empty_cluster_keeps_its_centre(spark):
-    # Equal points: every one is nearest to centre 0.
-    df = frame(spark, [[1.0, 2.0]] * 6, [0] * 6)
-    assert centres_of(kmeans.lloyd_kmeans(df, 3, 4, 1, "id")).tolist() == [[1.0, 2.0]] * 3
+    # All points move to the first centre by hash, or to the other: one stays behind.
+    sets = [[[0.0], [100.0], [200.0]]]
+    df = frame(spark, [[0.0], [2.0], [101.0]], [0] * 3)
+    moved = {(r.s, r.cid): r["mean"] for r in kmeans._step(df, sets).collect()}
+    assert moved == {(0, 0): [1.0], (0, 1): [101.0]}
+
+
+@pytest.mark.parametrize("id_column", ["id", None])
+def test_start_points_differ(spark, id_column):
+    points = [[0.0, 0.0]] * 50 + [[1.0, 1.0]] * 50 + [[5.0, 5.0], [6.0, 6.0], [7.0, 7.0]]
+    df = frame(spark, points, [0] * len(points))
+    centres = kmeans._initial_centres(df, 3, 3, id_column)
+    assert len({tuple(c) for c in centres}) == 3
+    every = kmeans._initial_centres(df, 9, 3, id_column)
+    assert sorted(c[0] for c in every) == [0, 1, 5, 6, 7]
+
+
+def test_start_looks_past_copies(spark):
+    # The first hundreds by hash are copies of one point.
+    df = frame(spark, [[0.0]] * 3000 + [[1.0], [2.0]], [0] * 3002)
+    assert sorted(kmeans._initial_centres(df, 3, 1, None)) == [[0.0], [1.0], [2.0]]
+
+
+def test_one_cluster_is_the_mean(spark, cloud):
+    df = frame(spark, cloud, [0] * len(cloud))
+    for trainer in (kmeans.kmeans, kmeans.lloyd_kmeans):
+        np.testing.assert_allclose(centres_of(trainer(df, 1, 3, 1))[0], cloud.mean(axis=0))
+
+
+@pytest.mark.parametrize("h", [1, 3])
+def test_sweep_reads_its_source_no_more_for_more_k(spark, cloud, tmp_path, h):
+    frame(spark, cloud, [0] * len(cloud)).write.parquet(str(tmp_path / "points"))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    source = spark.read.parquet(str(tmp_path / "points")).coalesce(1)
+    df = source.mapInArrow(counted, source.schema)
+    iters = 2
+    kmeans.k_sweep(df, 2, h, iters, 40, 1, "id").collect()
+    assert reads.value <= iters + 4
 
 
 def test_fewer_points_than_centres(spark):

@@ -7,8 +7,11 @@ from talmir.operators import ratings
 from talmir.operators.joins import join_back
 from tests.plans import final_plan, plan, uses_python
 
-TOY = [("pen", "ann", 4.0), ("pen", "bob", 5.0), ("cup", "bob", 1.0), ("hat", "cem", 3.0),
-       ("pen", "cem", 5.0), ("hat", "bob", 5.0), ("cup", "ann", 2.0)]
+# Means: u1 2.5, u2 4, u3 1, u4 3.5. Largest norms: tea 1.5, oil 1, rye 1, nut 0, fig 0.5.
+OWN = [
+    ("oil", "u2", 5.0), ("rye", "u2", 3.0), ("tea", "u1", 4.0), ("rye", "u1", 1.0), ("nut", "u3", 1.0),
+    ("fig", "u4", 4.0), ("oil", "u4", 3.0), ("rye", "u5", 2.0), ("nut", "u5", 0.0),
+]
 
 
 def frame(spark, rows):
@@ -26,6 +29,10 @@ def pairs(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def pairs_of(df):
+    return [tuple(r) for r in df.collect()]
+
+
 def test_ratings_are_truncated_toward_zero(spark):
     df = spark.createDataFrame([(4.7,), (-4.7,), (5.0,)], "r double")
     assert [r[0] for r in df.select(truncate_rating(F.col("r"))).collect()] == [4, -4, 5]
@@ -34,16 +41,13 @@ def test_ratings_are_truncated_toward_zero(spark):
 
 
 def test_top_products_with_ties_in_product_order(spark):
-    # Means: ann 3, bob 11/3, cem 4.
-    rows = [tuple(r) for r in ratings.top_products(frame(spark, TOY), 9).collect()]
-    assert [p for p, _ in rows] == ["hat", "pen", "cup"]
-    assert rows[0][1] == rows[1][1] == 5 - 11 / 3
-    assert rows[2][1] == -1.0
+    rows = [tuple(r) for r in ratings.top_products(frame(spark, OWN), 9).collect()]
+    assert rows == [("tea", 1.5), ("oil", 1.0), ("rye", 1.0), ("fig", 0.5), ("nut", 0.0)]
 
 
-@pytest.mark.parametrize("t, expected", [(0, 0), (-1, 0), (2, 2), (99, 3)])
+@pytest.mark.parametrize("t, expected", [(0, 0), (-1, 0), (2, 2), (99, 5)])
 def test_top_t(spark, t, expected):
-    assert ratings.top_products(frame(spark, TOY), t).count() == expected
+    assert ratings.top_products(frame(spark, OWN), t).count() == expected
 
 
 def test_one_review_per_user_is_neutral(spark):
@@ -110,27 +114,56 @@ def test_norms_of_a_user_add_up_to_zero(spark):
 
 
 def test_preview_is_in_key_order(spark):
-    rows = ratings.preview(frame(spark, TOY), 2, "user", "product").collect()
-    assert [(r.user, r.product) for r in rows] == [("ann", "cup"), ("ann", "pen")]
-    assert ratings.preview(frame(spark, TOY), 0).count() == 0
+    rows = ratings.preview(frame(spark, OWN), 3, "user", "product").collect()
+    assert [(r.user, r.product) for r in rows] == [("u1", "rye"), ("u1", "tea"), ("u2", "oil")]
+    assert ratings.preview(frame(spark, OWN), 0).count() == 0
+
+
+def test_missing_ratings_do_not_count_in_the_mean(spark):
+    df = frame(spark, [("a", "u", None), ("b", "u", 3.0), ("c", "u", 5.0), ("d", "v", None)])
+    assert sorted(map(str, pairs_of(ratings.normalize_ratings(df)))) == sorted(
+        map(str, [("a", None), ("b", -1.0), ("c", 1.0), ("d", None)])
+    )
 
 
 def test_reviews_by_user(spark):
-    df = frame(spark, [*TOY, ("pen", "ann", 4.0)])
-    rows = {r.user: r for r in ratings.reviews_by_user(df).collect()}
-    assert [tuple(x) for x in rows["ann"].reviews] == [("cup", 2.0, 1), ("pen", 4.0, 2)]
-    assert rows["ann"].n_reviews == 3
-    assert {r.part for r in rows.values()} == {0}
+    df = frame(spark, [*OWN, ("oil", "u4", 3.0)])
+    rows = {r.user: r for r in ratings.reviews_by_user(df, 1).collect()}
+    assert [tuple(x) for x in rows["u4"].reviews] == [("fig", 4.0, 1), ("oil", 3.0, 2)]
+    assert rows["u4"].n_reviews == 3
+    assert {r.part for r in rows.values()} == {0} and len(rows) == 5
+    with pytest.raises(ValueError, match="at least 1"):
+        ratings.reviews_by_user(df, 0)
 
 
-def test_long_review_lists_are_split_without_loss(spark):
+def test_reviews_in_parts_lose_nothing(spark):
     df = skewed(spark)
-    parts = ratings.reviews_by_user(df, max_reviews=5, hot_rows=50)
+    parts = ratings.reviews_by_user(df, 4)
     rows = parts.select("user", F.explode("reviews").alias("r")).select("user", "r.*")
     expected = df.groupBy("user", "product", "rating").agg(F.count("*").alias("copies"))
     assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, expected.collect()))
-    assert parts.agg(F.max(F.size("reviews"))).first()[0] < 20
-    assert parts.agg(F.sum("n_reviews")).first()[0] == df.count()
+    assert parts.agg(F.max("part"), F.sum("n_reviews")).first() == (3, df.count())
+
+
+def test_rows_by_user_do_not_depend_on_size(spark):
+    df = skewed(spark, 300)
+    larger = df
+    for _ in range(4):
+        larger = larger.unionByName(larger)
+    keys = ["user", "part"]
+    small, large = (sorted(map(tuple, ratings.reviews_by_user(x, 2).select(keys).collect())) for x in (df, larger))
+    assert small == large
+
+
+def test_more_hot_users_than_the_old_bound(spark):
+    # 12,000 users of 3 rows each. Few rows in all, so the share of a user does not count as hot.
+    df = spark.range(36_000).select(
+        (F.col("id") % 7).cast("string").alias("product"),
+        (F.col("id") % 12_000).cast("string").alias("user"),
+        (F.col("id") % 5).cast("double").alias("rating"),
+    )
+    plain = ratings.user_totals(df).orderBy("user", "product", "rating").collect()
+    assert ratings.user_totals(df, hot_rows=2).orderBy("user", "product", "rating").collect() == plain
 
 
 def test_later_review_in_a_document_wins(spark):
