@@ -44,7 +44,9 @@ UNKNOWN_SURFACE = " ⁇ "
 
 FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LONG_WORD = 256
-CACHED_WORDS = 400_000
+CACHED_WORDS = 100_000
+# Texts that are encoded at a time.
+BATCH_TEXTS = 64
 
 
 def _fields(data: bytes):
@@ -368,13 +370,14 @@ class Pieces:
             encoder = getattr(model.value, "_encoder", None)
             if encoder is None:
                 encoder = model.value._encoder = Encoder(model.value)
-            found, step = [], 256
-            for i in range(0, len(batches), step):
-                found += encoder.encode(batches.slice(i, step).to_pylist())
-            sizes = np.fromiter(map(len, found), np.int32, len(found))
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            flat = np.fromiter(chain.from_iterable(found), np.int32, int(offsets[-1]))
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+            flat, sizes = [], [np.zeros(1, np.int32)]
+            for i in range(0, len(batches), BATCH_TEXTS):
+                found = encoder.encode(batches.slice(i, BATCH_TEXTS).to_pylist())
+                sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
+                flat.append(np.fromiter(chain.from_iterable(found), np.int32))
+            offsets = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+            ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
 
         return compute.asNondeterministic()(text)
 
@@ -383,6 +386,7 @@ class Pieces:
 
         @F.arrow_udf("string")
         def compute(batches: pa.Array) -> pa.Array:
-            return pa.array([decode(model.value, x.as_py()) for x in batches], pa.string())
+            texts = (decode(model.value, x.values.to_pylist() if x.is_valid else None) for x in batches)
+            return pa.array(texts, pa.string(), size=len(batches))
 
         return compute(ids)
