@@ -44,9 +44,9 @@ UNKNOWN_SURFACE = " ⁇ "
 
 FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LONG_WORD = 256
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 # Texts that are encoded at a time.
-BATCH_TEXTS = 64
+BATCH_TEXTS = 500
 
 
 def _fields(data: bytes):
@@ -141,11 +141,16 @@ class Model:
     def numbers(self) -> dict[str, int]:
         return {p: i for i, (p, t) in enumerate(zip(self.pieces, self.types)) if t == NORMAL}
 
-    def probe(self, first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids (-1 for none) and scores (-inf) of substrings, by their two hashes."""
+    def probe(self, hashes: Hashes, rows, start, end) -> tuple[np.ndarray, np.ndarray]:
+        """Ids (-1 for none) and scores (-inf) of substrings. The second hash confirms the first."""
         keys, others, ids, scores = self.table
-        at = np.minimum(np.searchsorted(keys, first), len(keys) - 1)
-        there = (keys[at] == first) & (others[at] == second)
+        first = hashes.of(0, rows, start, end)
+        at = np.searchsorted(keys, first)
+        at[at == len(keys)] = 0
+        there = keys[at] == first
+        hits = np.nonzero(there)
+        pick = [np.broadcast_to(x, there.shape)[hits] for x in (rows, start, end)]
+        there[hits] = others[at[hits]] == hashes.of(1, *pick)
         return np.where(there, ids[at], -1), np.where(there, scores[at], np.float32(-np.inf))
 
 
@@ -197,15 +202,30 @@ class Hashes:
             self.powers.append(powers)
             self.prefixes.append(prefix)
 
-    def of(self, rows, start, end) -> list[np.ndarray]:
-        return [p[rows, end] - p[rows, start] * w[end - start] for p, w in zip(self.prefixes, self.powers)]
+    def of(self, which: int, rows, start, end) -> np.ndarray:
+        prefix = self.prefixes[which]
+        return prefix[rows, end] - prefix[rows, start] * self.powers[which][end - start]
 
     def whole(self) -> list[np.ndarray]:
         return [p[:, -1] for p in self.prefixes]
 
 
-def _viterbi(model: Model, codes: np.ndarray) -> list[list[tuple[int, int, int]]]:
-    """For each word its (id or -1, start, end), by the best sum of scores."""
+def _ids(model: Model, word: str, path) -> list[int]:
+    """The ids of (id or -1, start, end); what no piece is for goes by bytes, or is unknown."""
+    ids = []
+    for number, start, end in path:
+        if number >= 0:
+            ids.append(number)
+        elif model.byte_fallback:
+            ids += [model.bytes_ids[b] for b in word[start:end].encode("utf-8", "surrogatepass")]
+        else:
+            ids.append(model.unknown)
+    return ids
+
+
+def _viterbi(model: Model, words: list[str]) -> list[list[int]]:
+    """The ids of words of equal length, by the best sum of scores."""
+    codes = codes_of(words)
     n, length = codes.shape
     hashes, rows = Hashes(codes), np.arange(n)
     best = np.full((n, length + 1), -np.inf, np.float32)
@@ -216,7 +236,7 @@ def _viterbi(model: Model, codes: np.ndarray) -> list[list[tuple[int, int, int]]
     for end in range(1, length + 1):
         # Longest first, so that equal sums go to the longest last piece.
         starts = np.arange(max(0, end - model.longest), end)
-        found, scores = model.probe(*hashes.of(rows[:, None], starts[None, :], end))
+        found, scores = model.probe(hashes, rows[:, None], starts[None, :], end)
         scores[:, -1] = np.where(found[:, -1] < 0, unknown, scores[:, -1])
         sums = best[:, starts] + scores
         choice = np.argmax(sums, axis=1)
@@ -228,28 +248,33 @@ def _viterbi(model: Model, codes: np.ndarray) -> list[list[tuple[int, int, int]]
             start = int(back[row, end])
             path.append((int(ids[row, end]), start, end))
             end = start
-        result.append(path[::-1])
+        result.append(_ids(model, words[row], path[::-1]))
     return result
 
 
-def _merges(model: Model, codes: np.ndarray) -> list[list[tuple[int, int, int]]]:
-    """For each word its (id or -1, start, end), by merging the best pair until there is none."""
+def _merges(model: Model, words: list[str]) -> list[list[int]]:
+    """The ids of words of equal length, by merging the best pair until there is none."""
+    codes = codes_of(words)
     n, length = codes.shape
     hashes = Hashes(codes)
     rows = np.arange(n)
     bounds = np.tile(np.arange(length + 1), (n, 1))
     result: list = [None] * n
     none = np.float32(-np.inf)
-    _, scores = model.probe(*hashes.of(rows[:, None], bounds[:, :-2], bounds[:, 2:]))
+    _, scores = model.probe(hashes, rows[:, None], bounds[:, :-2], bounds[:, 2:])
     while len(rows):
         width = bounds.shape[1] - 1  # tokens of each word
         going = scores.max(axis=1) > none if width > 1 else np.zeros(len(rows), bool)
         done = np.flatnonzero(~going)
         if len(done):
             own, b = rows[done], bounds[done]
-            ids, _ = model.probe(*hashes.of(own[:, None], b[:, :-1], b[:, 1:]))
-            for row, found, cuts in zip(own.tolist(), ids.tolist(), b.tolist()):
-                result[row] = list(zip(found, cuts, cuts[1:]))
+            ids, _ = model.probe(hashes, own[:, None], b[:, :-1], b[:, 1:])
+            whole = (ids >= 0).all(axis=1)
+            for row, found in zip(own[whole].tolist(), ids[whole].tolist()):
+                result[row] = found
+            for i in np.flatnonzero(~whole).tolist():
+                cuts = b[i].tolist()
+                result[own[i]] = _ids(model, words[own[i]], zip(ids[i].tolist(), cuts, cuts[1:]))
             rows, bounds, scores = rows[going], bounds[going], scores[going]
         if not len(rows):
             break
@@ -265,12 +290,11 @@ def _merges(model: Model, codes: np.ndarray) -> list[list[tuple[int, int, int]]]
             ok = np.flatnonzero((pair >= 0) & (pair < width - 2))
             if len(ok):
                 p = pair[ok]
-                h = hashes.of(rows[ok], bounds[ok, p], bounds[ok, p + 2])
-                scores[ok, p] = model.probe(*h)[1]
+                scores[ok, p] = model.probe(hashes, rows[ok], bounds[ok, p], bounds[ok, p + 2])[1]
     return result
 
 
-def _merges_of_long(model: Model, word: str) -> list[tuple[int, int, int]]:
+def _merges_of_long(model: Model, word: str) -> list[int]:
     """As :func:`_merges`, for one word, in n log n."""
     n = len(word)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -296,7 +320,7 @@ def _merges_of_long(model: Model, word: str) -> list[tuple[int, int, int]]:
             offer(before[left])
         offer(left)
     spans = [(i, end[i]) for i in range(n) if alive[i]]
-    return [(model.numbers.get(word[a:b], -1), a, b) for a, b in spans]
+    return _ids(model, word, [(model.numbers.get(word[a:b], -1), a, b) for a, b in spans])
 
 
 def encode_words(model: Model, words: list[str]) -> dict[str, list[int]]:
@@ -307,20 +331,10 @@ def encode_words(model: Model, words: list[str]) -> dict[str, list[int]]:
     encoded = {}
     for length, group in by_length.items():
         if model.kind == BPE and length > LONG_WORD:
-            paths = [_merges_of_long(model, word) for word in group]
+            ids = [_merges_of_long(model, word) for word in group]
         else:
-            paths = (_merges if model.kind == BPE else _viterbi)(model, codes_of(group))
-        for word, path in zip(group, paths):
-            ids = []
-            for number, start, end in path:
-                if number >= 0:
-                    ids.append(number)
-                elif model.byte_fallback:
-                    data = word[start:end].encode("utf-8", "surrogatepass")
-                    ids += [model.bytes_ids[b] for b in data]
-                else:
-                    ids.append(model.unknown)
-            encoded[word] = ids
+            ids = (_merges if model.kind == BPE else _viterbi)(model, group)
+        encoded.update(zip(group, ids))
     return encoded
 
 
@@ -347,8 +361,11 @@ class Encoder:
 
 
 def decode(model: Model, ids: list[int] | None) -> str:
-    known = range(len(model.surfaces))
-    data = b"".join(model.surfaces[i] for i in ids or [] if i in known)
+    if not ids:
+        return ""
+    if min(ids) < 0 or max(ids) >= len(model.surfaces):
+        ids = [i for i in ids if 0 <= i < len(model.surfaces)]
+    data = b"".join(map(model.surfaces.__getitem__, ids))
     text = data.decode("utf-8", "replace")
     return text[1:] if model.dummy_prefix and text[:1] == " " else text
 
