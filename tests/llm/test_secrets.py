@@ -1,0 +1,63 @@
+import re
+
+from talmir.llm import secrets
+from talmir.session import new_path
+
+TEXTS = [
+    None, "", "password = abc", "PassWord='abcdef' and token=token=abcdefgh", "secret=token:abcdefgh",
+    "token=token = abcdefgh", "api_key: " + "f0" * 20, "apikey=\"AKIA" + "Z9" * 10 + "\"", "AKIAABC AKIA" + "B" * 16,
+    "é漢\U0001f600 secret: s3cr3t-value\n" + "a1" * 12 + "z" + "b2" * 11, "x" * 50_000 + " passwd=longer.than.six",
+    "ghp_" + "a" * 36, "eyJhbGciOi.eyJzdWIi.c2ln", "-----BEGIN RSA PRIVATE KEY-----",
+]
+
+
+def plain(text):
+    """Every rule with the standard library, sorted by start and kind."""
+    found = []
+    for place, rule in enumerate(secrets.RULES):
+        for m in re.finditer(rule.pattern.replace("(?i:", "(?i:"), text or ""):
+            if len(m.group(rule.group)) >= rule.least:
+                found.append((m.start(), place, rule.kind, m.end()))
+    return [(kind, start, end) for start, _, kind, end in sorted(found)]
+
+
+def spans(row):
+    return [(s.kind, s.start, s.end) for s in row.spans]
+
+
+def test_spans_equal_plain_search(spark):
+    df = spark.createDataFrame(list(enumerate(TEXTS)) * 2, "doc_id int, text string").repartition(3)
+    found = secrets.scan(df, new_path(spark, "ledger")).collect()
+    assert len(found) == 2 * len(TEXTS)
+    for row in found:
+        assert spans(row) == plain(TEXTS[row.doc_id])
+
+
+def test_only_unseen_pairs_are_scanned(spark):
+    ledger = new_path(spark, "ledger")
+    schema = "path string, version int, text string"
+    first = spark.createDataFrame([("a", 1, "token=abcdef"), ("b", 1, "token=abcdef"), ("c", 1, "none")], schema)
+    rules = secrets.RULES[:2]
+    assert secrets.update_ledger(first, ledger, rules=rules).count() == 2
+    more = first.unionByName(spark.createDataFrame([("a", 2, "secret=zyxwvu"), ("d", 1, "none")], schema))
+    new = secrets.update_ledger(more, ledger, rules=rules)
+    assert [r.spans[0].kind for r in new.collect()] == ["assign"]
+    assert secrets.update_ledger(more, ledger, rules=rules).count() == 0
+    # A rule that is added, or has a new version, is the only one scanned anew.
+    changed = (secrets.Rule("assign", secrets.RULES[0].pattern, 2, 7, version=2), secrets.RULES[1])
+    again = secrets.update_ledger(more, ledger, rules=changed).collect()
+    assert {tuple(r.scanned) for r in again} == {("assign@2",)} and len(again) == 3
+    found = {(r.path, r.version): spans(r) for r in secrets.findings(more, ledger, rules=rules).collect()}
+    assert found["a", 1] == found["b", 1] == [("assign", 0, 12)]
+    assert found["a", 2] == [("assign", 0, 13)] and found["c", 1] == found["d", 1] == []
+    assert all(not r.spans for r in secrets.findings(more, ledger, rules=changed).collect())
+
+
+def test_masking_keeps_other_columns(spark):
+    rows = [(1, "a token=abcdef é b", "x", 7), (2, None, "y", 8), (3, "passwd=AKIA" + "Q" * 20, "z", 9)]
+    df = spark.createDataFrame(rows, "doc_id int, text string, spans string, blob int")
+    masked = secrets.mask_secrets(df, new_path(spark, "ledger"))
+    assert masked.columns == df.columns
+    assert {tuple(r) for r in masked.collect()} == {
+        (1, "a ************ é b", "x", 7), (2, None, "y", 8), (3, "*" * 31, "z", 9)}
+    assert secrets.mask_secrets(df.limit(0), new_path(spark, "ledger")).count() == 0
