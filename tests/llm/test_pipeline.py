@@ -1,0 +1,110 @@
+"""The stages of the pipeline against plain versions, each on its own input."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline as pipeline
+from talmir.llm import quality, sentencepiece
+from talmir.llm.common import table
+from tests.conftest import TESTDATA
+from tests.llm.test_decontaminate import plain as plain_leaks
+from tests.llm.test_secrets import plain as plain_secrets
+from tests.llm.test_simhash import plain_fingerprint, plain_groups
+
+FOLDER = f"{TESTDATA}/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    """The given documents, with rows that have NULLs, repeats, and columns of clashing names."""
+    docs = table(spark, FOLDER, "documents")
+    odd = spark.createDataFrame(
+        [(90_001, None, None, None, None), (90_002, "", "en", "x", 0), (None, None, None, None, None)], docs.schema
+    )
+    docs = docs.unionByName(odd).unionByName(docs.filter("doc_id = 3"))
+    names = ["spans", "blob", "component", "fingerprint", "digest", "features", "score", "_w2", "label"]
+    return docs.withColumns({name: F.lit(name) for name in names}).persist()
+
+
+def test_stages_in_order():
+    assert [name for name, _ in pipeline.STAGES] == [
+        "quality", "near_duplicates", "decontamination", "secrets", "tokens"]
+    assert pipeline.ORACLE_SQL is None
+
+
+def test_quality_keeps_clean_documents(spark, documents):
+    kept = pipeline.keep_quality(spark, documents, FOLDER)
+    assert kept.columns == documents.columns
+    model, _ = quality.train(documents, table(spark, FOLDER, "labels"))
+    scored = documents.filter(model.score(F.col("text")) >= 0.5)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted(str(r.doc_id) for r in scored.collect())
+
+
+def test_quality_on_held_out_labels(spark):
+    """More documents, as a prior near 1 needs many unlabelled ones to tell the rest."""
+    folder = f"{TESTDATA}/sf0.01"
+    kept = pipeline.keep_quality(spark, table(spark, folder, "documents"), folder)
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    labels = table(spark, folder, "labels").filter(quality.held_out(F.col("doc_id"))).collect()
+    good = [r.doc_id in ids for r in labels if r.quality == 1]
+    bad = [r.doc_id not in ids for r in labels if r.quality == 0]
+    assert sum(good) >= 0.98 * len(good) and sum(bad) >= 0.9 * len(bad)
+
+
+def test_near_duplicates_equal_brute_force(spark, documents):
+    kept = pipeline.drop_near_duplicates(spark, documents, FOLDER)
+    assert kept.columns == documents.columns
+    rows = sorted({(r.doc_id, r.text) for r in documents.collect() if r.doc_id is not None})
+    roots = plain_groups([plain_fingerprint(t) for _, t in rows], 3)
+    expected = sorted({rows[r][0] for r in roots})
+    found = [r.doc_id for r in kept.collect()]
+    assert sorted(i for i in found if i is not None) == expected
+    assert found.count(None) == 1
+
+
+def test_decontamination_equals_brute_force(spark, documents):
+    kept = pipeline.drop_benchmark_leaks(spark, documents, FOLDER)
+    assert kept.columns == documents.columns
+    rows = [(i, r.text) for i, r in enumerate(documents.collect())]
+    items = [(r.item_id, r.text) for r in table(spark, FOLDER, "benchmark").collect()]
+    leaks = {e[0] for e in plain_leaks(rows, items)}
+    expected = [r.doc_id for i, r in enumerate(documents.collect()) if i not in leaks]
+    assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, expected))
+
+
+def test_secrets_are_masked(spark, documents):
+    masked = pipeline.mask_secrets(spark, documents, FOLDER)
+    assert masked.columns == documents.columns
+
+    def plain(text):
+        if text is None:
+            return None
+        letters = list(text)
+        for _, start, end in plain_secrets(text):
+            letters[start:end] = "*" * (end - start)
+        return "".join(letters)
+
+    before = sorted((str(r.doc_id), str(plain(r.text)), r.spans) for r in documents.collect())
+    assert sorted((str(r.doc_id), str(r.text), r.spans) for r in masked.collect()) == before
+
+
+def test_tokens_decode_to_the_text(spark, documents):
+    model = sentencepiece.read_model(pipeline.TOKENIZER)
+    for r in pipeline.add_tokens(spark, documents, FOLDER).collect():
+        assert r.round_trip and r.n_pieces == len(r.pieces)
+        assert sentencepiece.decode(model, r.pieces) == (r.text or "").replace("▁", " ")
+
+
+def test_run_applies_every_stage(spark):
+    done = pipeline.run(spark, FOLDER).collect()
+    docs = table(spark, FOLDER, "documents")
+    for _, stage in pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, FOLDER).collect(), stage(spark, docs, FOLDER).schema)
+    assert sorted(map(str, done)) == sorted(map(str, docs.collect()))
+    assert 0 < len(done) < table(spark, FOLDER, "documents").count()
+
+
+def test_stages_on_no_documents(spark, documents):
+    none = documents.limit(0)
+    for name, stage in pipeline.STAGES[1:]:
+        assert stage(spark, none, FOLDER).count() == 0, name

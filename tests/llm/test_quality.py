@@ -1,0 +1,87 @@
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from talmir.llm import quality
+
+DRAW = random.Random(4)
+
+
+def good():
+    return " ".join("".join(DRAW.choices("aeinorst", k=DRAW.randint(2, 9))) for _ in range(DRAW.randint(20, 80))) + "."
+
+
+def bad():
+    return " ".join(w.upper() + "!!" for w in good().split())
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    texts = [(i, bad() if i % 5 == 0 else good()) for i in range(400)]
+    docs = spark.createDataFrame([(i, t, 0.0) for i, t in texts], "doc_id bigint, text string, label double")
+    marks = [(i, 0 if i % 5 == 0 else 1) for i in range(0, 400, 2)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+    return docs.repartition(4), labels
+
+
+def scores(model, docs):
+    return {r.doc_id: r.s for r in docs.select("doc_id", model.score(F.col("text")).alias("s")).collect()}
+
+
+def test_rejects_what_the_labels_reject(spark, corpus):
+    docs, labels = corpus
+    model, rows = quality.train(docs, labels)
+    assert model.prior == pytest.approx(0.8, abs=0.1)
+    found = scores(model, docs)
+    assert all((found[i] < 0.5) == (i % 5 == 0) for i in range(400))
+    stored = {r.id: r.s for r in rows.select(F.col("_id").alias("id"), model.score_features(F.col("features")).alias("s")).collect()}
+    assert stored == pytest.approx(found)
+
+
+def test_held_out_labels_are_not_learnt(spark, corpus):
+    docs, labels = corpus
+    wrong = labels.withColumn("quality", F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality")))
+    one, other = (quality.train(docs, x)[0] for x in (labels, wrong))
+    np.testing.assert_allclose(one.weights, other.weights)
+    share = docs.agg(F.avg(quality.held_out(F.col("doc_id")).cast("int"))).first()[0]
+    assert 0.25 < share < 0.42
+
+
+def test_risk_on_negatives_stays_above_zero(spark, corpus):
+    """The fit against the risk computed in numpy, with a prior too high for the data."""
+    docs, labels = corpus
+    rows = quality.with_features(docs, labels, "doc_id", "quality", "text").filter("NOT held_out")
+    positive = F.coalesce(F.col("label") == 1, F.lit(False))
+    training = rows.select("features", positive.alias("positive"))
+    data = training.collect()
+    x = np.array([r.features for r in data])
+    p = np.array([r.positive for r in data])
+    for prior in (0.5, 0.8, 0.99):
+        model = quality.fit(training, prior)
+        loss = np.logaddexp(0, model.logits(x))
+        assert loss.mean() - prior * loss[p].mean() >= -1e-9
+        start = np.logaddexp(0, np.log(prior / (1 - prior))) - prior * np.log(prior / (1 - prior))
+        assert loss.mean() - prior * model.logits(x)[p].mean() <= start + 1e-9
+
+
+def test_features_of_any_text():
+    n = len(quality.text_features(""))
+    for text in (None, "", " ", "a", "\n\n", "é" * 10, "漢字 " * 5000, "!" * 999, "|" * 5 + "\n" * 5):
+        values = quality.text_features(text)
+        assert len(values) == n and all(0 <= v <= 1 for v in values)
+
+
+def test_nulls_ties_and_no_rows(spark, corpus):
+    docs, labels = corpus
+    more = docs.unionByName(spark.createDataFrame([(None, None, None), (3, "", 1.0)], docs.schema))
+    both = labels.unionByName(spark.createDataFrame([(None, 1), (2, None), (2, 0)], labels.schema))
+    model, rows = quality.train(more, both)
+    assert rows.count() == 402
+    assert rows.filter("_id = 2").first().label == 0
+    with pytest.raises(ValueError, match="no positives"):
+        quality.train(docs.limit(0), labels)
+    with pytest.raises(ValueError, match="no positives"):
+        quality.train(docs, labels.limit(0))
+    assert docs.limit(0).select(model.score(F.col("text"))).count() == 0
