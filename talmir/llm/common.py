@@ -26,15 +26,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """The same rows, written to the shared folder and read back: computed once, no lineage."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    result = df.sparkSession.read.schema(df.schema).parquet(path)
+    result._stored_at = path
+    return result
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of jobs whose results are stored.
+def discard(*tables: DataFrame) -> None:
+    """Delete stored tables that nothing will read again, and let go of finished shuffles.
 
-    It does so once the driver's JVM has collected their handles, which on a driver with memory
-    to spare may take hours. Call it between phases, with nothing of the last phase in use.
+    Spark drops shuffle files once the driver's JVM has collected their handles, which on a
+    driver with memory to spare may take hours; so it is asked to.
     """
+    spark = tables[0].sparkSession
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    for table in tables:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._stored_at)
+        path.getFileSystem(configuration).delete(path, True)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
 

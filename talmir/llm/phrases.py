@@ -14,6 +14,9 @@ need not stream through the phrases of the whole corpus. Every document is strea
 shard's automaton, which finds every occurrence, word for word. An occurrence counts if its
 phrase's first place is earlier. So hashes only find candidates; what is removed is exact.
 
+Texts that an earlier document has word for word (by their digests) are removed as a whole and
+take no part in the search, so a very frequent text is searched once.
+
 Frequent phrases are combined before they are shuffled (first places are minima), and joins on
 them are equality joins that Spark splits. Nothing is capped.
 
@@ -34,11 +37,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from talmir.llm.common import release, stored
+from talmir.llm.common import discard, stored
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-WINDOW, GRAM = 20, 6
+# A long gram recurs in few places where the window does not; a short one gives fewer anchors.
+WINDOW, GRAM = 20, 10
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LAST = (1 << 63) - 1
 # Documents that share an automaton, at most, and bytes of their texts.
@@ -90,27 +94,28 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _anchors(window: int, gram: int):
-    """(anchor, doc, place) of every run."""
+    """(anchor, doc, place, content) of every run; content is a hash of the whole text."""
 
     def work(batches):
         for batch in batches:
             docs = batch.column(0).to_pylist()
             found = []
             for doc, text in zip(docs, batch.column(1)):
-                h = word_hashes(split_words(text.as_py()))
-                if len(h) >= window:
-                    anchors, places, _, _ = runs_of(h, window, gram)
-                    found.append((_signed(anchors), np.full(len(places), doc), places))
+                words = split_words(text.as_py())
+                if len(words) >= window:
+                    anchors, places, _, _ = runs_of(word_hashes(words), window, gram)
+                    content = xxhash.xxh3_64_intdigest(text.as_py().encode("utf-8", "surrogatepass")) >> 1
+                    n = len(places)
+                    found.append((_signed(anchors), np.full(n, doc), places, np.full(n, content)))
             if found:
-                columns = [np.concatenate(c) for c in zip(*found)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(columns[0]), pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.int32())],
-                    ["anchor", "doc", "place"],
-                )
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+                columns = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(zip(*found), types)]
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "place", "content"])
 
     return work
 
 
+ANCHOR = "anchor bigint, doc bigint, place int, content bigint"
 RUN = "anchor bigint, low bigint, high bigint, n int, doc bigint, start int, hashes array<bigint>"
 
 
@@ -221,54 +226,84 @@ def repeated_words(words: list[str], doc: int, automaton) -> np.ndarray:
 KEPT = "n_words bigint, n_removed bigint, kept string"
 
 
-def _remove(batches):
-    def shards(batch):
-        rows, held = [], 0
-        for doc, key, text, phrases in zip(*(batch.column(i) for i in range(4))):
-            row = (doc.as_py(), key.as_py(), text.as_py() or "", phrases)
-            rows.append(row)
-            held += len(row[2])
-            if len(rows) >= SHARD_ROWS or held >= SHARD_BYTES:
+def _is_copy(text: str, copies) -> bool:
+    return bool(copies) and hashlib.md5(text.encode("utf-8", "surrogatepass")).hexdigest() in copies
+
+
+def _remove(window: int):
+    def work(batches):
+        def shards(batch):
+            rows, held = [], 0
+            for doc, key, text, phrases, copies in zip(*(batch.column(i) for i in range(5))):
+                row = (doc.as_py(), key.as_py(), text.as_py() or "", phrases, copies)
+                rows.append(row)
+                held += len(row[2])
+                if len(rows) >= SHARD_ROWS or held >= SHARD_BYTES:
+                    yield rows
+                    rows, held = [], 0
+            if rows:
                 yield rows
-                rows, held = [], 0
-        if rows:
-            yield rows
 
-    for batch in batches:
-        for shard in shards(batch):
-            known: dict[str, tuple[int, int, int]] = {}
-            for _, _, _, phrases in shard:
-                for p in phrases.as_py() or []:
-                    place = (p["first_doc"], p["first"], p["size"])
-                    known[p["phrase"]] = min(place, known.get(p["phrase"], place))
-            automaton = automaton_of(known) if known else None
-            out = []
-            for doc, key, text, _ in shard:
-                words = [w.decode("utf-8", "surrogatepass") for w in split_words(text)]
-                gone = repeated_words(words, key, automaton) if automaton else np.zeros(len(words), bool)
-                kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                out.append((doc, len(words), int(gone.sum()), " ".join(kept)))
-            types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.string()]
-            arrays = [pa.array(list(x), t) for x, t in zip(zip(*out), types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc", "n_words", "n_removed", "kept"])
+        for batch in batches:
+            for shard in shards(batch):
+                known: dict[str, tuple[int, int, int]] = {}
+                for _, _, _, phrases, _ in shard:
+                    for p in phrases.as_py() or []:
+                        place = (p["first_doc"], p["first"], p["size"])
+                        known[p["phrase"]] = min(place, known.get(p["phrase"], place))
+                automaton = automaton_of(known) if known else None
+                out = []
+                for doc, key, text, _, copies in shard:
+                    words = [w.decode("utf-8", "surrogatepass") for w in split_words(text)]
+                    if len(words) >= window and _is_copy(text, copies.as_py()):
+                        gone = np.ones(len(words), bool)
+                    elif automaton:
+                        gone = repeated_words(words, key, automaton)
+                    else:
+                        gone = np.zeros(len(words), bool)
+                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
+                    out.append((doc, len(words), int(gone.sum()), " ".join(kept)))
+                types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.string()]
+                arrays = [pa.array(list(x), t) for x, t in zip(zip(*out), types)]
+                yield pa.RecordBatch.from_arrays(arrays, ["doc", "n_words", "n_removed", "kept"])
+
+    return work
 
 
-def find_repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
+def find_copies(texts: DataFrame) -> DataFrame:
+    """(doc, digest) of the texts (doc, text) that an earlier document has word for word."""
+    keyed = texts.select("doc", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    firsts = keyed.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
+    firsts = firsts.filter("first_doc < last_doc").select("digest", "first_doc")
+    return stored(keyed.join(firsts, "digest").filter("doc > first_doc").select("doc", "digest").distinct(), "copies")
+
+
+def find_repeats(
+    texts: DataFrame, copies: DataFrame, window: int = WINDOW, gram: int = GRAM
+) -> DataFrame:
     """(doc, repeats) for texts (doc, text): arrays of (start, n, first_doc, first).
 
     n windows from word ``start`` equal those from word ``first`` of ``first_doc``, which is
-    earlier, and stands first of all.
+    earlier, and stands first of all. Documents all of whose texts are ``copies`` are left out:
+    their windows are those of the document that they copy.
     """
-    spark = texts.sparkSession
-    places = stored(texts.mapInArrow(_anchors(window, gram), "anchor bigint, doc bigint, place int"), "anchors")
-    often = places.groupBy("anchor").agg(F.count("*").alias("n")).filter("n > 1").select("anchor")
-    wanted = places.join(often, "anchor").groupBy("doc").agg(F.collect_set("place").alias("places"))
+    places = stored(texts.mapInArrow(_anchors(window, gram), ANCHOR), "anchors")
+    # In different texts, or at different places of one: copies alone make nothing recur.
+    ends = [f(c).alias(f"{c}_{i}") for c in ("content", "place") for i, f in enumerate((F.min, F.max))]
+    often = places.groupBy("anchor").agg(*ends)
+    often = often.filter("content_0 < content_1 OR place_0 < place_1").select("anchor")
+    wanted = places.join(often, "anchor").groupBy("doc").agg(
+        F.collect_set("place").alias("places"), F.size(F.collect_set("content")).alias("contents")
+    )
+    copied = copies.groupBy(F.col("doc").alias("copied_doc")).agg(F.count("*").alias("n"))
+    wanted = wanted.join(copied, F.col("doc") == F.col("copied_doc"), "left")
+    wanted = wanted.filter("n IS NULL OR contents > n").select("doc", "places")
     wanted = stored(wanted.withColumnRenamed("doc", "wanted_doc"), "recurring")
-    release(spark)
+    discard(places)
 
     joined = texts.join(wanted, F.col("doc") == F.col("wanted_doc")).select("doc", "text", "places")
     runs = stored(joined.mapInArrow(_runs(window, gram), RUN), "runs")
-    release(spark)
+    discard(wanted)
 
     run = ["anchor", "low", "high", "n"]
     first = F.min(F.struct("doc", "start", "hashes")).alias("first")
@@ -297,7 +332,7 @@ def find_repeats(texts: DataFrame, window: int = WINDOW, gram: int = GRAM) -> Da
         F.collect_set(F.struct("start", "n", "first_doc", "first")).alias("repeats")
     )
     every = stored(every, "repeats")
-    release(spark)
+    discard(runs, firsts)
     return every
 
 
@@ -316,20 +351,23 @@ def remove_repeats(
         F.col(text).cast("string").alias("text"),
     )
     texts = rows.select("doc", "text")
-    repeats = find_repeats(texts, window, gram)
+    copies = find_copies(texts)
+    repeats = find_repeats(texts, copies, window, gram)
     passages = stored(
         repeats.mapInArrow(_passages(window), "doc bigint, first_doc bigint, first int, size int"), "passages"
     )
+    discard(repeats)
     needed = passages.groupBy(F.col("first_doc").alias("needed_doc")).agg(
         F.collect_set(F.struct("first", "size")).alias("places")
     )
     sources = texts.join(needed, F.col("doc") == F.col("needed_doc")).select("doc", "text", "places")
     phrases = sources.mapInArrow(_phrases, "first_doc bigint, first int, size int, phrase string")
     phrases = stored(phrases, "phrases")
-    release(docs.sparkSession)
     found = passages.join(phrases, ["first_doc", "first", "size"]).groupBy(F.col("doc").alias("own_doc"))
     found = found.agg(F.collect_set(F.struct("first_doc", "first", "size", "phrase")).alias("phrases"))
-    joined = rows.join(found, F.col("doc") == F.col("own_doc"), "left")
+    copied = copies.groupBy(F.col("doc").alias("own_doc")).agg(F.collect_set("digest").alias("copies"))
+    known = found.join(copied, "own_doc", "full")
+    joined = rows.join(known, F.col("doc") == F.col("own_doc"), "left")
+    joined = joined.select("id", "doc", "text", "phrases", "copies")
     kind = rows.select("id").schema[0].dataType.simpleString()
-    streamed = joined.select("id", "doc", "text", "phrases").mapInArrow(_remove, f"doc {kind}, {KEPT}")
-    return streamed.withColumnRenamed("doc", identity)
+    return joined.mapInArrow(_remove(window), f"doc {kind}, {KEPT}").withColumnRenamed("doc", identity)
