@@ -53,10 +53,12 @@ def add_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``pieces`` (ids), ``n_pieces`` and ``round_trip``."""
     pieces = sentencepiece.Pieces(spark, TOKENIZER)
     kept = [c for c in docs.columns if c not in ("pieces", "n_pieces", "round_trip")]
-    coded = docs.select(*kept, pieces.encode(text_or_empty()).alias("pieces"))
-    same = pieces.decode(F.col("pieces")) == F.replace(text_or_empty(), F.lit("▁"), F.lit(" "))
+    coded = docs.select(*kept, pieces.encode_and_check(text_or_empty()).alias("_coded"))
     return coded.select(
-        "*", F.size("pieces").cast("bigint").alias("n_pieces"), same.alias("round_trip")
+        *kept,
+        "_coded.pieces",
+        F.size("_coded.pieces").cast("bigint").alias("n_pieces"),
+        "_coded.round_trip",
     )
 
 

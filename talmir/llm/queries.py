@@ -102,14 +102,13 @@ TOKENIZER = os.environ.get("TALMIR_TOKENIZER", "/opt/tokenizers/piece_bpe_32k.mo
 def op4_sentencepiece(spark, folder):
     """The pieces of all documents, and whether they decode to the text again."""
     pieces = sentencepiece.Pieces(spark, TOKENIZER)
-    documents = table(spark, folder, "documents").select("doc_id", text_or_empty().alias("text"))
-    coded = documents.select("doc_id", "text", pieces.encode(F.col("text")).alias("pieces"))
-    same = pieces.decode(F.col("pieces")) == F.replace("text", F.lit("\u2581"), F.lit(" "))
+    documents = table(spark, folder, "documents")
+    coded = documents.select("doc_id", pieces.encode_and_check(text_or_empty()).alias("coded"))
     return coded.select(
         "doc_id",
-        F.size("pieces").cast("bigint").alias("n_pieces"),
-        "pieces",
-        same.alias("round_trip"),
+        F.size("coded.pieces").cast("bigint").alias("n_pieces"),
+        "coded.pieces",
+        "coded.round_trip",
     )
 
 

@@ -44,9 +44,9 @@ UNKNOWN_SURFACE = " ⁇ "
 
 FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 LONG_WORD = 256
-CACHED_WORDS = 200_000
+CACHED_WORDS = 150_000
 # Texts that are encoded at a time.
-BATCH_TEXTS = 500
+BATCH_TEXTS = 250
 
 
 def _fields(data: bytes):
@@ -380,21 +380,35 @@ class Pieces:
 
     def encode(self, text: Column) -> Column:
         """The ids of a text's pieces, ARRAY<INT>."""
+        return self._coded(text, check=False)["pieces"]
+
+    def encode_and_check(self, text: Column) -> Column:
+        """(pieces, round_trip): the ids, and whether they decode to the text again.
+
+        Both happen in one worker, so that a task needs the memory of one.
+        """
+        return self._coded(text, check=True)
+
+    def _coded(self, text: Column, check: bool) -> Column:
         model = self.model
 
-        @F.arrow_udf("array<int>")
+        @F.arrow_udf("struct<pieces: array<int>, round_trip: boolean>")
         def compute(batches: pa.Array) -> pa.Array:
             encoder = getattr(model.value, "_encoder", None)
             if encoder is None:
                 encoder = model.value._encoder = Encoder(model.value)
-            flat, sizes = [], [np.zeros(1, np.int32)]
+            flat, sizes, same = [], [np.zeros(1, np.int32)], []
             for i in range(0, len(batches), BATCH_TEXTS):
-                found = encoder.encode(batches.slice(i, BATCH_TEXTS).to_pylist())
+                texts = batches.slice(i, BATCH_TEXTS).to_pylist()
+                found = encoder.encode(texts)
                 sizes.append(np.fromiter(map(len, found), np.int32, len(found)))
                 flat.append(np.fromiter(chain.from_iterable(found), np.int32))
+                for x, ids in zip(texts, found):
+                    same.append(decode(model.value, ids) == (x or "").replace(SPACE, " ") if check else None)
             offsets = np.cumsum(np.concatenate(sizes)).astype(np.int32)
             ids = np.concatenate(flat) if flat else np.zeros(0, np.int32)
-            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            pieces = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids))
+            return pa.StructArray.from_arrays([pieces, pa.array(same, pa.bool_())], ["pieces", "round_trip"])
 
         return compute.asNondeterministic()(text)
 
