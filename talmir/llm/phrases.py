@@ -94,7 +94,8 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _anchors(window: int, gram: int):
-    """(anchor, doc, place, content) of every run; content is a hash of the whole text."""
+    """ANCHOR of every run: ``content`` is a hash of the whole text, ``twice`` says whether the
+    anchor stands at another place of it too."""
 
     def work(batches):
         for batch in batches:
@@ -105,17 +106,18 @@ def _anchors(window: int, gram: int):
                 if len(words) >= window:
                     anchors, places, _, _ = runs_of(word_hashes(words), window, gram)
                     content = xxhash.xxh3_64_intdigest(text.as_py().encode("utf-8", "surrogatepass")) >> 1
+                    _, which, times = np.unique(anchors, return_inverse=True, return_counts=True)
                     n = len(places)
-                    found.append((_signed(anchors), np.full(n, doc), places, np.full(n, content)))
+                    found.append((_signed(anchors), np.full(n, doc), places, np.full(n, content), times[which] > 1))
             if found:
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
                 columns = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(zip(*found), types)]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "place", "content"])
+                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "place", "content", "twice"])
 
     return work
 
 
-ANCHOR = "anchor bigint, doc bigint, place int, content bigint"
+ANCHOR = "anchor bigint, doc bigint, place int, content bigint, twice boolean"
 RUN = "anchor bigint, low bigint, high bigint, n int, doc bigint, start int, hashes array<bigint>"
 
 
@@ -271,11 +273,20 @@ def _remove(window: int):
 
 
 def find_copies(texts: DataFrame) -> DataFrame:
-    """(doc, digest) of the texts (doc, text) that an earlier document has word for word."""
-    keyed = texts.select("doc", F.md5(F.coalesce("text", F.lit(""))).alias("digest"))
+    """(doc, digests, whole) of documents with texts that an earlier one has word for word.
+
+    ``whole`` says that all texts of this identity are such; there is more than one only where
+    identities repeat.
+    """
+    keyed = texts.select("doc", F.md5(F.coalesce("text", F.lit(""))).alias("digest")).distinct()
     firsts = keyed.groupBy("digest").agg(F.min("doc").alias("first_doc"), F.max("doc").alias("last_doc"))
     firsts = firsts.filter("first_doc < last_doc").select("digest", "first_doc")
-    return stored(keyed.join(firsts, "digest").filter("doc > first_doc").select("doc", "digest").distinct(), "copies")
+    copied = keyed.join(firsts, "digest", "left").groupBy("doc").agg(
+        F.collect_set(F.when(F.col("doc") > F.col("first_doc"), F.col("digest"))).alias("digests"),
+        F.count("*").alias("n"),
+    )
+    copied = copied.filter(F.size("digests") > 0)
+    return stored(copied.select("doc", "digests", (F.size("digests") == F.col("n")).alias("whole")), "copies")
 
 
 def find_repeats(
@@ -289,15 +300,13 @@ def find_repeats(
     """
     places = stored(texts.mapInArrow(_anchors(window, gram), ANCHOR), "anchors")
     # In different texts, or at different places of one: copies alone make nothing recur.
-    ends = [f(c).alias(f"{c}_{i}") for c in ("content", "place") for i, f in enumerate((F.min, F.max))]
-    often = places.groupBy("anchor").agg(*ends)
-    often = often.filter("content_0 < content_1 OR place_0 < place_1").select("anchor")
-    wanted = places.join(often, "anchor").groupBy("doc").agg(
-        F.collect_set("place").alias("places"), F.size(F.collect_set("content")).alias("contents")
+    often = places.groupBy("anchor").agg(
+        F.min("content").alias("low"), F.max("content").alias("high"), F.max("twice").alias("twice")
     )
-    copied = copies.groupBy(F.col("doc").alias("copied_doc")).agg(F.count("*").alias("n"))
-    wanted = wanted.join(copied, F.col("doc") == F.col("copied_doc"), "left")
-    wanted = wanted.filter("n IS NULL OR contents > n").select("doc", "places")
+    often = often.filter("low < high OR twice").select("anchor")
+    wanted = places.select("anchor", "doc", "place").join(often, "anchor")
+    wanted = wanted.groupBy("doc").agg(F.collect_set("place").alias("places"))
+    wanted = wanted.join(copies.filter("whole").select("doc"), "doc", "left_anti")
     wanted = stored(wanted.withColumnRenamed("doc", "wanted_doc"), "recurring")
     discard(places)
 
@@ -365,7 +374,7 @@ def remove_repeats(
     phrases = stored(phrases, "phrases")
     found = passages.join(phrases, ["first_doc", "first", "size"]).groupBy(F.col("doc").alias("own_doc"))
     found = found.agg(F.collect_set(F.struct("first_doc", "first", "size", "phrase")).alias("phrases"))
-    copied = copies.groupBy(F.col("doc").alias("own_doc")).agg(F.collect_set("digest").alias("copies"))
+    copied = copies.select(F.col("doc").alias("own_doc"), F.col("digests").alias("copies"))
     known = found.join(copied, "own_doc", "full")
     joined = rows.join(known, F.col("doc") == F.col("own_doc"), "left")
     joined = joined.select("id", "doc", "text", "phrases", "copies")
