@@ -46,7 +46,7 @@ WINDOW, GRAM = 20, 10
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LAST = (1 << 63) - 1
 # Documents that share an automaton, at most, and bytes of their texts.
-SHARD_ROWS, SHARD_BYTES = 256, 4 << 20
+SHARD_ROWS, SHARD_BYTES = 64, 512 << 10
 
 
 def split_words(text: str | None) -> list[bytes]:
