@@ -11,11 +11,14 @@ close to 0.) Candidates are verified by counting shared shingles, as text, not a
 The items are the query set. They are taken in blocks of at most ``block`` sketch values, which
 bounds what is broadcast whatever the size of the benchmark; each block is held against all
 documents. Equal texts are searched and verified once, combined before any shuffle, and the
-findings joined back by their digest. Only built-in functions are used.
+findings joined back by their digest. Likewise an item is known by the digest of its words, not
+by its identity: different texts of one identity are items of their own, an item may lack an
+identity, and identities are joined back at the end. Only built-in functions are used.
 
 Defined results: NULL texts are empty and contain nothing; items without words are in no
 document; texts or items with fewer words than a shingle are one shingle. Repeated rows get
-equal results, and repeated items (same identity and text) count once.
+equal results, and repeated items (same identity, NULL too, and words) count once. An identity
+with several texts has a finding for each that a document contains.
 """
 
 from __future__ import annotations
@@ -52,9 +55,14 @@ def least_shared(n: Column, threshold: float) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.lit(threshold) * n - 1e-9)).cast("int")
 
 
-def _item_shingles(items: DataFrame, identity: str, text: str, size: int) -> DataFrame:
-    """(_item, n, gram, hash): the different shingles of each item."""
-    split = items.select(F.col(identity).alias("_item"), words(text_or_empty(text)).alias("_w"))
+def _item_key(text: str) -> Column:
+    """What an item is known by: the digest of its words."""
+    return F.unhex(F.sha2(F.concat_ws(" ", words(text_or_empty(text))).cast("binary"), 256))
+
+
+def _item_shingles(items: DataFrame, text: str, size: int) -> DataFrame:
+    """(_item, n, gram, hash): the different shingles of each different item."""
+    split = items.select(_item_key(text).alias("_item"), words(text_or_empty(text)).alias("_w"))
     grams = split.select("_item", F.explode(_texts("_w", size)).alias("gram")).distinct()
     hashed = grams.withColumn("_w", F.split("gram", " "))
     hashed = hashed.select("_item", "gram", F.get(_hashes("_w", size), F.lit(0)).alias("hash"))
@@ -72,18 +80,17 @@ def _sketches(shingles: DataFrame, threshold: float, block: int) -> DataFrame:
     return kept.select("_item", "hash", part.alias("part")).withColumn("parts", F.lit(parts))
 
 
-def contained_items(
+def _contained(
     docs: DataFrame,
     items: DataFrame,
     text: str = "text",
-    item: str = "item_id",
     item_text: str = "text",
     shingle: int = SHINGLE,
     threshold: float = THRESHOLD,
     block: int = BLOCK,
 ) -> DataFrame:
-    """(digest, item, n_shingles, n_shared): items contained in the text with this SHA-256."""
-    shingles = stored(_item_shingles(items, item, item_text, shingle), "item-shingles")
+    """(digest, _item, n_shingles, n_shared): items contained in the text with this SHA-256."""
+    shingles = stored(_item_shingles(items, item_text, shingle), "item-shingles")
     sketches = stored(_sketches(shingles, threshold, block), "sketches")
     parts = sketches.agg(F.max("parts")).first()[0] or 0
 
@@ -100,9 +107,8 @@ def contained_items(
         met = stored(met, "candidates")
         candidates = met if candidates is None else candidates.unionByName(met)
     if candidates is None:
-        kind = dict(items.dtypes)[item]
         candidates = docs.sparkSession.createDataFrame(
-            [], f"digest string, _text string, _items array<{kind}>"
+            [], "digest string, _text string, _items array<binary>"
         )
 
     pairs = candidates.select("digest", F.explode("_items").alias("_item"))
@@ -116,7 +122,22 @@ def contained_items(
     shared = pairs.join(grams, ["digest", "gram"]).groupBy("digest", "_item")
     shared = shared.agg(F.first("n").alias("n_shingles"), F.count("*").alias("n_shared"))
     enough = F.col("n_shared") >= least_shared(F.col("n_shingles"), threshold)
-    return stored(shared.filter(enough).withColumnRenamed("_item", item), "contained")
+    return stored(shared.filter(enough), "contained")
+
+
+def contained_items(
+    docs: DataFrame,
+    items: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    **options,
+) -> DataFrame:
+    """(digest, item, n_shingles, n_shared): items contained in the text with this SHA-256."""
+    found = _contained(docs, items, text, item_text, **options)
+    known = items.select(_item_key(item_text).alias("_item"), F.col(item).alias("_identity"))
+    named = found.join(known.distinct(), "_item")
+    return named.select("digest", F.col("_identity").alias(item), "n_shingles", "n_shared")
 
 
 def find_leaks(
@@ -141,6 +162,7 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", **options)
 
     The join is by shuffle whatever the number of leaks, which grows with the documents.
     """
-    found = contained_items(docs, items, text=text, **options).select(F.col("digest").alias("_leak"))
+    options.pop("item", None)  # which item it is does not matter
+    found = _contained(docs, items, text=text, **options).select(F.col("digest").alias("_leak"))
     digest = F.sha2(text_or_empty(text).cast("binary"), 256)
     return docs.join(found.distinct().hint("merge"), digest == F.col("_leak"), "left_anti")

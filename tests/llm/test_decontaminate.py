@@ -58,3 +58,25 @@ def test_nothing_to_search(spark):
     assert decontaminate.drop_leaks(df, none).count() == 1
     items = spark.createDataFrame([(1, "a b c d e f")], "item_id int, text string")
     assert decontaminate.find_leaks(df.limit(0), items).count() == 0
+
+
+@pytest.mark.parametrize("block", [200_000, 10])
+def test_items_are_known_by_their_text(spark, block):
+    """Several texts of one identity, and items without an identity."""
+    draw = random.Random(7)
+    passage = lambda: " ".join(f"w{draw.randrange(300)}" for _ in range(20))
+    items = [(i, passage()) for i in (1, 1, 1, 2, None, None)]
+    items += [(3, items[0][1]), (None, items[0][1]), (4, passage()), items[1], items[4]]
+    docs = [(i, f"{passage()} {text} {passage()}") for i, (_, text) in enumerate(items)]
+    docs += [(90, passage()), (91, f"{items[0][1]} {items[1][1]}"), (92, None)]
+    df = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    queries = spark.createDataFrame(items, "item_id int, text string")
+    # Each different (identity, text) is an item of its own.
+    different = list(dict.fromkeys(items))
+    numbered = plain(docs, [(k, text) for k, (_, text) in enumerate(different)])
+    expected = sorted(str((d, different[k][0], n, shared)) for d, k, n, shared in numbered)
+    found = decontaminate.find_leaks(df, queries, block=block).collect()
+    assert sorted(str((r.doc_id, r.item_id, r.n_shingles, r.n_shared)) for r in found) == expected
+    assert {i for i, _ in docs if i < 90} <= {r.doc_id for r in found}
+    kept = decontaminate.drop_leaks(df, queries, block=block)
+    assert sorted(r.doc_id for r in kept.collect()) == [90, 92]
