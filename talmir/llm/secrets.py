@@ -56,10 +56,22 @@ BASE_RULES = (
     Rule("access", r"AKIA[A-Z0-9]{16,}"),
     Rule("hex", r"[0-9a-f]{24,}"),
 )
+# A private key runs from its BEGIN line through the END line, unless another BEGIN or END comes
+# first. Where END is missing, it runs to the last line of base64, which headers may stand before.
+# Line ends may be written as \\n, as in JSON. Repetitions are possessive or of one character, as
+# others take stack for each round.
+_LINE_END = r"(?:[\x20\t>]*+(?:\r?\n|\\r|\\n))"
+_BASE64 = r"[\x20\t>]*+[A-Za-z0-9+/=]++(?![\x20\t]*+[^\x20\t\r\n\\\"'<])"
+_HEADER = r"[\x20\t>]*+[A-Z][A-Za-z]*+-[A-Za-z-]++:[^\r\n\\]*+"
+_PRIVATE_KEY = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+    r"(?:(?>[\s\S]*?(?=-----(?:BEGIN|END) ))-----END [A-Z ]*PRIVATE KEY-----"
+    rf"|(?:{_LINE_END}{_HEADER})*+{_LINE_END}++{_BASE64}(?:{_LINE_END}{_BASE64})*+)?"
+)
 MORE_RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", 0, 40),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
+    Rule("private_key", _PRIVATE_KEY, version=2),
 )
 RULES = BASE_RULES + MORE_RULES
 
