@@ -144,10 +144,67 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed,
     list_filter(range(len(w)), lambda i: NOT list_contains(gone, i)), lambda i: w[i + 1]) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN g USING (doc_id)"""
 
+# Each document against each order and step.
+AUDIT = r"""WITH l(x) AS (SELECT unnest(['A', 'B', 'C', 'D', 'E'])),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM l a, l b, l c, l d, l e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+f AS (
+  SELECT doc_id, part,
+    CASE WHEN len(w) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM t),
+k AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS bad
+  FROM labels GROUP BY doc_id),
+c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+  FROM f LEFT JOIN k USING (doc_id) GROUP BY part, fails),
+s AS (
+  SELECT part, filter_order, step::INT AS step, n, good, bad, fails,
+    contains(fails, filter_order[step]) AS here,
+    len(list_filter(range(1, step), lambda i: contains(fails, filter_order[i]))) > 0 AS gone
+  FROM c, o, range(1, 6) r(step)),
+g AS (
+  SELECT part, filter_order, step,
+    sum(CASE WHEN NOT here AND NOT gone THEN n ELSE 0 END)::BIGINT AS kept,
+    sum(CASE WHEN here AND NOT gone THEN n ELSE 0 END)::BIGINT AS removed,
+    sum(CASE WHEN here AND gone THEN n ELSE 0 END)::BIGINT AS redundant,
+    sum(CASE WHEN here AND length(fails) = 1 THEN n ELSE 0 END)::BIGINT AS unique_fails,
+    sum(CASE WHEN here AND NOT gone THEN good ELSE 0 END)::BIGINT AS good_lost,
+    sum(CASE WHEN here AND NOT gone THEN bad ELSE 0 END)::BIGINT AS toxic_lost
+  FROM s GROUP BY part, filter_order, step)
+SELECT *, (sum(removed) OVER (PARTITION BY part, filter_order[step]))::BIGINT AS shapley FROM g"""
+
+# All pairs of a label, and what each vector reaches by links.
+VECTORS = """WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+    ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+m AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+  vec_id <= coalesce(least, vec_id) AS kept
+FROM embeddings LEFT JOIN n ON n.a = vec_id LEFT JOIN m ON m.a = vec_id"""
+
 ORACLE_SQL = {
     "op1_warc": WARC,
     "op2_secret_scan": SECRETS,
     "op3_license_scan": LICENSES,
     "op9_decontamination": LEAKS,
     "op10_phrases": REPEATS,
+    "op11_filter_audit": AUDIT,
 }

@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from talmir.llm import (
+    audit,
     chunking,
     decontaminate,
     licenses,
@@ -184,6 +185,13 @@ def op10_phrases(spark, folder):
     )
 
 
+def op11_filter_audit(spark, folder):
+    """What five filters remove from all documents, in every order."""
+    documents = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, folder, "labels").select("doc_id", "quality", "toxic")
+    return audit.audit(documents, labels)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -195,4 +203,5 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_decontamination": op9_decontamination,
     "op10_phrases": op10_phrases,
+    "op11_filter_audit": op11_filter_audit,
 }
