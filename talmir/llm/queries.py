@@ -7,6 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from talmir.llm import (
+    alignment,
     audit,
     chunking,
     decontaminate,
@@ -192,6 +193,16 @@ def op11_filter_audit(spark, folder):
     return audit.audit(documents, labels)
 
 
+# The byte-level vocabulary that the pieces are aligned with.
+BYTE_TOKENIZER = os.environ.get("TALMIR_BYTE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op13_alignment(spark, folder):
+    """The tokens of two tokenizers over all documents, aligned, and counts of their id pairs."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return alignment.align_documents(documents, BYTE_TOKENIZER, TOKENIZER)
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_secret_scan": op2_secret_scan,
@@ -204,4 +215,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_phrases": op10_phrases,
     "op11_filter_audit": op11_filter_audit,
+    "op13_alignment": op13_alignment,
 }
