@@ -207,4 +207,5 @@ ORACLE_SQL = {
     "op9_decontamination": LEAKS,
     "op10_phrases": REPEATS,
     "op11_filter_audit": AUDIT,
+    "op12_embedding_dedup": VECTORS,
 }

@@ -11,6 +11,7 @@ from talmir.llm import (
     audit,
     chunking,
     decontaminate,
+    embeddings,
     licenses,
     phrases,
     quality,
@@ -193,6 +194,11 @@ def op11_filter_audit(spark, folder):
     return audit.audit(documents, labels)
 
 
+def op12_embedding_dedup(spark, folder):
+    """All vectors with their links at cosine 0.98 within a label."""
+    return embeddings.link_embeddings(table(spark, folder, "embeddings"))
+
+
 # The byte-level vocabulary that the pieces are aligned with.
 BYTE_TOKENIZER = os.environ.get("TALMIR_BYTE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 
@@ -215,5 +221,6 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_phrases": op10_phrases,
     "op11_filter_audit": op11_filter_audit,
+    "op12_embedding_dedup": op12_embedding_dedup,
     "op13_alignment": op13_alignment,
 }
