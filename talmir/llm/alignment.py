@@ -6,8 +6,8 @@ number of bytes, so a text is two arrays of token ends. Byte offsets where both
 tokens into groups, and all A-B pairs of a group are linked.
 
 Two tokenizers mostly cut alike, so the walk skips along diagonals. At the current shift between
-the indices, the two arrays of ends are compared in stretches of 1, 2, 4, ... tokens; where a
-stretch differs, halving finds the first difference. All before it are groups of one token each.
+the indices, the two arrays of ends are compared in stretches of 8, 16, 32, ... tokens; where a
+stretch differs, halving comes near the first difference. All before it are groups of one token each.
 Only the irregular group there is resolved token by token, which gives the next shift.
 
 Id pairs are counted by documents. A task hands over chunks of documents, each with the
@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import operator
 import re
 import sys
 from dataclasses import dataclass
@@ -47,6 +46,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK_BYTES = 2 << 20
 # Texts are cut into parts of about so many characters.
 PART = 1 << 16
+# Tokens that are compared first.
+PROBE = 8
 # Groups with more pairs than this are counted by their different ids.
 SMALL_GROUP = 64
 # An id pair is one number: the id of A in the upper bits.
@@ -120,39 +121,37 @@ class Tokenizers:
             a_ids += self.a.encode_ordinary(part if i else f" {part}")
             b_ids += self.b.encode(part[1:] if i else part, num_threads=1)
         whole = b" " + text.encode("utf-8", "surrogatepass")
-        for ids, table in ((a_ids, self.a_bytes), (b_ids, self.b_bytes)):
-            if b"".join(map(table.__getitem__, ids)) != whole:
-                return [], []
+        if self.a.decode_bytes(a_ids) != whole or b"".join(map(self.b_bytes.__getitem__, b_ids)) != whole:
+            return [], []
         return a_ids, b_ids
 
 
-def skip_diagonals(a_ends: list[int], b_ends: list[int]):
-    """(runs, groups): runs (i, j, n) of one-to-one tokens, groups (i, end of i, j, end of j).
+def skip_diagonals(a_ends: list[int], b_ends: list[int]) -> list[tuple[int, int, int, int]]:
+    """Irregular groups (i, end of i, j, end of j); all other tokens are one-to-one, in order.
 
     Both arrays rise and end with the same number.
     """
-    runs, groups = [], []
+    groups = []
     i = j = 0
     stop = len(a_ends)
     while i < stop:
-        n, step = 0, 1
-        while a_ends[i + n : i + n + step] == b_ends[j + n : j + n + step]:
-            n += step
-            if i + n >= stop:
-                n = stop - i
-                step = 1
-                break
+        step = PROBE
+        while a_ends[i : i + step] == b_ends[j : j + step]:
+            i += step
+            j += step
+            if i >= stop:
+                return groups
             step *= 2
-        while step > 1:  # the first n are alike, of the first n + step some are not
+        while step > PROBE:  # of the next ``step`` some differ
             step //= 2
-            if a_ends[i + n : i + n + step] == b_ends[j + n : j + n + step]:
-                n += step
-        if n:
-            runs.append((i, j, n))
-            i += n
-            j += n
-            if i >= stop:
-                break
+            if a_ends[i : i + step] == b_ends[j : j + step]:
+                i += step
+                j += step
+        while a_ends[i] == b_ends[j]:
+            i += 1
+            j += 1
+            if i == stop:
+                return groups
         p, q = i, j
         x, y = a_ends[p], b_ends[q]
         while x != y:
@@ -164,81 +163,77 @@ def skip_diagonals(a_ends: list[int], b_ends: list[int]):
                 y = b_ends[q]
         groups.append((i, p + 1, j, q + 1))
         i, j = p + 1, q + 1
-    return runs, groups
+    return groups
+
+
+def _starts(n: int, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Where groups start among n tokens, if begins to ends are groups and the rest stand alone."""
+    first = np.ones(n, bool)
+    more = ends - begins - 1
+    within = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more)
+    first[np.repeat(begins, more) + within + 1] = False
+    return np.flatnonzero(first)
 
 
 class Aligner:
+    """The tokenizers with tables of what is needed of each token."""
+
     def __init__(self, tokenizers: Tokenizers):
         self.of = tokenizers
-        self.a_size = np.array([len(x) for x in tokenizers.a_bytes], np.int64)
-        self.b_size = np.array([len(x) for x in tokenizers.b_bytes], np.int64)
-        self.a_text = [f";{i}|" for i in range(len(self.a_size))]
-        self.b_text = [str(i) for i in range(len(self.b_size))]
+        self.size = [np.array([len(x) for x in t], np.int64) for t in (tokenizers.a_bytes, tokenizers.b_bytes)]
+
+        def written(mark: str, count: int) -> np.ndarray:
+            return np.array([f"{mark}{i}".encode() for i in range(count)], object)
+
+        n_a, n_b = map(len, self.size)
+        self.next = written(",", max(n_a, n_b))
+        self.first = written(";", n_a), written("|", n_b)
 
     def align(self, text: str | None):
         """(n_a, n_b, n_groups, n_links, groups_sha256, codes, weights).
 
         codes: the different id pairs; weights: how many links each has.
         """
-        a_ids, b_ids = self.of.encode(text)
-        if not a_ids:
+        ids = self.of.encode(text)
+        if not len(ids[0]):
             return 0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)
-        a, b = np.array(a_ids, np.int64), np.array(b_ids, np.int64)
-        runs, groups = skip_diagonals(np.cumsum(self.a_size[a]).tolist(), np.cumsum(self.b_size[b]).tolist())
-        digest = hashlib.sha256()
-        self._digest(digest, a_ids, b_ids, runs, groups)
-        n_groups = len(groups) + sum(n for _, _, n in runs)
-        codes, weights = self._pairs(a, b, a_ids, b_ids, runs, groups)
+        a, b = (np.array(x, np.int64) for x in ids)
+        irregular = skip_diagonals(np.cumsum(self.size[0][a]).tolist(), np.cumsum(self.size[1][b]).tolist())
+        i, p, j, q = np.array(irregular, np.int64).reshape(-1, 4).T
+        starts = _starts(len(a), i, p), _starts(len(b), j, q)
+        counts = [np.diff(np.append(s, len(x))) for s, x in zip(starts, (a, b))]
+        codes, weights = pairs(a, b, *starts, *counts)
         different, at = np.unique(codes, return_inverse=True)
-        counts = np.bincount(at, weights, len(different)).astype(np.int64)
-        return len(a), len(b), n_groups, int(counts.sum()), digest.hexdigest(), different, counts
-
-    def _digest(self, digest, a_ids, b_ids, runs, groups) -> None:
-        a_text, b_text = self.a_text.__getitem__, self.b_text.__getitem__
-        written, parts = False, []
-
-        def flush():
-            nonlocal written, parts
-            data = "".join(parts)
-            digest.update((data if written else data[1:]).encode())
-            written, parts = True, []
-
-        r = 0
-        for i, p, j, q in [*groups, (len(a_ids), 0, 0, 0)]:
-            if r < len(runs) and runs[r][0] < i:
-                s, t, n = runs[r]
-                r += 1
-                parts += map(operator.add, map(a_text, a_ids[s : s + n]), map(b_text, b_ids[t : t + n]))
-            if p:
-                left = ",".join(map(str, a_ids[i:p]))
-                parts.append(f";{left}|{','.join(map(b_text, b_ids[j:q]))}")
-            if len(parts) > 1 << 16:
-                flush()
-        flush()
-
-    def _pairs(self, a, b, a_ids, b_ids, runs, groups):
-        """Codes of all links, with weights: large groups give each id pair once."""
-        found, weights = [np.zeros(0, np.int64)], [np.zeros(0)]
-        if runs:
-            s, t, n = np.array(runs, np.int64).T
-            within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            found.append(a[np.repeat(s, n) + within] << SHIFT | b[np.repeat(t, n) + within])
-            weights.append(np.ones(len(within)))
-        plain: list[int] = []
-        for i, p, j, q in groups:
-            if (p - i) * (q - j) <= SMALL_GROUP:
-                own = b_ids[j:q]
-                for x in a_ids[i:p]:
-                    x <<= SHIFT
-                    plain += [x | y for y in own]
-            else:
-                xs, n_xs = np.unique(a[i:p], return_counts=True)
-                ys, n_ys = np.unique(b[j:q], return_counts=True)
-                found.append((xs[:, None] << SHIFT | ys).ravel())
-                weights.append((n_xs[:, None] * n_ys).ravel())
-        found.append(np.array(plain, np.int64))
-        weights.append(np.ones(len(plain)))
-        return np.concatenate(found), np.concatenate(weights)
+        weights = np.bincount(at, weights, len(different)).astype(np.int64)
+        n_links = int((counts[0] * counts[1]).sum())
+        return len(a), len(b), len(starts[0]), n_links, self.digest(a, b, starts, counts), different, weights
+
+    def digest(self, a, b, starts, counts) -> str:
+        """SHA-256 of the groups, a token of A after all of B in the groups before it, and so on."""
+        line = np.empty(len(a) + len(b), object)
+        before = starts[1], starts[0] + counts[0]
+        for side, ids in enumerate((a, b)):
+            tokens = self.next[ids]
+            tokens[starts[side]] = self.first[side][ids[starts[side]]]
+            line[np.arange(len(ids)) + np.repeat(before[side], counts[side])] = tokens
+        return hashlib.sha256(b"".join(line.tolist())[1:]).hexdigest()
+
+
+def pairs(a, b, a_start, b_start, n_a, n_b) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of all links of the groups, with weights: large groups give each id pair once."""
+    links = n_a * n_b
+    few = links <= SMALL_GROUP
+    n = links[few]
+    within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    x, y = np.divmod(within, np.repeat(n_b[few], n))
+    found = [a[np.repeat(a_start[few], n) + x] << SHIFT | b[np.repeat(b_start[few], n) + y]]
+    weights = [np.ones(len(found[0]))]
+    for g in np.flatnonzero(~few):
+        xs, n_xs = np.unique(a[a_start[g] : a_start[g] + n_a[g]], return_counts=True)
+        ys, n_ys = np.unique(b[b_start[g] : b_start[g] + n_b[g]], return_counts=True)
+        found.append((xs[:, None] << SHIFT | ys).ravel())
+        weights.append((n_xs[:, None] * n_ys).ravel())
+    return np.concatenate(found), np.concatenate(weights)
 
 
 def _chunks(a_file, b_file):

@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -130,25 +131,32 @@ def test_a_very_long_text(libraries, own):
     assert facts[:4] == next(plain(libraries, [text]))[:4]
 
 
-def test_groups_with_many_links(own):
-    """One group of all tokens: id pairs are counted from the different ids."""
-    aligner = alignment.Aligner(own)
+def test_groups_with_many_links():
+    """Groups of all sizes: id pairs of large ones are counted from the different ids."""
     rng = random.Random(1)
-    a, b = [rng.randrange(9) for _ in range(300)], [rng.randrange(5) for _ in range(200)]
-    import numpy as np
-
-    codes, weights = aligner._pairs(np.array(a), np.array(b), a, b, [], [(0, 300, 0, 200)])
-    assert dict(zip(codes.tolist(), weights.tolist())) == Counter(x << 32 | y for x in a for y in b)
-
-
-@pytest.mark.parametrize("seed", range(20))
-def test_skipping_equals_stepping(seed):
+    sizes = [(300, 200), (1, 1), (3, 2), (1, 500), (2, 1)]
+    n_a, n_b = (np.array(x) for x in zip(*sizes))
+    a, b = (np.array([rng.randrange(9) for _ in range(n.sum())]) for n in (n_a, n_b))
+    starts = [np.cumsum(n) - n for n in (n_a, n_b)]
+    codes, weights = alignment.pairs(a, b, *starts, n_a, n_b)
+    found = Counter()
+    for code, weight in zip(codes.tolist(), weights.tolist()):
+        found[code] += int(weight)
+    expected = Counter()
+    for s, t, n, m in zip(*starts, n_a, n_b):
+        expected.update(int(x) << 32 | int(y) for x in a[s : s + n] for y in b[t : t + m])
+    assert found == expected
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_skipping_equals_stepping(seed, monkeypatch):
+    monkeypatch.setattr(alignment, "PROBE", [1, 2, 8][seed % 3])
     rng = random.Random(seed)
     total = rng.choice([1, 5, 40, 400])
     both = [{x for x in range(1, total) if rng.random() < rng.choice([0.1, 0.5, 0.95])} | {total} for _ in range(2)]
     shared = {x for x in range(1, total) if rng.random() < 0.7} if seed % 2 else set()
     a, b = (sorted(x | shared) for x in both)
-    runs, groups = alignment.skip_diagonals(a, b)
-    cuts = [(i + k, i + k + 1, j + k, j + k + 1) for i, j, n in runs for k in range(n)] + groups
-    ends = sorted(set(a) & set(b))
-    assert [(a[p - 1], b[q - 1]) for _, p, _, q in sorted(cuts)] == [(e, e) for e in ends]
+    i, p, j, q = np.array(alignment.skip_diagonals(a, b), np.int64).reshape(-1, 4).T
+    starts = alignment._starts(len(a), i, p), alignment._starts(len(b), j, q)
+    ends = [[x[s - 1] for s in [*starts[side][1:], 0]] for side, x in enumerate((a, b))]
+    assert ends[0] == ends[1] == sorted(set(a) & set(b))
