@@ -3,7 +3,8 @@
 A stage takes (spark, docs, sf_dir) and works on every document that its predecessor kept. All
 but the last return the columns of ``documents``, whatever other columns there are.
 
-1. quality: documents that the classifier gives a score below 0.5 go.
+1. quality: documents that the classifier gives a score below 0.5 go. Without trusted positives
+   none does.
 2. near_duplicates: of documents linked by SimHash, the one with the smallest doc_id stays.
 3. decontamination: documents that contain a benchmark item go.
 4. secrets: found secrets are replaced by asterisks; no document goes.
@@ -52,13 +53,14 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def add_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with ``pieces`` (ids), ``n_pieces`` and ``round_trip``."""
     pieces = sentencepiece.Pieces(spark, TOKENIZER)
-    kept = [c for c in docs.columns if c not in ("pieces", "n_pieces", "round_trip")]
-    coded = docs.select(*kept, pieces.encode_and_check(text_or_empty()).alias("_coded"))
-    return coded.select(
-        *kept,
-        "_coded.pieces",
-        F.size("_coded.pieces").cast("bigint").alias("n_pieces"),
-        "_coded.round_trip",
+    # The documents' own columns are packed, so that their names meet no others.
+    packed = docs.select(F.struct("*").alias("row"), pieces.encode_and_check(text_or_empty()).alias("coded"))
+    kept = [c for c in docs.columns if c.lower() not in ("pieces", "n_pieces", "round_trip")]
+    return packed.select(
+        *[F.col("row")[c].alias(c) for c in kept],
+        "coded.pieces",
+        F.size("coded.pieces").cast("bigint").alias("n_pieces"),
+        "coded.round_trip",
     )
 
 
