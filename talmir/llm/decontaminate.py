@@ -163,6 +163,9 @@ def drop_leaks(docs: DataFrame, items: DataFrame, text: str = "text", **options)
     The join is by shuffle whatever the number of leaks, which grows with the documents.
     """
     options.pop("item", None)  # which item it is does not matter
-    found = _contained(docs, items, text=text, **options).select(F.col("digest").alias("_leak"))
+    leaks = _contained(docs, items, text=text, **options).select(F.col("digest").alias("leak")).distinct()
+    # The documents' own columns are packed, so that their names meet no others.
     digest = F.sha2(text_or_empty(text).cast("binary"), 256)
-    return docs.join(found.distinct().hint("merge"), digest == F.col("_leak"), "left_anti")
+    packed = docs.select(F.struct("*").alias("row"), digest.alias("digest"))
+    kept = packed.join(leaks.hint("merge"), F.col("digest") == F.col("leak"), "left_anti")
+    return kept.select(*[F.col("row")[c].alias(c) for c in docs.columns])

@@ -189,33 +189,46 @@ def near_pairs(values: DataFrame, column: str, max_bits: int, dense: int = 256)
     return pairs.distinct()
 
 
-def simhash_groups(
-    docs: DataFrame,
-    identity: str = "doc_id",
-    text: str = "text",
-    shingle: int = 3,
-    max_bits: int = 3,
-) -> DataFrame:
-    """(identity, fingerprint, component): each row with the smallest identity it is linked to.
+def _linked(docs: DataFrame, identity: str, text: str, shingle: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, values): rows (id, digest, fingerprint) of all documents, values (fingerprint, root)
+    of the different fingerprints, where linked ones share a root. Both are stored.
 
     The texts are read once. Everything after works on one row per document or fingerprint.
     """
     marked = docs.select(
-        F.col(identity).alias("_id"), fingerprint_column(F.col(text), shingle).alias("fingerprint")
+        F.col(identity).alias("id"),
+        text_digest(F.col(text)).alias("digest"),
+        fingerprint_column(F.col(text), shingle).alias("fingerprint"),
     )
     marked = stored(marked, "fingerprints")
-    values = marked.groupBy("fingerprint").agg(F.min("_id").alias("least"))
-    values = stored(values, "values")
+    values = stored(marked.select("fingerprint").distinct(), "values")
     roots = components(near_pairs(values, "fingerprint", max_bits))
     # Most fingerprints have no link, and are their own component.
     grouped = values.join(roots, F.col("fingerprint") == F.col("node"), "left")
-    grouped = grouped.select("fingerprint", "least", F.coalesce("root", "fingerprint").alias("root"))
-    least = grouped.groupBy("root").agg(F.min("least").alias("component"))
-    component = grouped.join(least, "root").select(
-        F.col("fingerprint").alias("_value"), "component"
+    return marked, grouped.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
+
+
+def text_digest(text: Column) -> Column:
+    return F.unhex(F.md5(F.coalesce(text.cast("string"), F.lit("")).cast("binary")))
+
+
+def simhash_groups(
+    docs: DataFrame,
+    identity: str = "doc_id",
+    text: str = "text",
+    shingle: int = 3,
+    max_bits: int = 3,
+) -> DataFrame:
+    """(identity, fingerprint, component): each row with the smallest identity it is linked to."""
+    marked, roots = _linked(docs, identity, text, shingle, max_bits)
+    least = marked.groupBy("fingerprint").agg(F.min("id").alias("least"))
+    grouped = least.join(roots, "fingerprint")
+    smallest = grouped.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component"))
+    component = grouped.join(smallest, F.col("root") == F.col("top")).select(
+        F.col("fingerprint").alias("value"), "component"
     )
-    joined = marked.join(component, F.col("fingerprint") == F.col("_value"))
-    return joined.select(F.col("_id").alias(identity), "fingerprint", "component")
+    joined = marked.join(component, F.col("fingerprint") == F.col("value"))
+    return joined.select(F.col("id").alias(identity), "fingerprint", "component")
 
 
 def keep_one(
@@ -227,10 +240,19 @@ def keep_one(
 ) -> DataFrame:
     """The document with the smallest identity of each component, with its own columns.
 
-    Of repeated rows of that identity one stays. Rows without identity cannot be told apart
-    and stay as they are.
+    A row leaves only for one that it is linked to: rows of one identity with unlike texts each
+    stay, if they are the smallest of theirs; of linked ones, and of repeated rows, one does. Rows
+    without identity cannot be told apart and stay as they are.
     """
-    groups = simhash_groups(docs, identity, text, shingle, max_bits)
-    kept = groups.filter(F.col(identity) == F.col("component")).select(F.col(identity).alias("_kept"))
-    joined = docs.join(kept.distinct(), F.col(identity) == F.col("_kept"), "left_semi")
-    return joined.dropDuplicates([identity]).unionByName(docs.filter(F.col(identity).isNull()))
+    marked, roots = _linked(docs, identity, text, shingle, max_bits)
+    named = marked.filter("id IS NOT NULL").groupBy("fingerprint").agg(F.min(F.struct("id", "digest")).alias("first"))
+    first = named.join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    first = first.select(F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+    # The documents' own columns are packed, so that their names meet no others.
+    packed = docs.select(
+        F.struct("*").alias("row"), F.col(identity).alias("id"), text_digest(F.col(text)).alias("digest")
+    )
+    same = (F.col("id") == F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    kept = packed.join(first, same, "left_semi").dropDuplicates(["id", "digest"])
+    every = kept.unionByName(packed.filter("id IS NULL"))
+    return every.select(*[F.col("row")[c].alias(c) for c in docs.columns])

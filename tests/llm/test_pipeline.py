@@ -23,6 +23,9 @@ def documents(spark):
     )
     docs = docs.unionByName(odd).unionByName(docs.filter("doc_id = 3"))
     names = ["spans", "blob", "component", "fingerprint", "digest", "features", "score", "_w2", "label"]
+    # What the operators name columns of their own.
+    names += ["_kept", "_leak", "_coded", "coded", "row", "id", "leak", "first_id", "first_digest", "_blob", "of"]
+    names += ["_spans", "_version_blob", "_doc", "_text", "content", "scanned", "pieces", "Round_Trip", "value", "root"]
     return docs.withColumns({name: F.lit(name) for name in names}).persist()
 
 
@@ -93,6 +96,8 @@ def test_tokens_decode_to_the_text(spark, documents):
     for r in pipeline.add_tokens(spark, documents, FOLDER).collect():
         assert r.round_trip and r.n_pieces == len(r.pieces)
         assert sentencepiece.decode(model, r.pieces) == (r.text or "").replace("▁", " ")
+    columns = pipeline.add_tokens(spark, documents, FOLDER).columns
+    assert len({c.lower() for c in columns}) == len(columns)
 
 
 def test_run_applies_every_stage(spark):
@@ -106,5 +111,20 @@ def test_run_applies_every_stage(spark):
 
 def test_stages_on_no_documents(spark, documents):
     none = documents.limit(0)
-    for name, stage in pipeline.STAGES[1:]:
-        assert stage(spark, none, FOLDER).count() == 0, name
+    for name, stage in pipeline.STAGES:
+        done = stage(spark, none, FOLDER)
+        assert done.count() == 0, name
+        if name != "tokens":
+            assert done.columns == documents.columns, name
+
+
+def test_quality_keeps_all_where_nothing_is_labelled(spark, documents, tmp_path):
+    none = table(spark, FOLDER, "labels").limit(0)
+    none.write.parquet(f"{tmp_path}/labels.parquet")
+    kept = pipeline.keep_quality(spark, documents, str(tmp_path))
+    assert kept.count() == documents.count()
+
+
+def test_unlike_texts_of_one_identity_both_stay(spark, documents):
+    rows = spark.createDataFrame([(1, "one text of some words"), (1, "quite another one")], "doc_id bigint, text string")
+    assert pipeline.drop_near_duplicates(spark, rows, FOLDER).count() == 2

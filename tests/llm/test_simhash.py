@@ -105,3 +105,23 @@ def test_repeated_rows_nulls_and_no_rows(spark):
     assert rows == [(4, 4), (4, 4), (None, 4), (None, None)]
     assert simhash.simhash_groups(df.limit(0)).count() == 0
     assert simhash.simhash_groups(df).filter(F.col("fingerprint").isNull()).count() == 0
+
+
+def test_one_of_each_group_stays(spark):
+    """Unlike texts of one identity both stay; linked ones, copies and repeated rows do not."""
+    words = " ".join(f"w{i}" for i in range(200))
+    names = ["_kept", "row", "id", "digest", "first_id", "leak", "fingerprint", "a.b"]
+    rows = [
+        (1, "one text"), (1, "quite another"), (2, words), (2, words.upper()), (3, words), (4, "one text"),
+        (5, "fifth"), (5, "fifth"), (None, "one text"), (None, None), (6, None), (7, ""), (8, None),
+    ]
+    df = spark.createDataFrame([(*r, *names) for r in rows], ["doc_id", "text", *names]).repartition(4)
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    found = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+    two = [t for i, t in found if i == 2]
+    assert len(two) == 1 and two[0] in (words, words.upper())
+    assert [f for f in found if f[0] != 2] == sorted([
+        (1, "one text"), (1, "quite another"), (5, "fifth"), (6, None), (None, "one text"), (None, None)], key=str)
+    assert all(list(r)[2:] == names for r in kept.collect())
+    assert simhash.keep_one(df.limit(0)).count() == 0
