@@ -12,11 +12,19 @@ the risk stays non-negative and the model cannot fit the positives to death.
 
 A step is one pass over the stored features of all training rows. Each task sums up its rows,
 and one row of a few thousand numbers per task is added up in two levels. Nothing is sampled.
-The prior is the share of positives among the labels to learn from, unless it is given.
+
+The prior, unless it is given, is estimated from positives and unlabelled texts alone; no label
+0 is looked at. The unlabelled are prior parts positives like the trusted ones, and the rest
+negatives. So any set of texts with a share P of the trusted positives has a share U >= prior * P
+of the unlabelled, with equality where a set holds no negatives. A first model, fitted with
+prior 1/2, orders the texts; among the sets of texts above a score with enough positives to tell,
+the least U / P is the estimate. Counts of both kinds by score are a histogram of BINS
+rows, whatever the number of texts.
 
 Only the text is looked at, all of it. Defined results: NULL texts are empty ones, and empty
 texts have a score like any other. Of several labels of a document the least counts; NULL
-labels and identities are no labels. Without positives to learn from the model is refused.
+labels and identities are no labels. Without positives to learn from (so without documents too)
+nothing speaks against a text, and every score is 0.5, which is accepted.
 """
 
 from __future__ import annotations
@@ -44,6 +52,8 @@ SPACES = b" \t\n\r\x0b\x0c"
 STOPS = b".,;:?'\"()-"
 SHARES = 15
 RIDGE = 1e-4
+# Bins that scores are counted in, and the share of the positives that a set must hold.
+BINS, LEAST_SHARE = 1000, 0.8
 
 
 def _share(data: bytes, kept: bytes) -> float:
@@ -113,6 +123,18 @@ class Model:
 
         return compute(features)
 
+    def logit_bin(self, features: Column) -> Column:
+        """Which of BINS bins the logit is in, from -28 to 28."""
+        model = self
+
+        @F.arrow_udf("int")
+        def compute(rows: pa.Array) -> pa.Array:
+            x = rows.flatten().to_numpy(zero_copy_only=False).reshape(len(rows), -1)
+            share = (np.clip(model.logits(x), -28, 28) + 28) / 56
+            return pa.array((share * (BINS - 1)).astype(np.int32))
+
+        return compute(features)
+
     def score(self, text: Column) -> Column:
         """The score of a text, 0 to 1."""
         model = self
@@ -167,7 +189,7 @@ def fit(training: DataFrame, prior: float, steps: int = 25) -> Model:
     sums = _sum_up(training, moments, 2 + 3 * d)
     n, n_positive = sums[0], sums[1]
     if not n_positive:
-        raise ValueError("there are no positives to learn from")
+        return Model((0.0,) * d, (1.0,) * d, (0.0,) * d, 0.0, prior)
     mean = sums[2 : 2 + d] / n
     scale = np.sqrt(np.maximum(sums[2 + d : 2 + 2 * d] / n - mean**2, 0)) + 1e-6
     towards = np.append((sums[2 + 2 * d :] / n_positive - mean) / scale, 1.0)
@@ -208,6 +230,29 @@ def fit(training: DataFrame, prior: float, steps: int = 25) -> Model:
     return Model(tuple(mean), tuple(scale), tuple(w[:-1]), float(w[-1]), prior)
 
 
+def estimate_prior(training: DataFrame) -> float:
+    """The share of positives among all rows of (features, positive), those marked included.
+
+    The least ratio of shares over the sets of rows above a score that hold LEAST_SHARE of the
+    positives, as smaller ones are a matter of chance. Rows are scored by a model of the other
+    half, as a model's own positives score higher than others.
+    """
+    half = F.pmod(F.xxhash64("features"), F.lit(2))
+    counts = None
+    for side in range(2):
+        model = fit(training.filter(half != side), 0.5)
+        own = training.filter(half == side).select(model.logit_bin(F.col("features")).alias("bin"), "positive")
+        counts = own if counts is None else counts.unionByName(own)
+    rows = counts.groupBy("bin").agg(F.count("*").alias("n"), F.count_if("positive").alias("p")).collect()
+    if not rows or not sum(r["p"] for r in rows):
+        return 0.5
+    rows.sort(key=lambda r: -r["bin"])
+    n, p = (np.cumsum([r[c] for r in rows]) for c in ("n", "p"))
+    unlabelled, positive = n / n[-1], p / p[-1]
+    ratio = (unlabelled / np.maximum(positive, LEAST_SHARE))[positive >= LEAST_SHARE]
+    return float(np.clip(ratio.min(), 0.01, 0.99))
+
+
 def with_features(docs: DataFrame, labels: DataFrame, identity: str, label: str, text: str) -> DataFrame:
     """(identity, features, held_out, label), stored; the label is NULL where there is none."""
     facts = docs.select(F.col(identity).alias("_id"), feature_column(F.col(text)).alias("features"))
@@ -228,9 +273,6 @@ def train(
 ) -> tuple[Model, DataFrame]:
     """A model of ``label`` = 1, and the stored features. Held-out rows are not learnt from."""
     rows = with_features(docs, labels, identity, label, text)
-    known = rows.filter("NOT held_out")
-    if prior is None:
-        prior = known.agg(F.avg((F.col("label") == 1).cast("double"))).first()[0]
-        prior = 0.5 if prior is None else min(max(prior, 0.01), 0.99)
     positive = F.coalesce(F.col("label") == 1, F.lit(False))
-    return fit(known.select("features", positive.alias("positive")), prior), rows
+    training = rows.filter("NOT held_out").select("features", positive.alias("positive"))
+    return fit(training, estimate_prior(training) if prior is None else prior), rows

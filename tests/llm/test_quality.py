@@ -5,6 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from talmir.llm import quality
+from talmir.llm.common import table
+from talmir.llm.queries import op6_quality
+from tests.conftest import TESTDATA
 
 DRAW = random.Random(4)
 
@@ -30,12 +33,16 @@ def scores(model, docs):
     return {r.doc_id: r.s for r in docs.select("doc_id", model.score(F.col("text")).alias("s")).collect()}
 
 
-def test_rejects_what_the_labels_reject(spark, corpus):
-    docs, labels = corpus
+def test_rejects_what_the_labels_reject(spark):
+    """Enough documents to estimate the prior from: some hundred trusted positives."""
+    texts = [(i, bad() if i % 5 == 0 else good()) for i in range(2000)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
+    marks = [(i, 0 if i % 5 == 0 else 1) for i in range(0, 2000, 2)]
+    labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
     model, rows = quality.train(docs, labels)
     assert model.prior == pytest.approx(0.8, abs=0.1)
     found = scores(model, docs)
-    assert all((found[i] < 0.5) == (i % 5 == 0) for i in range(400))
+    assert all((found[i] < 0.5) == (i % 5 == 0) for i in range(2000))
     stored = {r.id: r.s for r in rows.select(F.col("_id").alias("id"), model.score_features(F.col("features")).alias("s")).collect()}
     assert stored == pytest.approx(found)
 
@@ -80,8 +87,42 @@ def test_nulls_ties_and_no_rows(spark, corpus):
     model, rows = quality.train(more, both)
     assert rows.count() == 402
     assert rows.filter("_id = 2").first().label == 0
-    with pytest.raises(ValueError, match="no positives"):
-        quality.train(docs.limit(0), labels)
-    with pytest.raises(ValueError, match="no positives"):
-        quality.train(docs, labels.limit(0))
     assert docs.limit(0).select(model.score(F.col("text"))).count() == 0
+
+
+def test_without_documents_or_positives_every_score_accepts(spark, corpus):
+    docs, labels = corpus
+    model, rows = quality.train(docs.limit(0), labels)
+    assert rows.count() == 0 and set(scores(model, docs).values()) == {0.5}
+    for none in (labels.limit(0), labels.filter("quality = 0")):
+        model, rows = quality.train(docs, none)
+        assert rows.count() == 400 and set(scores(model, docs).values()) == {0.5}
+
+
+def test_prior_is_estimated_without_negatives(spark):
+    """The labels 0 change nothing, and the estimate is near the true share."""
+    for share in (0.3, 0.7):
+        texts = [(i, good() if DRAW.random() < share else bad()) for i in range(2000)]
+        docs = spark.createDataFrame(texts, "doc_id bigint, text string")
+        marks = [(i, 1) for i, t in texts if t.islower() and i % 3 == 0]
+        labels = spark.createDataFrame(marks, "doc_id bigint, quality int")
+        model, _ = quality.train(docs, labels)
+        assert model.prior == pytest.approx(share, abs=0.08)
+        zeros = spark.createDataFrame([(i, 0) for i, t in texts if not t.islower()], labels.schema)
+        assert quality.train(docs, labels.unionByName(zeros))[0].prior == pytest.approx(model.prior)
+
+
+def test_query_on_held_out_labels(spark):
+    """All documents, at sf0.01: scores of rows whose labels were never seen."""
+    folder = f"{TESTDATA}/sf0.01"
+    rows = {r.doc_id: r for r in op6_quality(spark, folder).collect()}
+    assert rows.keys() == {r.doc_id for r in table(spark, folder, "documents").collect()}
+    assert all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in rows.values())
+    labels = table(spark, folder, "labels").filter(quality.held_out(F.col("doc_id"))).collect()
+    assert labels and all(rows[r.doc_id].held_out for r in labels)
+    right = [rows[r.doc_id].predicted == r.quality for r in labels if r.quality is not None]
+    pairs = [
+        rows[a.doc_id].score > rows[b.doc_id].score
+        for a in labels for b in labels if a.quality == 1 and b.quality == 0
+    ]
+    assert sum(right) >= 0.97 * len(right) and sum(pairs) >= 0.99 * len(pairs)
