@@ -76,51 +76,107 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 
 
+# Elements that a running fold copies at a time.
+RUN = 128
+# Code points of the parts that a text is cut into before it is masked.
+PART = 4096
+
+
+def _let(value: Column, use) -> Column:
+    """use(value), the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _running(values: Column, op, start: int) -> Column:
+    """Array of the folds of all elements before each one, for an associative ``op`` on bigints.
+
+    One fold that grows its array would copy it for each element. So runs of RUN elements are
+    folded on their own, from where the runs before them end.
+    """
+    first = F.lit(start).cast("bigint")
+
+    def grow(array: Column, begin: Column) -> Column:
+        state = F.struct(begin.alias("at"), F.array().cast("array<bigint>").alias("out"))
+        return F.aggregate(
+            array,
+            state,
+            lambda s, x: F.struct(
+                op(s["at"], x).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")
+            ),
+            lambda s: s["out"],
+        )
+
+    def of(v: Column) -> Column:
+        count = F.ceil(F.size(v) / RUN).cast("int")
+        places = F.transform(F.sequence(F.lit(0), F.greatest(count - 1, F.lit(0))), lambda i: i * RUN + 1)
+        runs = F.transform(places, lambda i: F.slice(v, i, F.lit(RUN)))
+        return _let(runs, lambda r: _let(
+            grow(F.transform(r, lambda x: F.aggregate(x, first, op)), first),
+            lambda begins: F.flatten(F.zip_with(r, begins, grow)),
+        ))
+
+    return _let(values, of)
+
+
 def _spans(text: Column, rule: Rule, place: int) -> Column:
     """Array of the rule's spans in the text, in order.
 
-    The fold carries the end of the last match; a match that fails moves it on, and is left out.
+    The lengths of gaps and matches before a match add up to where it starts; a match that fails
+    counts for the places of later ones, and is left out.
     """
     regex = F.lit(rule.pattern)
-    pieces = F.split(text, rule.pattern, -1)
     whole = F.regexp_extract_all(text, regex, F.lit(0))
     tested = whole if rule.group == 0 else F.regexp_extract_all(text, regex, F.lit(rule.group))
-    lengths = F.arrays_zip(
-        F.transform(pieces, F.length).alias("gap"),
-        F.transform(whole, F.length).alias("size"),
-        F.transform(tested, F.length).alias("tested"),
-    )
-    start = F.struct(
-        F.lit(0).cast("bigint").alias("at"),
-        F.array().cast("array<struct<start: bigint, place: int, kind: string, end: bigint, rule: string>>").alias("spans"),
-    )
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + F.coalesce(x["size"], F.lit(0))
-        span = F.struct(
-            begin.alias("start"),
-            F.lit(place).alias("place"),
-            F.lit(rule.kind).alias("kind"),
-            end.alias("end"),
-            F.lit(rule.name).alias("rule"),
+    pieces = F.split(text, rule.pattern, -1)
+    kind = "array<struct<start: bigint, place: int, kind: string, end: bigint, rule: string>>"
+
+    def of(x: Column) -> Column:
+        sizes = F.transform(x["whole"], F.length)
+        lengths = F.arrays_zip(
+            F.transform(x["pieces"], F.length).alias("gap"),
+            sizes.alias("size"),
+            F.transform(x["tested"], F.length).alias("tested"),
         )
-        keep = F.coalesce(x["tested"] >= rule.least, F.lit(False))
-        spans = F.when(keep, F.concat(state["spans"], F.array(span))).otherwise(state["spans"])
-        return F.struct(end.alias("at"), spans.alias("spans"))
 
-    return F.aggregate(lengths, start, step, lambda state: state["spans"])
+        def placed(found: Column) -> Column:
+            moved = F.transform(found, lambda y: (y["gap"] + F.coalesce(y["size"], F.lit(0))).cast("bigint"))
+            both = F.zip_with(
+                found,
+                _running(moved, lambda s, y: s + y, 0),
+                lambda y, before: F.struct((before + y["gap"]).alias("begin"), y["size"], y["tested"]),
+            )
+            good = F.filter(both, lambda y: F.coalesce(y["tested"] >= rule.least, F.lit(False)))
+            return F.transform(
+                good,
+                lambda y: F.struct(
+                    y["begin"].alias("start"),
+                    F.lit(place).alias("place"),
+                    F.lit(rule.kind).alias("kind"),
+                    (y["begin"] + y["size"]).alias("end"),
+                    F.lit(rule.name).alias("rule"),
+                ),
+            )
+
+        return _let(lengths, placed).cast(kind)
+
+    # Most texts have no match, and are not cut.
+    return _let(whole, lambda w: F.when(F.size(w) == 0, F.array().cast(kind)).otherwise(
+        _let(F.struct(pieces.alias("pieces"), w.alias("whole"), (w if rule.group == 0 else tested).alias("tested")), of)
+    ))
 
 
 def blob_of(text: Column) -> Column:
     return F.sha2(F.coalesce(text.cast("string"), F.lit("")).cast("binary"), 256)
 
 
+def _exists(spark, path: str) -> bool:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
+
+
 def read_ledger(spark, path: str) -> DataFrame:
     """The ledger, or an empty one where nothing has been written yet."""
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
+    if not _exists(spark, path):
         return spark.createDataFrame([], LEDGER_SCHEMA)
     return spark.read.schema(LEDGER_SCHEMA).parquet(path)
 
@@ -130,25 +186,27 @@ def update_ledger(
 ) -> DataFrame:
     """Scan what the ledger lacks, append it, and return the rows appended.
 
-    One text per blob is taken on the map side already, so copies are not shuffled.
+    One text per blob is taken on the map side already, so copies are not shuffled. Of texts that
+    the ledger knows, only the addresses are.
     """
     spark = versions.sparkSession
-    names = F.array(*[F.lit(rule.name) for rule in rules])
+    wanted = [rule.name for rule in rules]
+    names = F.array(*[F.lit(name) for name in wanted])
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
     blobs = versions.select(blob_of(F.col(text)).alias("blob"), content.alias("content"))
-    seen = (
-        read_ledger(spark, ledger)
-        .select("blob", F.explode("scanned").alias("rule"))
-        .filter(F.col("rule").isin([rule.name for rule in rules]))
-        .groupBy("blob")
-        .agg(F.collect_set("rule").alias("seen"))
-    )
+    if _exists(spark, ledger):
+        # Addresses first: only texts that lack a rule are fetched.
+        scanned = read_ledger(spark, ledger).select("blob", F.explode("scanned").alias("rule"))
+        seen = scanned.filter(F.col("rule").isin(wanted)).groupBy("blob").agg(F.collect_set("rule").alias("seen"))
+        lacking = blobs.select("blob").distinct().join(seen, "blob", "left").select(
+            F.col("blob").alias("lacking"), F.array_except(names, F.coalesce("seen", F.array())).alias("scanned")
+        )
+        lacking = stored(lacking.filter(F.size("scanned") > 0), "unseen")
+        pending = blobs.join(lacking, F.col("blob") == F.col("lacking"))
+    else:
+        pending = blobs.withColumn("scanned", names)
     # Copies are combined in the tasks that read them, so a very frequent text is not shuffled.
-    texts = blobs.groupBy("blob").agg(F.first("content").alias("content"))
-    pending = texts.join(seen, "blob", "left").select(
-        "blob", "content", F.array_except(names, F.coalesce("seen", F.array())).alias("scanned")
-    )
-    pending = pending.filter(F.size("scanned") > 0)
+    pending = pending.groupBy("blob").agg(F.first("content").alias("content"), F.first("scanned").alias("scanned"))
     nothing = F.array()
     found = [
         F.when(F.array_contains("scanned", rule.name), _spans(F.col("content"), rule, i)).otherwise(
@@ -166,28 +224,26 @@ def update_ledger(
 def findings(
     versions: DataFrame, ledger: str, text: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
-    """Every version with ``blob`` and ``spans``, joined from the ledger.
+    """Every version with ``blob`` and ``spans``, joined from the ledger; columns of these names,
+    in any case, are replaced.
 
     Only blobs with findings are joined. Spark splits the join at a very frequent blob.
     """
     wanted = [rule.name for rule in rules]
     kept = F.filter("spans", lambda s: s["rule"].isin(wanted))
-    found = (
-        read_ledger(versions.sparkSession, ledger)
-        .select(F.col("blob").alias("_blob"), kept.alias("_spans"))
-        .filter(F.size("_spans") > 0)
-    )
+    found = read_ledger(versions.sparkSession, ledger).select(F.col("blob").alias("of"), kept.alias("spans"))
+    found = found.filter(F.size("spans") > 0)
     # A blob has several rows if rules were added later; a pair scanned twice counts once.
-    found = found.groupBy("_blob").agg(
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_spans")))).alias("_spans")
-    )
-    blobs = versions.withColumn("_version_blob", blob_of(F.col(text)))
-    joined = blobs.join(found, F.col("_version_blob") == F.col("_blob"), "left")
-    names = [c for c in versions.columns if c not in ("blob", "spans")]
+    # Sorted, equal spans are neighbours; array_distinct compares all pairs of structs.
+    once = lambda s: F.filter(s, lambda x, i: (i == 0) | (x != F.get(s, i - 1)))
+    found = found.groupBy("of").agg(F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"))
+    found = found.select("of", _let(F.col("spans"), once).alias("spans"))
+    # The versions' own columns are packed, so that their names meet no others.
+    packed = versions.select(F.struct("*").alias("row"), blob_of(F.col(text)).alias("blob"))
+    joined = packed.join(found, F.col("blob") == F.col("of"), "left")
+    names = [c for c in versions.columns if c.lower() not in ("blob", "spans")]
     return joined.select(
-        *names,
-        F.col("_version_blob").alias("blob"),
-        F.coalesce("_spans", F.array()).alias("spans"),
+        *[F.col("row")[c].alias(c) for c in names], "blob", F.coalesce("spans", F.array()).alias("spans")
     )
 
 
@@ -200,22 +256,44 @@ def scan(
 
 
 def mask(text: Column, spans: Column, by: str = "*") -> Column:
-    """The text with every span's characters replaced. Overlapping spans are masked once."""
-    state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
-
-    def step(done: Column, s: Column) -> Column:
-        begin = F.greatest(done["at"], s["start"])
-        size = F.greatest(s["end"] - begin, F.lit(0))
-        gap = F.substr(text, (done["at"] + 1).cast("int"), F.greatest(begin - done["at"], F.lit(0)).cast("int"))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.concat(done["out"], gap, F.repeat(F.lit(by), size.cast("int"))).alias("out"),
-        )
+    """The text with every span's characters replaced. Overlapping spans are masked once.
+
+    spans are in the order of their starts. The text is cut into parts once, as finding a place
+    in a string takes time in proportion to the place.
+    """
 
-    def finish(done: Column) -> Column:
-        return F.concat(done["out"], F.substr(text, (done["at"] + 1).cast("int"), F.length(text)))
+    def between(parts: Column, begin: Column, end: Column) -> Column:
+        """The text from begin to end, from the parts that these lie in and all parts between."""
+        first, last = F.floor(begin / PART).cast("int"), F.floor(end / PART).cast("int")
+        at = (begin - first * PART).cast("int")
+        until = (end - last * PART).cast("int")
+        # The last place of a text may lie just after its last part.
+        part = lambda i: F.coalesce(F.get(parts, i), F.lit(""))
+        inside = F.substr(part(first), at + 1, F.greatest(until - at, F.lit(0)))
+        middle = F.array_join(F.slice(parts, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        across = F.concat(
+            F.substr(part(first), at + 1, F.lit(PART)), middle, F.substr(part(last), F.lit(1), until)
+        )
+        return F.when(end <= begin, F.lit("")).when(first == last, inside).otherwise(across)
+
+    def masked(x: Column) -> Column:
+        ends = F.transform(x["spans"], lambda s: s["end"])
+        reach = _running(ends, lambda a, b: F.greatest(a, b), 0)
+        pieces = F.zip_with(
+            x["spans"],
+            reach,
+            lambda s, before: F.concat(
+                between(x["parts"], before, s["start"]),
+                F.repeat(F.lit(by), F.greatest(s["end"] - F.greatest(before, s["start"]), F.lit(0)).cast("int")),
+            ),
+        )
+        tail = between(x["parts"], F.array_max(ends), F.char_length(text).cast("bigint"))
+        return F.concat(F.array_join(pieces, ""), tail)
 
-    return F.when(F.size(spans) == 0, text).otherwise(F.aggregate(spans, state, step, finish))
+    cut = F.struct(
+        F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PART}}}"), F.lit(0)).alias("parts"), spans.alias("spans")
+    )
+    return F.when(F.size(spans) == 0, text).otherwise(_let(cut, masked))
 
 
 def mask_secrets(

@@ -1,7 +1,13 @@
+import random
 import re
+import time
+
+import pytest
+from pyspark.sql import functions as F
 
 from talmir.llm import secrets
 from talmir.session import new_path
+from tests.plans import final_plan
 
 TEXTS = [
     None, "", "password = abc", "PassWord='abcdef' and token=token=abcdefgh", "secret=token:abcdefgh",
@@ -92,3 +98,75 @@ def test_private_keys_are_masked_whole(spark):
     for row in secrets.scan(df, new_path(spark, "ledger")).collect():
         assert spans(row) == plain(texts[row.doc_id])
     assert secrets.RULES[-1].name == "private_key@2"
+
+
+def plain_mask(text, found):
+    letters = list(text)
+    for start, end in found:
+        letters[start:end] = "*" * (end - start)
+    return "".join(letters)
+
+
+@pytest.mark.parametrize("part, run", [(4096, 128), (7, 3), (1, 1)])
+def test_masks_of_any_spans(spark, monkeypatch, part, run):
+    """Overlapping, nested, touching, empty and equal spans, over the ends of parts."""
+    monkeypatch.setattr(secrets, "PART", part)
+    monkeypatch.setattr(secrets, "RUN", run)
+    draw = random.Random(part)
+    rows = []
+    for i in range(60):
+        text = "".join(draw.choice("ab\n é漢\U0001f600") for _ in range(draw.choice([0, 1, 7, 8, 50])))
+        cuts = [sorted(draw.choices(range(len(text) + 1), k=2)) for _ in range(draw.choice([0, 1, 5, 20]))]
+        rows.append((i, text, sorted(map(tuple, cuts))))
+    df = spark.createDataFrame(rows, "i int, text string, spans array<struct<start: bigint, end: bigint>>")
+    masked = df.select("i", secrets.mask(F.col("text"), F.col("spans")).alias("masked"))
+    assert {r.i: r.masked for r in masked.collect()} == {i: plain_mask(t, s) for i, t, s in rows}
+
+
+def many_secrets(n):
+    return "\n".join(f"user {i} password = {i:x}abcdef{'é' * (i % 3)} AKIA{'Q' * 16}" for i in range(n // 2))
+
+
+def test_a_text_of_very_many_secrets(spark):
+    """Spans and masks equal the plain ones, and the time grows with their number."""
+    ledger = new_path(spark, "ledger")
+
+    def run(n, check=False):
+        text = many_secrets(n)
+        df = spark.createDataFrame([(n, text)], "doc_id int, text string")
+        start = time.perf_counter()
+        row = secrets.mask_secrets(df, f"{ledger}-{n}-{check}").first()
+        took = time.perf_counter() - start
+        if check:
+            assert row.text == plain_mask(text, [(a, b) for _, a, b in plain(text)])
+        return took
+
+    run(100, check=True)
+    run(16_000, check=True)
+    small, large = (min(run(n, i) for i in range(2)) for n in (16_000, 64_000))
+    assert large < 4 * small + 3
+
+
+def test_known_texts_are_not_shuffled(spark):
+    """A second scan of the same texts moves their addresses only."""
+    ledger = new_path(spark, "ledger")
+    text = F.concat(F.lit("token=abcdef "), F.repeat(F.sha2(F.col("id").cast("string"), 256), 50))
+    df = spark.range(400).select("id", text.alias("text")).repartition(4)
+    assert secrets.update_ledger(df, ledger).count() == 400
+    more = df.unionByName(spark.createDataFrame([(1000, "secret=qwertz")], "id bigint, text string"))
+    new = secrets.update_ledger(more, ledger)
+    assert [r.spans[0].kind for r in new.collect()] == ["assign"]
+    blobs = more.select(secrets.blob_of(F.col("text")).alias("blob"), F.col("text").alias("content"))
+    lacking = new.select(F.col("blob").alias("lacking"))
+    assert "BroadcastHashJoin" in final_plan(blobs.join(lacking, F.col("blob") == F.col("lacking")))
+
+
+def test_columns_of_any_name(spark):
+    names = ["_blob", "_spans", "_version_blob", "row", "of", "content", "scanned", "Spans", "BLOB", "a.b", "_doc", "_text"]
+    df = spark.createDataFrame([(1, "x token=abcdef", *names)], ["doc_id", "text", *names])
+    found = secrets.scan(df, new_path(spark, "ledger"))
+    kept = [n for n in names if n.lower() not in ("blob", "spans")]
+    assert found.columns == ["doc_id", "text", *kept, "blob", "spans"]
+    assert list(found.first())[2 : 2 + len(kept)] == kept and len(found.first().spans) == 1
+    masked = secrets.mask_secrets(df.drop("a.b"), new_path(spark, "ledger"))
+    assert masked.columns == [c for c in df.columns if c != "a.b"] and masked.first().text == "x " + "*" * 12
