@@ -5,6 +5,8 @@ Points have a column ``point`` (ARRAY<DOUBLE>) and a label ``cluster`` (INT, 0 t
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,13 +14,14 @@ from pyspark.sql import types as T
 
 from talmir.functions import require, unit_draw
 from talmir.operators.joins import HOT_ROWS, join_back
-from talmir.operators.kernels import nearest_centre
+from talmir.operators.kernels import nearest_centre, nearest_so_far
 from talmir.session import cut_lineage
 
 # Up to this many clusters, their sizes are broadcast. Beyond it they are joined by a shuffle.
 MAX_SMALL_K = 10_000
 
-# Centres and statistics are models, which must fit the memory of the driver and of each task.
+# Centres and statistics are models, which must fit the memory of the driver and of each task;
+# assign_clusters takes larger ones in blocks.
 MAX_MODEL_NUMBERS = 1 << 27
 
 # Identical rows are numbered in runs of this length, each of them in one task.
@@ -154,19 +157,49 @@ def sample_sizes(sample: DataFrame) -> DataFrame:
     return sample.groupBy("cluster").agg(F.count("*").alias("n_sampled"))
 
 
-def assign_clusters(points: DataFrame, centres: DataFrame) -> DataFrame:
+def _model(points: DataFrame, rows: list):
+    ids = np.array([row["cid"] for row in rows], dtype=np.int32)
+    matrix = np.array([row["centre"] for row in rows], dtype=np.float64)
+    return points.sparkSession.sparkContext.broadcast((ids, matrix))
+
+
+def _blocks(centres: DataFrame, numbers: int):
+    """The centres in the order of their ids, as lists of rows of so many numbers at most. Only one
+    partition of them at a time is brought to the driver."""
+    rows: list = []
+    for row in centres.orderBy("cid").toLocalIterator():
+        if rows and (len(rows) + 1) * len(row["centre"]) > numbers:
+            yield rows
+            rows = []
+        rows.append(row)
+    if rows:
+        yield rows
+
+
+def assign_clusters(
+    points: DataFrame, centres: DataFrame, model_numbers: int = MAX_MODEL_NUMBERS
+) -> DataFrame:
     """Every point with the ``cluster`` of its nearest centre; the lowest index wins ties.
 
     ``centres``: (cid INT, centre ARRAY<DOUBLE>). They are broadcast, so the points are read
     once and not shuffled, whatever their number. Coordinates must be finite; where all
     distances overflow the lowest index is taken.
+
+    Centres of more than ``model_numbers`` numbers in all are taken in blocks of that many, in the
+    order of their ids. Each block is broadcast on its own, and the points with the best centre so
+    far are stored between blocks, so no task holds more than a block.
     """
-    rows = centres.orderBy("cid").collect()
-    if not rows:
+    blocks = _blocks(centres, model_numbers)
+    first, second = next(blocks, None), next(blocks, None)
+    if first is None:
         raise ValueError("there are no centres to assign points to")
-    check_model(len(rows), len(rows[0]["centre"]))
-    ids = np.array([row["cid"] for row in rows], dtype=np.int32)
-    matrix = np.array([row["centre"] for row in rows], dtype=np.float64)
-    model = points.sparkSession.sparkContext.broadcast((ids, matrix))
     columns = [c for c in points.columns if c != "cluster"]
-    return points.select(*columns, nearest_centre(model)(F.col("point")).alias("cluster"))
+    if second is None:
+        return points.select(*columns, nearest_centre(_model(points, first))(F.col("point")).alias("cluster"))
+    # The points' own columns are packed, so that their names meet no others.
+    none = F.struct(F.lit(float("nan")).alias("d"), F.lit(0).alias("cid"))
+    found = points.select(F.struct(*columns).alias("row"), none.alias("best"))
+    for rows in chain([first, second], blocks):
+        nearer = nearest_so_far(_model(points, rows))(F.col("row.point"), F.col("best"))
+        found = cut_lineage(found.select("row", nearer.alias("best")))
+    return found.select(*[F.col("row")[c].alias(c) for c in columns], F.col("best.cid").alias("cluster"))

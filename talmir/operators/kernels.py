@@ -128,6 +128,68 @@ def partial_means(model):
     return combine
 
 
+def first_points(count: int):
+    """Function of batches (hash, tie, point) to the ``count`` different points that come first by
+    (hash, tie), in this order.
+
+    It holds 2 * count points at most, and once it has that many looks at smaller hashes only.
+    Firsts of firsts are the firsts of all, so parts can be combined in any number of rounds.
+    """
+
+    def keep(batches):
+        kept: dict[bytes, tuple] = {}
+        schema, least = None, None
+
+        def prune():
+            return dict(sorted(kept.items(), key=lambda x: x[1][:2])[:count])
+
+        for batch in batches:
+            schema = batch.schema
+            if least is not None:
+                batch = batch.filter(pc.less_equal(batch.column(0), least))
+            if not batch.num_rows:
+                continue
+            matrix = to_matrix(batch.column(2), len(batch.column(2)[0]))
+            hashes, ties = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for row in sorted(range(len(hashes)), key=hashes.__getitem__):
+                point = (matrix[row] + 0.0).tobytes()  # -0.0 is 0.0
+                found = (hashes[row], ties[row], matrix[row])
+                if point not in kept or found[:2] < kept[point][:2]:
+                    kept[point] = found
+                if len(kept) >= 2 * count:
+                    kept = prune()
+                    least = max(x[0] for x in kept.values())
+                    if hashes[row] > least:  # the rest of the batch comes later still
+                        break
+        if kept:
+            columns = list(zip(*prune().values()))
+            columns[2] = [x.tolist() for x in columns[2]]
+            arrays = [pa.array(list(x), field.type) for x, field in zip(columns, schema)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+    return keep
+
+
+def nearest_so_far(model):
+    """Function of (point, best) to best (d, cid): the nearest of a block of centres and those
+    before; ``model``: broadcast (ids, matrix)."""
+
+    @F.arrow_udf("struct<d: double, cid: int>")
+    def find(point: pa.Array, best: pa.Array) -> pa.Array:
+        ids, centres = model.value
+        matrix = to_matrix(point, centres.shape[1])
+        d = best.field("d").to_numpy(zero_copy_only=False).copy()
+        cid = best.field("cid").to_numpy(zero_copy_only=False).copy()
+        index = nearest(matrix, centres)
+        own = _squared_distances(matrix, centres[index])
+        # NULL (NaN here) stands for none yet. Earlier blocks have lower ids, which win ties.
+        closer = np.isnan(d) | (own < d)
+        d[closer], cid[closer] = own[closer], ids[index[closer]]
+        return pa.StructArray.from_arrays([pa.array(d), pa.array(cid.astype(np.int32))], ["d", "cid"])
+
+    return _once(find)
+
+
 class ClusterStatistics:
     """Per cluster: what the mean distance of any point to its sample depends on.
 

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from talmir.functions import unit_draw
@@ -19,6 +19,7 @@ from talmir.operators.clusters import check_k, check_model, check_t, identity_te
 from talmir.operators.kernels import (
     SCORES,
     ClusterStatistics,
+    first_points,
     nearest_in_sets,
     partial_means,
     score_sums,
@@ -28,7 +29,7 @@ from talmir.session import cut_lineage
 
 CENTRE_SCHEMA = "cid int, centre array<double>"
 
-# Tasks that share the first round of a search for the k smallest hashes.
+# Tasks that share the second round of a search for the k smallest hashes.
 START_GROUPS = 64
 
 Matrix = list[list[float]]
@@ -48,37 +49,25 @@ def _ml_centres(points: DataFrame, k: int, iters: int, seed: int) -> Matrix:
     return [centre.tolist() for centre in trainer.fit(vectors).clusterCenters()]
 
 
-def _first_by_hash(points: DataFrame, id_column: str | None, seed: int, count: int) -> list[list]:
-    """Points in the order of their hashes, ``count`` rows at most, equal ones included.
-
-    Each task keeps ``count`` rows, START_GROUPS tasks keep ``count`` of those, and only then
-    does one task see the rest.
-    """
+def _start_candidates(points: DataFrame, k: int, seed: int, id_column: str | None) -> DataFrame:
+    """(hash, tie, point): the first k different points of each task, by a hash."""
     name = id_column or "point"
     text = F.col(name) if id_column else F.concat_ws(",", F.col(name).cast("array<string>"))
-    drawn = points.select("point", F.col(name).alias("_tie"), hash_key(seed, text).alias("_hash"))
-    drawn = drawn.withColumn("_group", F.pmod(F.spark_partition_id(), F.lit(START_GROUPS)))
-    rank = F.row_number().over(Window.partitionBy("_group").orderBy("_hash", "_tie"))
-    few = drawn.withColumn("_rank", rank).filter(F.col("_rank") <= count)
-    return [r["point"] for r in few.orderBy("_hash", "_tie").limit(count).select("point").collect()]
+    drawn = points.select(hash_key(seed, text).alias("hash"), F.col(name).alias("tie"), "point")
+    return drawn.mapInArrow(first_points(k), drawn.schema)
 
 
 def _initial_centres(points: DataFrame, k: int, seed: int, id_column: str | None) -> Matrix:
     """The first k different points in the order of a hash; fewer if there are no more.
 
-    Where points repeat much, further rounds look past those already found.
+    Each task keeps k points, START_GROUPS tasks keep k of those, and only then does one task see
+    the rest; so the shuffles hold k points a task, whatever k is and however often points repeat.
     """
-    found: dict[tuple, list] = {}
-    rest, count = points, 2 * k + 16
-    while True:
-        rows = _first_by_hash(rest, id_column, seed, count)
-        for point in rows:
-            found.setdefault(tuple(point), point)
-        if len(found) >= k or len(rows) < count:
-            return list(found.values())[:k]
-        known = points.sparkSession.createDataFrame([(p,) for p in found.values()], "_known array<double>")
-        rest = points.join(F.broadcast(known), F.col("point") == F.col("_known"), "left_anti")
-        count *= 2
+    some = _start_candidates(points, k, seed, id_column)
+    group = F.pmod(F.spark_partition_id(), F.lit(START_GROUPS))
+    some = some.repartition(START_GROUPS, group).mapInArrow(first_points(k), some.schema)
+    few = some.repartition(1).mapInArrow(first_points(k), some.schema)
+    return [row["point"] for row in few.collect()]
 
 
 def _step(points: DataFrame, sets: list[Matrix]) -> DataFrame:
@@ -148,8 +137,7 @@ def k_sweep(
     About m points are sampled in all, so t = m / k, which need not be whole. Centres are
     those of :func:`kmeans` with ``random_start``, else of :func:`lloyd_kmeans`.
 
-    All k share every pass: one for the start (as long as points do not repeat much), one per
-    step, and one each for sizes, samples and scores, which is iters + 4 in all. The samples are
+    All k share every pass: one for the start, one per step, and one each for sizes, samples and scores, which is iters + 4 in all. The samples are
     stored; the assignments are not, as the nearest centres are found again in each pass.
     With ``random_start`` Spark ML trains each k on its own.
     """

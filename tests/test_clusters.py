@@ -349,3 +349,18 @@ def test_plans(spark, blobs, tmp_path):
     centres = spark.createDataFrame([(0, [0.0] * 3)], "cid int, centre array<double>")
     assigned = plan(clusters.assign_clusters(df, centres).filter("cluster = 0"))
     assert assigned.count("ArrowEvalPython") == 1
+
+
+@pytest.mark.parametrize("numbers", [1, 4, 7, 8, 1000])
+def test_centres_in_blocks_give_the_same_clusters(spark, numbers):
+    rng = np.random.default_rng(4)
+    points = np.vstack([rng.normal(size=(60, 2)), [[0.5, 0.5], [1e200, 1e200]]])
+    centres = [(i * 3, [float(x) for x in c]) for i, c in enumerate(rng.normal(size=(9, 2)))]
+    centres += [(40, centres[2][1]), (41, [0.0, 0.5]), (42, [1.0, 0.5])]  # ties
+    model = spark.createDataFrame(centres[::-1], "cid int, centre array<double>")
+    df = frame(spark, points, [0] * len(points)).withColumns({"row": F.lit(1), "best": F.lit(2)})
+    whole = clusters.assign_clusters(df, model)
+    blocks = clusters.assign_clusters(df, model, model_numbers=numbers)
+    assert blocks.columns == whole.columns
+    assert sorted(map(str, blocks.collect())) == sorted(map(str, whole.collect()))
+    assert clusters.assign_clusters(df.limit(0), model, model_numbers=numbers).count() == 0

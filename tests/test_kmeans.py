@@ -1,9 +1,13 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from talmir.operators import clusters, kmeans, silhouette
+from talmir.operators.kernels import first_points
+from tests.plans import plan
 from tests.test_clusters import frame
 
 
@@ -133,3 +137,39 @@ def test_sweep_with_random_start(spark, cloud):
 def test_sweep_needs_two_clusters(spark, cloud):
     with pytest.raises(ValueError, match="at least 2"):
         kmeans.k_sweep(frame(spark, cloud, [0] * 200), 1, 2, 1, 10, 1)
+
+
+def test_start_search_shuffles_few_points_for_many_centres(spark):
+    """k = 2000: each of 5 tasks hands over the first 2000 of its 6000 different points, at most."""
+    k, rows = 2000, 60_000
+    x = F.col("id") % 30_000  # each point twice
+    df = spark.range(0, rows, 1, 5).select("id", F.array(x.cast("double"), F.lit(0.5)).alias("point"))
+    candidates = kmeans._start_candidates(df, k, 3, "id")
+    assert candidates.count() <= 5 * k
+    text = plan(candidates)
+    assert "MapInArrow" in text and "Exchange" not in text and "Window" not in text
+    centres = kmeans._initial_centres(df, k, 3, "id")
+    first = sorted(range(rows), key=lambda i: hashlib.md5(f"{i}:3".encode()).hexdigest())
+    expected = list(dict.fromkeys([i % 30_000 for i in first]))[:k]
+    assert [c[0] for c in centres] == expected
+
+
+@pytest.mark.parametrize("count", [1, 3, 50])
+def test_first_points_of_firsts_are_the_firsts(count):
+    """Any cut into batches and rounds, points that repeat, and equal hashes."""
+    rng = np.random.default_rng(count)
+    # Zeros of both signs are one point; no two rows have the same hash and tie.
+    rows = [(f"{rng.integers(40):02}", i, [float(rng.integers(30)) * rng.choice([-0.0, 1.0])]) for i in range(300)]
+    schema = pa.schema([("hash", pa.string()), ("tie", pa.int64()), ("point", pa.list_(pa.float64()))])
+
+    def batch(some):
+        return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+    keep = first_points(count)
+    parts = [keep(iter([batch(rows[i : i + 10]) for i in range(a, a + 100, 10)])) for a in (0, 100, 200)]
+    found = [tuple(r.values()) for out in keep(b for part in parts for b in part) for r in out.to_pylist()]
+    best = {}
+    for h, t, (x,) in rows:
+        best[x] = min((h, t), best.get(x, (h, t)))
+    assert found == [(h, t, [x]) for x, (h, t) in sorted(best.items(), key=lambda i: i[1])][:count]
+    assert list(keep(iter([]))) == []
