@@ -5,13 +5,18 @@ Input columns: ``product``, ``user``, ``rating``. Ratings count by their whole p
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from talmir.functions import truncate_rating, unit_draw
 from talmir.operators.joins import HOT_ROWS, join_back
+from talmir.session import cut_lineage
 from talmir.sources.text import parse_ratings
 
+# Ranges for each shuffle partition that reviews are cut into before they are paged.
+RANGES = 4
+
+
 def split_reviews(docs: DataFrame, text: str = "text") -> DataFrame:
     """Documents of several rating lines to one row per review, with its ``position``."""
     kept = [c for c in docs.columns if c != text]
@@ -92,3 +97,44 @@ def reviews_by_user(ratings: DataFrame, parts: int) -> DataFrame:
         F.sum("copies").alias("n_reviews"),
         F.array_sort(F.collect_list(F.struct("product", "rating", "copies"))).alias("reviews"),
     )
+
+
+def review_pages(ratings: DataFrame, page_size: int) -> DataFrame:
+    """(user, page, n_reviews, reviews): each user's different reviews in the order of (product,
+    rating), NULLs first, as pages of ``page_size`` of (product, rating, copies).
+
+    The pages of a user, in order, are the one row that :func:`reviews_by_user` has for them with
+    one part, but no row holds more than a page, whatever a user has. Ranks are found without
+    bringing a user into one task: reviews are cut into ranges of (user, product, rating), so a
+    user with very many lies in many ranges. A review's rank is its place among the user's in its
+    range, plus their numbers in the ranges before. Equal reviews are counted on the map side.
+    """
+    if page_size < 1:
+        raise ValueError(f"a page must hold at least 1 review, got {page_size}")
+    spark = ratings.sparkSession
+    ranges = RANGES * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = ["user", "product", "rating"]
+    bag = ratings.groupBy(*keys).agg(F.count("*").alias("copies"))
+    # Stored, as ranges are drawn from samples, which a lost task might draw differently.
+    ranged = cut_lineage(
+        bag.repartitionByRange(ranges, *keys).withColumn("_range", F.spark_partition_id())
+    )
+    sizes = ranged.groupBy("user", "_range").agg(F.count("*").alias("_size"))
+    before = Window.partitionBy("user").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(
+        F.col("user").alias("_user"),
+        F.col("_range").alias("_own_range"),
+        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_start"),
+    )
+    place = F.row_number().over(Window.partitionBy("user", "_range").orderBy("product", "rating"))
+    same = F.col("user").eqNullSafe(F.col("_user")) & (F.col("_range") == F.col("_own_range"))
+    ranked = ranged.withColumn("_place", place).join(starts, same)
+    rank = F.col("_start") + F.col("_place") - 1
+    review = F.struct("product", "rating", "copies")
+    pages = ranked.withColumn("_rank", rank).groupBy(
+        "user", F.floor(F.col("_rank") / page_size).cast("bigint").alias("page")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("_rank", review.alias("review"))))
+    return pages.agg(
+        F.sum("copies").alias("n_reviews"), F.transform(listed, lambda x: x["review"]).alias("reviews")
+    )

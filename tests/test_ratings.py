@@ -183,3 +183,48 @@ def test_plan_of_top_products(spark):
     assert not uses_python(text)
     # The list of hot users and the join read one shuffle of the totals.
     assert "ReusedExchange" in final_plan(ratings.top_products(df, 3, hot_rows=10))
+
+
+def pages_by_hand(rows, size):
+    bags = {}
+    for product, user, rating, _ in rows:
+        bag = bags.setdefault(user, {})
+        bag[product, rating] = bag.get((product, rating), 0) + 1
+    order = lambda r: tuple((x is not None, x) for x in r[0])
+    out = []
+    for user, bag in bags.items():
+        listed = [(*r, n) for r, n in sorted(bag.items(), key=order)]
+        for page in range(-(-len(listed) // size)):
+            some = listed[page * size : page * size + size]
+            out.append((user, page, sum(n for *_, n in some), some))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("size, partitions", [(1, 3), (4, 1), (4, 6), (1000, 2)])
+def test_review_pages(spark, size, partitions):
+    rows = [(f"p{i * 7 % 23}", f"u{i % 5}", float(i % 3), i) for i in range(300)]
+    rows += [(f"p{i}", "hot", 1.0, i) for i in range(150)] * 2
+    rows += [(None, "u1", 2.0, 0), ("p1", None, 2.0, 0), (None, None, None, 0), (None, None, None, 0), ("p2", "u1", None, 1)]
+    df = spark.createDataFrame(rows, "product string, user string, rating double, ts long").repartition(partitions)
+    found = ratings.review_pages(df, size).collect()
+    found = sorted(((r.user, r.page, r.n_reviews, [tuple(x) for x in r.reviews]) for r in found), key=str)
+    assert found == pages_by_hand(rows, size)
+    assert ratings.review_pages(df.limit(0), size).count() == 0
+    with pytest.raises(ValueError, match="at least 1"):
+        ratings.review_pages(df, 0)
+
+
+def test_review_pages_spread_a_hot_user(spark):
+    """One user has a third of all different reviews: no partition holds over twice the median of
+    what is ranked, and no page is longer than its size."""
+    user = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("u"), (F.col("id") % 5000).cast("string")))
+    df = spark.range(90_000).select(user.alias("user"), F.col("id").alias("product"), F.lit(3.0).alias("rating"))
+    pages = ratings.review_pages(df, 50).persist()
+    assert pages.agg(F.max(F.size("reviews"))).first()[0] == 50
+    assert pages.filter("user = 'hot'").count() == 600
+    text = final_plan(ratings.review_pages(df, 50))
+    assert "Window" in text
+    ranged = df.repartitionByRange(ratings.RANGES * 8, "user", "product", "rating")
+    keyed = ranged.withColumn("r", F.spark_partition_id()).repartition(8, "user", "r")
+    sizes = sorted(r["count"] for r in keyed.groupBy(F.spark_partition_id().alias("t")).count().collect())
+    assert sizes[-1] <= 2 * sizes[len(sizes) // 2]
