@@ -141,6 +141,9 @@ points AS (
          row_number() OVER () AS n FROM w),
 numbered AS (SELECT x, cluster, p || ':' || cluster || ':' || copy AS vec_id FROM points)"""
 
+WHOLE_LINES = """w AS (
+  SELECT list_transform(embedding[1:3], lambda x: floor(x::DOUBLE * 4)::BIGINT) AS p, label FROM embeddings)"""
+
 WHOLE_SCORED = f"WITH {WHOLE_POINTS}, {_silhouette('numbered', '20', ONE_SEED)}"
 
 NORMALIZED = f"WITH {NORMS} SELECT product, round(norm, 6) AS norm FROM norms"
@@ -232,6 +235,25 @@ FROM events GROUP BY 1, 2""",
     "rejected_ratings": f"""WITH {RATINGS}
 SELECT product || ',' || "user" || ',none,' || ts AS value, count(*) AS n FROM ratings
 WHERE product % 10 = 0 GROUP BY 1""",
+    "review_pages": f"""WITH {RATINGS},
+bag AS (
+  SELECT "user", product, rating, count(*) AS copies FROM ratings
+  GROUP BY "user", product, rating),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY product, rating) - 1 AS place FROM bag)
+SELECT "user", (place // 10)::BIGINT AS page, sum(copies)::BIGINT AS n_reviews,
+       string_agg(product || ':' || rating || ':' || copies, ',' ORDER BY product, rating) AS reviews
+FROM ranked GROUP BY 1, 2""",
+    "rejected_labelled_points": f"""WITH {WHOLE_LINES}
+SELECT p[1] % 3 <> 0 AS accepted, count(*) AS n,
+       array_to_string(p, ',') || ',' || CASE WHEN p[1] % 3 = 0 THEN 'none' ELSE label::VARCHAR END AS line
+FROM w GROUP BY 1, 3""",
+    "rejected_points": f"""WITH {WHOLE_LINES}
+SELECT p[1] % 3 <> 0 AS accepted, count(*) AS n,
+       CASE WHEN p[1] % 3 = 0 THEN array_to_string(p, ' ') || ' nan' ELSE array_to_string(p, ',') END AS line
+FROM w GROUP BY 1, 3""",
+    "assign_clusters_in_blocks": f"""WITH {MEANS}
+SELECT vec_id, cluster FROM ({_nearest("means")})""",
     "normalize_ratings_missing": f"""WITH {RATINGS},
 given AS (SELECT product, "user", CASE WHEN rating % 4 <> 0 THEN trunc(rating) END AS rating FROM ratings)
 SELECT product, round(rating - avg(rating) OVER (PARTITION BY "user"), 6) AS norm FROM given""",

@@ -18,6 +18,8 @@ from talmir.sources import (
     read_lines,
     read_points,
     read_ratings,
+    split_bad_labelled_points,
+    split_bad_points,
     split_bad_ratings,
     write_result,
 )
@@ -120,6 +122,10 @@ def _reviews_by_user_parts(spark, folder):
     return _reviews_as_text(ratings.reviews_by_user(given, 3))
 
 
+def _review_pages(spark, folder):
+    return _reviews_as_text(ratings.review_pages(read_given_ratings(spark, folder), 10))
+
+
 def _user_totals(spark, folder):
     return ratings.user_totals(read_given_ratings(spark, folder))
 
@@ -269,6 +275,38 @@ def _rejected_ratings(spark, folder):
     return bad.groupBy("value").agg(F.count("*").alias("n"))
 
 
+def _bad_rows(good: DataFrame, bad: DataFrame) -> DataFrame:
+    """How often each rejected line and each accepted point (its label too) stands there."""
+    names = F.concat_ws(",", F.array_join(F.col("point").cast("array<string>"), ","), *[c for c in good.columns if c != "point"])
+    accepted = good.select(F.lit(True).alias("accepted"), names.alias("line"))
+    rejected = bad.select(F.lit(False).alias("accepted"), F.col("value").alias("line"))
+    return accepted.unionByName(rejected).groupBy("accepted", "line").agg(F.count("*").alias("n"))
+
+
+def _rejected_labelled_points(spark, folder):
+    """The label is no number where the first coordinate is a multiple of three."""
+    given = whole_points(spark, folder).select("cluster", F.transform("point", lambda x: x.cast("bigint")).alias("p"))
+    label = F.when(F.get("p", F.lit(0)) % 3 == 0, F.lit("none")).otherwise(F.col("cluster").cast("string"))
+    lines = given.select(F.concat_ws(",", F.col("p").cast("array<string>"), label).alias("value"))
+    good, bad = split_bad_labelled_points(lines, once=True)
+    return _bad_rows(good.withColumn("point", F.col("point").cast("array<bigint>")), bad)
+
+
+def _rejected_points(spark, folder):
+    """A last coordinate is no number where the first is a multiple of three."""
+    given = whole_points(spark, folder).select(F.transform("point", lambda x: x.cast("bigint")).alias("p"))
+    last = F.when(F.get("p", F.lit(0)) % 3 == 0, F.lit("nan")).otherwise(F.lit(""))
+    lines = given.select(F.concat_ws(" ", F.col("p").cast("array<string>"), last).alias("value"))
+    good, bad = split_bad_points(lines, once=True)
+    return _bad_rows(good.select(F.col("point").cast("array<bigint>")), bad)
+
+
+def _assign_blocks(spark, folder):
+    """As assign_clusters, with so small a limit that the centres are taken in blocks of three."""
+    given = points(spark, folder)
+    return clusters.assign_clusters(given, label_means(given), model_numbers=200).select("vec_id", "cluster")
+
+
 def _norms_missing(spark, folder):
     """Every fourth rating is missing."""
     given = read_given_ratings(spark, folder)
@@ -325,4 +363,8 @@ QUERIES: dict[str, Query] = {
     "last_review_per_document_from_text": _last_reviews_from_text,
     "rejected_ratings": _rejected_ratings,
     "normalize_ratings_missing": _norms_missing,
+    "review_pages": _review_pages,
+    "rejected_labelled_points": _rejected_labelled_points,
+    "rejected_points": _rejected_points,
+    "assign_clusters_in_blocks": _assign_blocks,
 }

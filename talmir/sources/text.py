@@ -1,7 +1,9 @@
 """Line-oriented text sources, their parsers, and the Parquet sink.
 
 Each parser has two modes. ``parse_*`` is strict: one malformed line fails the job.
-``split_bad_*`` returns the parsed rows and, beside them, the lines it rejected.
+``split_bad_*`` returns the parsed rows and, beside them, the lines it rejected. Each of
+the two reads the source when it is used; with ``once`` the lines are parsed when the function is
+called, in one pass, and both outputs are kept in the shared folder (Parquet, one folder each).
 Columns other than the text column are carried through.
 """
 
@@ -13,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from talmir.functions import require
+from talmir.session import new_path
 
 # Fixed values of the file formats: field counts, separators and white space.
 RATING_FIELDS = 4
@@ -126,9 +129,24 @@ def _strict(lines: DataFrame, column: str, line: _Format) -> DataFrame:
     return checked.select(*_columns(lines, column, line))
 
 
-def _permissive(lines: DataFrame, column: str, line: _Format) -> tuple[DataFrame, DataFrame]:
+def _permissive(
+    lines: DataFrame, column: str, line: _Format, once: bool
+) -> tuple[DataFrame, DataFrame]:
     parsed = _parsed(lines, column, line)
     valid = F.coalesce(line.valid(), F.lit(False))
+    if once:
+        # Both outputs read one of the two folders that this pass writes.
+        good = F.struct(*_columns(lines, column, line)).alias("good")
+        rows = parsed.select(F.struct(*lines.columns).alias("line"), good, valid.alias("valid"))
+        kept = F.when(F.col("valid"), F.col("good")), F.when(~F.col("valid"), F.col("line"))
+        path = new_path(lines.sparkSession, "parsed")
+        rows = rows.select(kept[0].alias("good"), kept[1].alias("line"), "valid")
+        rows.write.partitionBy("valid").parquet(path)
+        back = lines.sparkSession.read.schema(rows.schema).parquet(path)
+        return (
+            back.filter("valid").select("good.*"),
+            back.filter("NOT valid").select("line.*"),
+        )
     good = parsed.filter(valid).select(*_columns(lines, column, line))
     return good, parsed.filter(~valid).select(*lines.columns)
 
@@ -138,9 +156,11 @@ def parse_ratings(lines: DataFrame, column: str = "value") -> DataFrame:
     return _strict(lines, column, RATING)
 
 
-def split_bad_ratings(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+def split_bad_ratings(
+    lines: DataFrame, column: str = "value", once: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_ratings`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, RATING)
+    return _permissive(lines, column, RATING, once)
 
 
 def parse_labelled_points(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -149,10 +169,10 @@ def parse_labelled_points(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def split_bad_labelled_points(
-    lines: DataFrame, column: str = "value"
+    lines: DataFrame, column: str = "value", once: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_labelled_points`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, LABELLED_POINT)
+    return _permissive(lines, column, LABELLED_POINT, once)
 
 
 def parse_points(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -160,9 +180,11 @@ def parse_points(lines: DataFrame, column: str = "value") -> DataFrame:
     return _strict(lines, column, POINT)
 
 
-def split_bad_points(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
+def split_bad_points(
+    lines: DataFrame, column: str = "value", once: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """As :func:`parse_points`, with malformed lines in a second DataFrame."""
-    return _permissive(lines, column, POINT)
+    return _permissive(lines, column, POINT, once)
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:

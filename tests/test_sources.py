@@ -134,3 +134,31 @@ def test_shared_folder_is_the_one_that_the_session_names(spark):
 def test_cut_lineage_keeps_the_rows(spark):
     df = cut_lineage(spark.range(10).withColumn("x", F.col("id") * 2))
     assert sorted(r.x for r in df.collect()) == list(range(0, 20, 2))
+
+
+@pytest.mark.parametrize(
+    "split, lines",
+    [
+        (split_bad_ratings, ["p,u,4.5,7", "p,u,x,7", "", "p,u,1", "q,u,-2,x", None]),
+        (split_bad_labelled_points, ["1,2,0", "1,nan,2", "x", "3,4,z", "", None]),
+        (split_bad_points, ["1 2", " ", "1 inf", "\t3  4\r", "x", None]),
+    ],
+)
+def test_one_pass_gives_the_same_two_outputs(spark, split, lines):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.createDataFrame([(x, i) for i, x in enumerate(lines)], "value string, good int").repartition(2)
+    rows.persist().count()
+    both = [sorted(map(str, df.collect())) for df in split(rows)]
+    counted = rows.mapInArrow(count, rows.schema)
+    found = split(counted, once=True)
+    assert [sorted(map(str, df.collect())) for df in found] == both
+    assert [df.columns for df in found] == [df.columns for df in split(rows)]
+    assert found[0].count() + found[1].count() == len(lines)
+    assert seen.value == len(lines)  # read once, however often the outputs are used
+    assert [df.count() for df in split(rows.limit(0), once=True)] == [0, 0]
