@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from talmir.llm.licenses import PHRASES, TEMPLATES, THRESHOLD
+from talmir.llm.licenses import NEEDED, PHRASES, TEMPLATES, THRESHOLD, families
 
 WARC = """WITH p AS (
   SELECT page_id, coalesce(html, '') AS html, sha1(encode(coalesce(html, ''))) AS h FROM pages),
@@ -84,11 +84,13 @@ def _phrases() -> str:
 
 def _templates() -> str:
     rows = []
-    for label, text in TEMPLATES.items():
-        least = math.ceil(THRESHOLD * len(set(text.split())) - 1e-9)
-        listed = ", ".join(f"'{w}'" for w in sorted(set(text.split())))
-        rows.append(f"('{label}', [{listed}], {least})")
-    return "t(label, words, least) AS (VALUES " + ", ".join(rows) + ")"
+    for number, (span, labels) in enumerate(families(TEMPLATES, THRESHOLD)):
+        for label in labels:
+            words = sorted(set(TEMPLATES[label].split()))
+            least = math.ceil(THRESHOLD * len(words) - 1e-9)
+            lists = (", ".join(f"'{w}'" for w in x) for x in (words, NEEDED[label]))
+            rows.append("({}, {}, '{}', [{}], [{}], {})".format(number, span, label, *lists, least))
+    return "t(family, span, label, words, needed, least) AS (VALUES " + ", ".join(rows) + ")"
 
 
 LICENSES = f"""WITH {_templates()},
@@ -100,11 +102,16 @@ b AS (
   SELECT doc_id, count(*) AS n, min(i) AS first, max(i) AS last,
     list_sort(list_distinct(list(label))) AS labels
   FROM p WHERE label IS NOT NULL GROUP BY doc_id),
-m AS (
-  SELECT doc_id, label, max(len(list_intersect(bw, words)) / len(words)) AS score
-  FROM (SELECT doc_id, {_words("line")} AS bw
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d)), t
-  WHERE len(list_intersect(bw, words)) >= least GROUP BY doc_id, label),
+x AS (
+  SELECT doc_id, i, family, label, words, needed, least, list_distinct(w[i + 1:i + span]) AS block
+  FROM (SELECT doc_id, w, t.*, unnest(range(len(w))) AS i FROM d JOIN t ON list_has_all(w, needed))),
+y AS (
+  SELECT doc_id, i, family, label, len(words) AS size, len(list_intersect(block, words)) / len(words) AS score
+  FROM x WHERE list_has_all(block, needed) AND len(list_intersect(block, words)) >= least),
+z AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY doc_id, i, family ORDER BY score DESC, size DESC, label) AS place FROM y),
+m AS (SELECT doc_id, label, max(score) AS score FROM z WHERE place = 1 GROUP BY doc_id, label),
 ml AS (SELECT doc_id, list(label) AS labels, max(score) AS score FROM m GROUP BY doc_id)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, first::BIGINT AS first_word,
   last::BIGINT AS last_word, coalesce(array_to_string(b.labels, ','), '') AS base_labels,
