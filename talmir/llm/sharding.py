@@ -14,18 +14,29 @@ round is one row per group and shard with a number of documents, however large t
 Rounds are joins and sums of these rows, stored after each round. Flows and loads, at most
 shards * shards numbers, are all that the driver sees.
 
-Only built-in functions are used. Defined results: rows whose group is NULL are unlinked,
-repeated rows are placed like any others, and an empty table gives an empty one.
+Rounds go on until neither kind moves anything. That they end needs no bound: a document only moves
+to a shard with at least as many of its group as its own, so the sum of the squares of all such
+numbers grows with every move, and it cannot grow for ever.
+
+A group with very many documents is cut into slices, by the partition that a row is read from,
+before its documents are joined with what is known of it. Only built-in functions are used.
+Defined results: rows whose group is NULL are unlinked, repeated rows are placed like any others,
+and an empty table gives an empty one.
 """
 
 from __future__ import annotations
 
-from itertools import accumulate
+import warnings
+from itertools import accumulate, count
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from talmir.llm.common import number_buckets, number_rows, stored
+from talmir.operators.joins import join_back
+
+# Groups with more documents than this (and than a ten-thousandth of all) are cut into slices.
+HOT_ROWS = 1_000
 
 
 def _pick(values: list[int], index: Column) -> Column:
@@ -94,10 +105,18 @@ def _granted(wishes: DataFrame, demand: dict, quotas: dict, shards: int, buckets
     return served.withColumn("n", taken).filter("n > 0").select("group", "source", "target", "n")
 
 
-def propagate(state: DataFrame, capacities: list[int], buckets: int, most_rounds: int) -> DataFrame:
-    """Rounds of moves on (group, shard, n) until neither kind of round moves anything."""
+def propagate(
+    state: DataFrame, capacities: list[int], buckets: int, most_rounds: int | None = None
+) -> DataFrame:
+    """Rounds of moves on (group, shard, n) until neither kind of round moves anything.
+
+    ``most_rounds``: the caller's bound on the work; a warning says that it was met.
+    """
     shards, still = len(capacities), 0
-    for number in range(most_rounds):
+    for number in count():
+        if number == most_rounds:
+            warnings.warn(f"documents would still move after {number} rounds", stacklevel=2)
+            break
         free = [c - n for c, n in zip(capacities, _loads(state, shards))]
         offered = [number % 2 == 0 or room > 0 for room in free]
         wishes = _wishes(state, offered)
@@ -119,47 +138,56 @@ def propagate(state: DataFrame, capacities: list[int], buckets: int, most_rounds
 
 
 def shard_rows(
-    rows: DataFrame, group: str, order: list[str], shards: int, most_rounds: int = 32
+    rows: DataFrame, group: str, order: list[str], shards: int, most_rounds: int | None = None
 ) -> DataFrame:
-    """The rows with ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... within the shard).
+    """The rows with ``shard`` (0 to shards - 1) and ``slot`` (0, 1, ... within the shard); columns
+    of these names, in any case, are replaced.
 
     ``group`` names the column whose equal values link rows; ``order`` names columns that tell
     rows apart. Keep texts out of ``rows``: they are read several times.
     """
-    kept = [c for c in rows.columns if c not in ("shard", "slot")]
-    rows = rows.select(*kept)
-    total = rows.count()
+    kept = [c for c in rows.columns if c.lower() not in ("shard", "slot")]
+    # The rows' own columns are packed, so that their names meet no others.
+    packed = rows.select(
+        F.struct("*").alias("row"),
+        F.col(group).alias("group"),
+        F.xxhash64(*order).alias("hash"),
+        F.struct(*order).alias("tie"),
+    )
+    key = [F.col("hash"), F.col("tie")]
+    total = packed.count()
     buckets = number_buckets(total)
-    key = [F.xxhash64(*order), *[F.col(c) for c in order]]
     capacities = [total // shards + (j < total % shards) for j in range(shards)]
 
-    copies = rows.groupBy(F.col(group).alias("_linked")).agg(F.count("*").alias("_copies"))
-    copies = copies.filter("_copies > 1 AND _linked IS NOT NULL").select("_linked")
-    marked = stored(rows.join(copies, F.col(group) == F.col("_linked"), "left"), "linked")
-    linked = marked.filter("_linked IS NOT NULL")
-    dealt = number_rows(linked, "_turn", [], key, buckets)
-    shard = F.pmod("_turn", F.lit(shards)).cast("int")
-    state = dealt.groupBy(F.col("_linked").alias("group"), shard.alias("shard"))
+    # Unlike join keys, NULL is a group here, of rows that are not linked.
+    copies = packed.groupBy("group").agg(F.count("*").alias("n"))
+    marked = stored(join_back(packed, copies, "group", hot_rows=HOT_ROWS), "linked")
+    is_linked = (F.col("n") > 1) & F.col("group").isNotNull()
+    linked = marked.filter(is_linked).drop("n")
+    dealt = number_rows(linked, "turn", [], key, buckets)
+    shard = F.pmod("turn", F.lit(shards)).cast("int")
+    state = dealt.groupBy("group", shard.alias("shard"))
     state = stored(state.agg(F.count("*").alias("n")), "round")
     state = propagate(state, capacities, buckets, most_rounds)
 
     # Members of a group go to its shards in turn; which of them goes where is all one.
     ends = Window.partitionBy("group").orderBy("shard")
-    ranges = state.select("group", "shard", F.sum("n").over(ends).alias("end"))
-    ranges = ranges.groupBy(F.col("group").alias("_group")).agg(
-        F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("_ranges")
+    ranges = state.select("group", "shard", "n", F.sum("n").over(ends).alias("end"))
+    ranges = ranges.groupBy("group").agg(
+        F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct("end", "shard"))).alias("ranges")
     )
-    members = number_rows(linked, "_member", ["_linked"], key, buckets)
-    placed = members.join(ranges, F.col("_linked") == F.col("_group"))
-    number = F.col("_member")
-    place = F.get(F.filter("_ranges", lambda x: x["end"] > number), F.lit(0))["shard"]
-    placed = placed.select(*kept, place.alias("shard"))
+    members = number_rows(linked, "member", ["group"], key, buckets)
+    placed = join_back(members, ranges, "group", hot_rows=HOT_ROWS)
+    number = F.col("member")
+    place = F.get(F.filter("ranges", lambda x: x["end"] > number), F.lit(0))["shard"]
+    placed = placed.select("row", "hash", "tie", place.alias("shard"))
 
     free = [c - n for c, n in zip(capacities, _loads(state, shards))]
-    rest = number_rows(marked.filter("_linked IS NULL"), "_turn", [], key, buckets)
-    rest = rest.select(*kept, _interval(F.col("_turn"), free).cast("int").alias("shard"))
+    rest = number_rows(marked.filter(~is_linked), "turn", [], key, buckets)
+    rest = rest.select("row", "hash", "tie", _interval(F.col("turn"), free).cast("int").alias("shard"))
     every = stored(placed.unionByName(rest), "sharded")
-    return number_rows(every, "slot", ["shard"], key, buckets)
+    numbered = number_rows(every, "slot", ["shard"], key, buckets)
+    return numbered.select(*[F.col("row")[c].alias(c) for c in kept], "shard", "slot")
 
 
 def cut_links(sharded: DataFrame, group: str) -> DataFrame:

@@ -62,3 +62,30 @@ def test_numbers_have_no_gaps(spark):
     for k in range(3):
         numbers = sorted(r.number for r in rows if r.k == k)
         assert numbers == list(range(len(numbers)))
+
+
+def test_a_group_of_very_many_shards_is_filled(spark):
+    """Half of the rows are one group, over 20 of 40 shards: rounds go on until all are filled."""
+    half = F.when(F.col("id") % 2 == 0, F.lit("hot"))
+    df = spark.range(400).select(F.col("id").alias("doc_id"), half.alias("g"))
+    sharded = sharding.shard_rows(df, "g", ["doc_id"], 40).persist()
+    hot = [r["count"] for r in sharded.filter("g = 'hot'").groupBy("shard").count().collect()]
+    assert sorted(hot) == [10] * 20
+    assert sharding.cut_links(sharded, "g").first() == (199, 190)
+    with pytest.warns(UserWarning, match="after 1 rounds"):
+        few = sharding.shard_rows(df, "g", ["doc_id"], 40, most_rounds=1)
+    assert {r["count"] for r in few.groupBy("shard").count().collect()} == {10}
+
+
+def test_columns_of_any_name_and_slices_of_a_hot_group(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "HOT_ROWS", 20)
+    names = ["_linked", "_turn", "_member", "row", "group", "hash", "tie", "n", "turn", "Slot", "a.b"]
+    df = graph(spark, 300, True, 20).withColumns({n: F.lit(n) for n in names})
+    df = df.unionByName(df.filter("doc_id < 5"))  # repeated rows
+    sharded = sharding.shard_rows(df, "g", ["doc_id"], 8)
+    kept = [n for n in names if n != "Slot"]
+    assert sharded.columns == ["doc_id", "g", *kept, "shard", "slot"]
+    rows = sharded.collect()
+    assert len(rows) == 305 and all(list(r)[2 : 2 + len(kept)] == kept for r in rows)
+    sizes = [sum(r.shard == j for r in rows) for j in range(8)]
+    assert max(sizes) - min(sizes) <= 1
