@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from talmir.functions import require, unit_draw
 from talmir.operators.joins import HOT_ROWS, join_back
-from talmir.operators.kernels import nearest_centre, nearest_so_far
+from talmir.operators.kernels import nearest_centre, nearest_so_far, running_sample
 from talmir.session import cut_lineage
 
 # Up to this many clusters, their sizes are broadcast. Beyond it they are joined by a shuffle.
@@ -152,6 +152,28 @@ def sample_given_sizes(points, sizes, t, seed, k, id_column) -> DataFrame:
     return draw(with_sizes(rows, sizes, k), t, seed, ids).select(*kept)
 
 
+def sample_in_one_pass(points: DataFrame, t: float, seed: int, id_column: str) -> DataFrame:
+    """The rows of :func:`sample_clusters`, of points that are costly to read, such as text or a join.
+
+    The points are read once, when this is called: each task keeps what a sample may need, knowing
+    only how many rows of a cluster it has read so far, and counts. The sizes then say which
+    of the kept rows, about t * (1 + ln(rows / t)) for each task and cluster, are in the sample.
+    (From Parquet two passes are cheaper, as the first reads the labels only.)
+    """
+    check_t(t)
+    u = unit_draw(seed, *identity_texts(points, [id_column]))
+    rows = points.select("cluster", u.alias("u"), F.struct("*").alias("row"))
+    kinds = {field.name: field.dataType.simpleString() for field in rows.schema}
+    kept = rows.mapInArrow(
+        running_sample(float(t)), f"cluster {kinds['cluster']}, n bigint, u double, row {kinds['row']}"
+    )
+    kept = cut_lineage(kept)
+    sizes = kept.filter("n IS NOT NULL").groupBy(F.col("cluster").alias("label")).agg(F.sum("n").alias("size"))
+    joined = kept.filter("n IS NULL").join(sizes, F.col("cluster") == F.col("label"))
+    sample = joined.filter(F.col("u") < F.lit(float(t)) / F.col("size"))
+    return sample.select(*[F.col("row")[c].alias(c) for c in points.columns])
+
+
 def sample_sizes(sample: DataFrame) -> DataFrame:
     """(cluster, n_sampled) of the sample that is actually used."""
     return sample.groupBy("cluster").agg(F.count("*").alias("n_sampled"))

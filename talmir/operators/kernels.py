@@ -190,6 +190,48 @@ def nearest_so_far(model):
     return _once(find)
 
 
+def running_sample(t: float):
+    """Function of batches (cluster, u, row) to (cluster, n, u, row): rows that a sample may need, and
+    then, with row NULL, how many rows of each cluster the task has read.
+
+    A row is kept if u < t / (rows of its cluster so far, itself included). The cluster has at
+    least as many rows in all, so what u < t / size keeps is kept here; a task keeps about
+    t * (1 + ln(rows / t)) rows of a cluster.
+    """
+
+    def keep(batches):
+        counts: dict = {}
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            labels, which = np.unique(np.array(batch.column(0).to_pylist(), object).astype(str), return_inverse=True)
+            order = np.argsort(which, kind="stable")
+            sizes = np.bincount(which, minlength=len(labels))
+            place = np.empty(len(which), np.int64)
+            place[order] = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            firsts = order[np.cumsum(sizes) - sizes]
+            before = np.array([counts.get(label, (0,))[0] for label in labels], np.int64)
+            u = batch.column(1).to_numpy(zero_copy_only=False)
+            some = pa.array(u < t / (before[which] + place + 1))
+            for label, size, first in zip(labels, sizes.tolist(), firsts.tolist()):
+                n, value = counts.get(label, (0, batch.column(0)[first]))
+                counts[label] = n + size, value
+            found = batch.filter(some)
+            n = pa.nulls(found.num_rows, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [found.column(0), n, found.column(1), found.column(2)], ["cluster", "n", "u", "row"]
+            )
+        if counts:
+            n, values = zip(*counts.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v.as_py() for v in values], schema.field(0).type), pa.array(n, pa.int64()),
+                 pa.nulls(len(n), pa.float64()), pa.nulls(len(n), schema.field(2).type)],
+                ["cluster", "n", "u", "row"],
+            )
+
+    return keep
+
+
 class ClusterStatistics:
     """Per cluster: what the mean distance of any point to its sample depends on.
 

@@ -252,6 +252,7 @@ FROM w GROUP BY 1, 3""",
 SELECT p[1] % 3 <> 0 AS accepted, count(*) AS n,
        CASE WHEN p[1] % 3 = 0 THEN array_to_string(p, ' ') || ' nan' ELSE array_to_string(p, ',') END AS line
 FROM w GROUP BY 1, 3""",
+    "sample_in_one_pass": f"{SCORED} SELECT vec_id, cluster FROM sample",
     "assign_clusters_in_blocks": f"""WITH {MEANS}
 SELECT vec_id, cluster FROM ({_nearest("means")})""",
     "normalize_ratings_missing": f"""WITH {RATINGS},

@@ -307,6 +307,11 @@ def _assign_blocks(spark, folder):
     return clusters.assign_clusters(given, label_means(given), model_numbers=200).select("vec_id", "cluster")
 
 
+def _sample_in_one_pass(spark, folder):
+    sample = clusters.sample_in_one_pass(points(spark, folder), T, SEED, "vec_id")
+    return sample.select("vec_id", "cluster")
+
+
 def _norms_missing(spark, folder):
     """Every fourth rating is missing."""
     given = read_given_ratings(spark, folder)
@@ -367,4 +372,5 @@ QUERIES: dict[str, Query] = {
     "rejected_labelled_points": _rejected_labelled_points,
     "rejected_points": _rejected_points,
     "assign_clusters_in_blocks": _assign_blocks,
+    "sample_in_one_pass": _sample_in_one_pass,
 }

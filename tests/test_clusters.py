@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from talmir.functions import squared_distance, unit_draw
 from talmir.operators import clusters, silhouette
-from talmir.operators.kernels import to_matrix
+from talmir.operators.kernels import running_sample, to_matrix
 from tests.plans import plan, uses_python
 
 SCHEMA = "id bigint, point array<double>, cluster int"
@@ -364,3 +364,34 @@ def test_centres_in_blocks_give_the_same_clusters(spark, numbers):
     assert blocks.columns == whole.columns
     assert sorted(map(str, blocks.collect())) == sorted(map(str, whole.collect()))
     assert clusters.assign_clusters(df.limit(0), model, model_numbers=numbers).count() == 0
+
+
+@pytest.mark.parametrize("partitions, t", [(1, 3), (5, 3), (5, 0.5), (3, 1000)])
+def test_one_pass_gives_the_same_sample(spark, partitions, t):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, [float(i), 1.0], None if i % 50 == 0 else i % 7 % 3, "x", i) for i in range(900)]
+    df = spark.createDataFrame(rows, "id long, point array<double>, cluster int, row string, n long").repartition(partitions)
+    df.persist().count()
+    counted = df.mapInArrow(count, df.schema)
+    sample = clusters.sample_in_one_pass(counted, t, 5, "id")
+    assert sample.columns == df.columns
+    found = sorted(map(str, sample.collect()))
+    assert found == sorted(map(str, clusters.sample_clusters(df, t, 5, id_column="id").select(*df.columns).collect()))
+    assert sample.count() == len(found) and seen.value == 900
+    assert clusters.sample_in_one_pass(df.limit(0), t, 5, "id").count() == 0
+
+
+def test_one_pass_keeps_few_rows(spark):
+    """About t * (1 + ln(n / t)) of each cluster and task."""
+    df = spark.range(0, 40_000, 1, 4).select("id", F.array(F.col("id").cast("double")).alias("point"), (F.col("id") % 2).cast("int").alias("cluster"))
+    rows = df.select("cluster", unit_draw(1, F.col("id")).alias("u"), F.struct("*").alias("row"))
+    kept = rows.mapInArrow(running_sample(20.0), "cluster int, n long, u double, row struct<id: long, point: array<double>, cluster: int>")
+    each = 20 * (1 + np.log(5000 / 20))
+    assert kept.filter("n IS NULL").count() < 1.3 * 8 * each
+    assert kept.filter("n IS NOT NULL").agg(F.sum("n")).first()[0] == 40_000
