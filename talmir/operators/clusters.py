@@ -169,7 +169,7 @@ def sample_in_one_pass(points: DataFrame, t: float, seed: int, id_column: str) -
     )
     kept = cut_lineage(kept)
     sizes = kept.filter("n IS NOT NULL").groupBy(F.col("cluster").alias("label")).agg(F.sum("n").alias("size"))
-    joined = kept.filter("n IS NULL").join(sizes, F.col("cluster") == F.col("label"))
+    joined = kept.filter("n IS NULL").join(sizes, F.col("cluster").eqNullSafe(F.col("label")))
     sample = joined.filter(F.col("u") < F.lit(float(t)) / F.col("size"))
     return sample.select(*[F.col("row")[c].alias(c) for c in points.columns])
 
