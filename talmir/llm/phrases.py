@@ -10,8 +10,9 @@ Each recurring window points to the first place where it stands; windows next to
 that point to places next to each other are one passage. The words of the first place are
 fetched and compiled into Aho-Corasick automata, in shards: each batch of documents gets the
 phrases that its documents need, so an automaton's size is bounded by its batch, and documents
-need not stream through the phrases of the whole corpus. Every document is streamed through its
-shard's automaton, which finds every occurrence, word for word. An occurrence counts if its
+need not stream through the phrases of the whole corpus. Where a batch needs very many letters of
+phrases, it gets several automata, one after the other. Every document is streamed through all
+automata of its shard, which find every occurrence, word for word. An occurrence counts if its
 phrase's first place is earlier. So hashes only find candidates; what is removed is exact.
 
 Texts that an earlier document has word for word (by their digests) are removed as a whole and
@@ -47,6 +48,12 @@ MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 LAST = (1 << 63) - 1
 # Documents that share an automaton, at most, and bytes of their texts.
 SHARD_ROWS, SHARD_BYTES = 64, 512 << 10
+# Letters of the phrases of an automaton, about.
+AUTOMATON = 1 << 18
+# Rows or windows that a task gathers before it hands them over.
+HELD = 100_000
+# Repeats that a task sorts at a time, and characters of phrases that it hands over at a time.
+LISTED, PHRASE_BYTES = 200_000, 8 << 20
 
 
 def split_words(text: str | None) -> list[bytes]:
@@ -97,22 +104,30 @@ def _anchors(window: int, gram: int):
     """ANCHOR of every run: ``content`` is a hash of the whole text, ``twice`` says whether the
     anchor stands at another place of it too."""
 
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
+
+    def batch_of(found):
+        columns = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(zip(*found), types)]
+        return pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "place", "content", "twice"])
+
     def work(batches):
+        found, held = [], 0
         for batch in batches:
-            docs = batch.column(0).to_pylist()
-            found = []
-            for doc, text in zip(docs, batch.column(1)):
+            for doc, text in zip(batch.column(0), batch.column(1)):
                 words = split_words(text.as_py())
-                if len(words) >= window:
-                    anchors, places, _, _ = runs_of(word_hashes(words), window, gram)
-                    content = xxhash.xxh3_64_intdigest(text.as_py().encode("utf-8", "surrogatepass")) >> 1
-                    _, which, times = np.unique(anchors, return_inverse=True, return_counts=True)
-                    n = len(places)
-                    found.append((_signed(anchors), np.full(n, doc), places, np.full(n, content), times[which] > 1))
-            if found:
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_()]
-                columns = [pa.array(np.concatenate(c).astype(t.to_pandas_dtype())) for c, t in zip(zip(*found), types)]
-                yield pa.RecordBatch.from_arrays(columns, ["anchor", "doc", "place", "content", "twice"])
+                if len(words) < window:
+                    continue
+                anchors, places, _, _ = runs_of(word_hashes(words), window, gram)
+                content = xxhash.xxh3_64_intdigest(text.as_py().encode("utf-8", "surrogatepass")) >> 1
+                _, which, times = np.unique(anchors, return_inverse=True, return_counts=True)
+                n = len(places)
+                found.append((_signed(anchors), np.full(n, doc.as_py()), places, np.full(n, content), times[which] > 1))
+                held += n
+                if held >= HELD:
+                    yield batch_of(found)
+                    found, held = [], 0
+        if found:
+            yield batch_of(found)
 
     return work
 
@@ -125,61 +140,100 @@ def _runs(window: int, gram: int):
     """The runs whose anchors recur, with the hashes of their windows. A run is known by its
     first and last window, as these hold all its words."""
 
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
+
+    def batch_of(found, flat):
+        c = [np.concatenate(x) for x in zip(*found)]
+        ends = np.concatenate([[0], np.cumsum(c[3])])
+        lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(flat), pa.int64()))
+        return pa.RecordBatch.from_arrays(
+            [*[pa.array(x, t) for x, t in zip(c, types)], lists],
+            ["anchor", "low", "high", "n", "doc", "start", "hashes"],
+        )
+
     def work(batches):
+        found, flat, held = [], [], 0
         for batch in batches:
-            found, offsets, flat = [], [0], []
-            rows = zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2))
-            for doc, text, wanted in rows:
+            for doc, text, wanted in zip(batch.column(0), batch.column(1), batch.column(2)):
                 h = word_hashes(split_words(text.as_py()))
                 if len(h) < window:
                     continue
                 anchors, places, starts, counts = runs_of(h, window, gram)
                 keep = np.flatnonzero(np.isin(places, wanted.values.to_numpy()))
+                if not len(keep):
+                    continue
                 hashes = _signed(sequence_hashes(h, window))
                 starts, counts = starts[keep], counts[keep]
                 found.append(
                     (_signed(anchors[keep]), hashes[starts], hashes[starts + counts - 1], counts,
-                     np.full(len(keep), doc), starts)
+                     np.full(len(keep), doc.as_py()), starts)
                 )
-                for a, n in zip(starts.tolist(), counts.tolist()):
-                    flat.append(hashes[a : a + n])
-                    offsets.append(offsets[-1] + n)
-            if flat:
-                c = [np.concatenate(x) for x in zip(*found)]
-                types = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int64())
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(x, t) for x, t in zip(c, types)], lists],
-                    ["anchor", "low", "high", "n", "doc", "start", "hashes"],
-                )
+                within = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+                flat.append(hashes[np.repeat(starts, counts) + within])
+                held += len(flat[-1])
+                if held >= HELD:
+                    yield batch_of(found, flat)
+                    found, flat, held = [], [], 0
+        if found:
+            yield batch_of(found, flat)
 
     return work
 
 
+def _slices(offsets: np.ndarray):
+    """(row, end) ranges of lists with about LISTED elements together, or one longer list."""
+    row = 0
+    while row < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[row] + LISTED, side="right")) - 1
+        end = min(max(end, row + 1), len(offsets) - 1)
+        yield row, end
+        row = end
+
+
+def _field(lists: pa.Array, name: str) -> np.ndarray:
+    return lists.values.field(name).to_numpy(zero_copy_only=False)
+
+
+def join_repeats(doc, start, n, first_doc, first, window: int):
+    """(doc, first_doc, first, size) arrays: repeats joined where both places go on.
+
+    Sorted by document, first document and the shift between the places, repeats that go on are
+    neighbours; a passage ends where the next starts after the greatest end so far.
+    """
+    order = np.lexsort((start, first - start, first_doc, doc))
+    doc, start, n, first_doc, first = (x[order] for x in (doc, start, n, first_doc, first))
+    shift = first - start
+    change = np.zeros(len(doc), bool)
+    change[:1] = True
+    for x in (doc, first_doc, shift):
+        change[1:] |= x[1:] != x[:-1]
+    # Greatest ends within each group: later groups have greater numbers in front.
+    group = np.cumsum(change)
+    span = int((start + n).max(initial=0)) + 1
+    reach = np.maximum.accumulate(group * span + start + n) - group * span
+    change[1:] |= start[1:] > reach[:-1]
+    begin = np.flatnonzero(change)
+    last = np.append(begin[1:], len(doc))[: len(begin)] - 1
+    size = reach[last] - start[begin] + window - 1
+    found = np.stack([doc[begin], first_doc[begin], start[begin] + shift[begin], size])
+    return np.unique(found, axis=1)
+
+
 def _passages(window: int):
     """(doc, first_doc, first, size): a document's repeats, joined where both places go on."""
 
     def work(batches):
         for batch in batches:
-            out = set()
-            for doc, repeats in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                lines = sorted((r["first_doc"], r["first"] - r["start"], r["start"], r["n"]) for r in repeats)
-                current = None
-                for first_doc, shift, start, n in lines:
-                    if current and current[:2] == [first_doc, shift] and start <= current[3]:
-                        current[3] = max(current[3], start + n)
-                        continue
-                    if current:
-                        out.add((doc, current[0], current[2] + current[1], current[3] - current[2] + window - 1))
-                    current = [first_doc, shift, start, start + n]
-                if current:
-                    out.add((doc, current[0], current[2] + current[1], current[3] - current[2] + window - 1))
-            if out:
-                c = list(zip(*out))
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
-                arrays = [pa.array(list(x), t) for x, t in zip(c, types)]
+            docs = batch.column(0).to_numpy()
+            lists = batch.column(1)
+            offsets = lists.offsets.to_numpy()
+            for row, end in _slices(offsets):
+                some = slice(offsets[row], offsets[end])
+                fields = (_field(lists, f)[some].astype(np.int64) for f in ("start", "n", "first_doc", "first"))
+                which = np.repeat(docs[row:end], np.diff(offsets[row : end + 1]))
+                doc, first_doc, first, size = join_repeats(which, *fields, window)
+                arrays = [pa.array(doc), pa.array(first_doc)]
+                arrays += [pa.array(x.astype(np.int32)) for x in (first, size)]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc", "first_doc", "first", "size"])
 
     return work
@@ -187,18 +241,39 @@ def _passages(window: int):
 
 def _phrases(batches):
     """(first_doc, first, size, phrase): the words of first places, joined by spaces."""
+    names = ["first_doc", "first", "size", "phrase"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.string()]
     for batch in batches:
-        out = []
-        for doc, text, places in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+        docs = batch.column(0).to_pylist()
+        lists = batch.column(2)
+        offsets, firsts, sizes = lists.offsets.to_numpy(), _field(lists, "first"), _field(lists, "size")
+        out, held = [], 0
+        for row, (doc, text) in enumerate(zip(docs, batch.column(1))):
             words = split_words(text.as_py())
-            for p in places:
-                phrase = words[p["first"] : p["first"] + p["size"]]
-                if len(phrase) == p["size"]:
-                    out.append((doc, p["first"], p["size"], b" ".join(phrase).decode("utf-8", "surrogatepass")))
+            some = slice(offsets[row], offsets[row + 1])
+            for first, size in zip(firsts[some].tolist(), sizes[some].tolist()):
+                phrase = words[first : first + size]
+                if len(phrase) == size:
+                    out.append((doc, first, size, b" ".join(phrase).decode("utf-8", "surrogatepass")))
+                    held += len(out[-1][3])
+                if held > PHRASE_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out), types)], names)
+                    out, held = [], 0
         if out:
-            types = [pa.int64(), pa.int32(), pa.int32(), pa.string()]
-            arrays = [pa.array(list(x), t) for x, t in zip(zip(*out), types)]
-            yield pa.RecordBatch.from_arrays(arrays, ["first_doc", "first", "size", "phrase"])
+            yield pa.RecordBatch.from_arrays([pa.array(list(x), t) for x, t in zip(zip(*out), types)], names)
+
+
+def parts_of(phrases: dict[str, tuple[int, int, int]]):
+    """The phrases in parts of about AUTOMATON letters; an automaton takes some 60 bytes for each."""
+    part, held = {}, 0
+    for phrase, place in phrases.items():
+        part[phrase] = place
+        held += len(phrase)
+        if held >= AUTOMATON:
+            yield part
+            part, held = {}, 0
+    if part:
+        yield part
 
 
 def automaton_of(phrases: dict[str, tuple[int, int, int]]):
@@ -253,18 +328,19 @@ def _remove(window: int):
                     for p in phrases.as_py() or []:
                         place = (p["first_doc"], p["first"], p["size"])
                         known[p["phrase"]] = min(place, known.get(p["phrase"], place))
-                automaton = automaton_of(known) if known else None
+                split = [[w.decode("utf-8", "surrogatepass") for w in split_words(row[2])] for row in shard]
+                whole = [len(w) >= window and _is_copy(row[2], row[4].as_py()) for w, row in zip(split, shard)]
+                gone = [np.full(len(words), copy) for words, copy in zip(split, whole)]
+                for some in parts_of(known):
+                    automaton = automaton_of(some)
+                    for i, (words, row) in enumerate(zip(split, shard)):
+                        if not whole[i]:
+                            gone[i] |= repeated_words(words, row[1], automaton)
+                    del automaton
                 out = []
-                for doc, key, text, _, copies in shard:
-                    words = [w.decode("utf-8", "surrogatepass") for w in split_words(text)]
-                    if len(words) >= window and _is_copy(text, copies.as_py()):
-                        gone = np.ones(len(words), bool)
-                    elif automaton:
-                        gone = repeated_words(words, key, automaton)
-                    else:
-                        gone = np.zeros(len(words), bool)
-                    kept = [w for w, g in zip(words, gone.tolist()) if not g]
-                    out.append((doc, len(words), int(gone.sum()), " ".join(kept)))
+                for words, lost, row in zip(split, gone, shard):
+                    kept = [w for w, g in zip(words, lost.tolist()) if not g]
+                    out.append((row[0], len(words), int(lost.sum()), " ".join(kept)))
                 types = [batch.schema.field(0).type, pa.int64(), pa.int64(), pa.string()]
                 arrays = [pa.array(list(x), t) for x, t in zip(zip(*out), types)]
                 yield pa.RecordBatch.from_arrays(arrays, ["doc", "n_words", "n_removed", "kept"])
@@ -303,12 +379,13 @@ def find_repeats(
     often = places.groupBy("anchor").agg(
         F.min("content").alias("low"), F.max("content").alias("high"), F.max("twice").alias("twice")
     )
-    often = often.filter("low < high OR twice").select("anchor")
+    # Stored, so that the join reads both sides as they are, and can split a very frequent anchor.
+    often = stored(often.filter("low < high OR twice").select("anchor"), "recurring-anchors")
     wanted = places.select("anchor", "doc", "place").join(often, "anchor")
     wanted = wanted.groupBy("doc").agg(F.collect_set("place").alias("places"))
     wanted = wanted.join(copies.filter("whole").select("doc"), "doc", "left_anti")
     wanted = stored(wanted.withColumnRenamed("doc", "wanted_doc"), "recurring")
-    discard(places)
+    discard(places, often)
 
     joined = texts.join(wanted, F.col("doc") == F.col("wanted_doc")).select("doc", "text", "places")
     runs = stored(joined.mapInArrow(_runs(window, gram), RUN), "runs")

@@ -1,6 +1,10 @@
 import random
 import re
 
+import tracemalloc
+
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from talmir.llm import phrases
@@ -81,3 +85,73 @@ def test_repeated_rows_and_no_rows(spark):
     rows = [(None, text), (None, text), (5, text)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted((r.doc_id or 0, r.n_removed) for r in phrases.remove_repeats(df).collect()) == [(0, 30), (0, 30), (5, 0)]
+
+
+def joined_one_by_one(repeats, window):
+    """Repeats (doc, start, n, first_doc, first) of one document after the other, joined."""
+    out = set()
+    for doc in {r[0] for r in repeats}:
+        current = None
+        lines = sorted((fd, f - s, s, n) for d, s, n, fd, f in repeats if d == doc)
+        for fd, shift, s, n in [*lines, (None, 0, 0, 0)]:
+            if current and current[:2] == [fd, shift] and s <= current[3]:
+                current[3] = max(current[3], s + n)
+                continue
+            if current:
+                out.add((doc, current[0], current[2] + current[1], current[3] - current[2] + window - 1))
+            current = [fd, shift, s, s + n]
+    return out
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_repeats_are_joined(seed):
+    draw = random.Random(seed)
+    places = range(draw.choice([4, 60]))
+    repeats = {
+        (draw.randrange(3), draw.choice(places), draw.choice([1, 1, 2, 9]), draw.randrange(-2, 2), draw.choice(places))
+        for _ in range(draw.choice([0, 1, 200]))
+    }
+    columns = [np.array(x, np.int64) for x in (zip(*repeats) if repeats else [[]] * 5)]
+    found = phrases.join_repeats(*columns, window=20)
+    assert set(zip(*(x.tolist() for x in found))) == joined_one_by_one(repeats, 20)
+    assert len(found[0]) == len(joined_one_by_one(repeats, 20))
+
+
+def test_a_batch_of_many_repeats_takes_little_memory():
+    """5,000 documents of 200 repeats each, in one batch: about the size of their arrays."""
+    rows, each = 5_000, 200
+    values = np.tile(np.arange(each) * 30, rows)
+    struct = pa.StructArray.from_arrays(
+        [pa.array(values, pa.int32()), pa.array(np.ones(rows * each), pa.int32()),
+         pa.array(np.repeat(np.arange(rows) % 7, each), pa.int64()), pa.array(values + 5, pa.int32())],
+        ["start", "n", "first_doc", "first"],
+    )
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * each, pa.int32()), struct)
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(rows) + 10), lists], ["doc", "repeats"])
+    tracemalloc.start()
+    n = sum(out.num_rows for out in phrases._passages(20)([batch]))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == rows * each and most < 100 << 20
+    # A list longer than a slice, empty lists, and a batch that is itself a slice.
+    ends = pa.array([0, 0, 3 * phrases.LISTED, 3 * phrases.LISTED, 3 * phrases.LISTED + 7], pa.int32())
+    long = pa.RecordBatch.from_arrays([pa.array(range(4)), pa.ListArray.from_arrays(ends, struct)], ["doc", "repeats"])
+    assert sum(out.num_rows for out in phrases._passages(20)([long.slice(2)])) == 7
+    assert sum(out.num_rows for out in phrases._passages(20)([long])) > 7
+
+
+def test_several_automata_for_a_batch(spark, monkeypatch):
+    """Near copies, each with long phrases of its own: the result does not depend on the parts."""
+    draw = random.Random(8)
+    base = [f"w{draw.randrange(900)}" for _ in range(400)]
+    rows = []
+    for i in range(40):
+        words = list(base)
+        for _ in range(4):
+            words[draw.randrange(400)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    for size in (1, 3000):
+        monkeypatch.setattr(phrases, "AUTOMATON", size)
+        assert found(spark, rows) == plain(rows, 20)
+    parts = list(phrases.parts_of({"a" * 2000: (0, 0, 1), "b" * 2000: (0, 1, 1), "c": (0, 2, 1)}))
+    assert [len(p) for p in parts] == [2, 1] and list(phrases.parts_of({})) == []
