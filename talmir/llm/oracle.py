@@ -119,6 +119,17 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, firs
   CASE WHEN n > 0 THEN 1.0 ELSE coalesce(ml.score, 0.0) END::DOUBLE AS score
 FROM d LEFT JOIN b USING (doc_id) LEFT JOIN ml USING (doc_id)"""
 
+# Every template that a block contains, with no choice among them.
+LICENSE_PAIRS = f"""WITH {_templates()},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_words("coalesce(text, '')")} AS w FROM documents),
+x AS (
+  SELECT r, doc_id, label, words, needed, least, list_distinct(w[i + 1:i + span]) AS block
+  FROM (SELECT r, doc_id, w, t.*, unnest(range(len(w))) AS i
+    FROM d JOIN t ON len(list_intersect(list_distinct(w), words)) >= least))
+SELECT doc_id, label, max(len(list_intersect(block, words)) / len(words))::DOUBLE AS containment,
+  bool_or(list_has_all(block, needed)) AS told
+FROM x WHERE len(list_intersect(block, words)) >= least GROUP BY r, doc_id, label"""
+
 def _shingles(key: str, table_name: str) -> str:
     grams = "list_transform(range(greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i + 1:i + 5], ' '))"
     return f"""SELECT DISTINCT {key}, unnest({grams}) AS gram
@@ -215,4 +226,5 @@ ORACLE_SQL = {
     "op10_phrases": REPEATS,
     "op11_filter_audit": AUDIT,
     "op12_embedding_dedup": VECTORS,
+    "license_pairs": LICENSE_PAIRS,
 }
