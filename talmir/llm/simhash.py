@@ -10,7 +10,8 @@ and few fingerprints meet by chance.
 
 A key with a deleted bit only joins fingerprints where that bit is 0 with those where it is 1.
 So a pair meets once per segment, and a row goes to one side of the join only. Copies share a
-fingerprint, and only different fingerprints are joined. Links are joined into components.
+fingerprint, and only different fingerprints are joined. Links are joined into components. All
+joins are by shuffle, as both sides grow with the documents.
 
 A segment value shared by very many different fingerprints, as those of a large group of near
 copies, is cut further: within it, the rest of the bits must differ by ``max_bits`` at most, so
@@ -109,11 +110,17 @@ def _keys(segments: list[tuple[int, int]]) -> Column:
 
 
 def _joined(parts: list[tuple[DataFrame, DataFrame]], on: list[str], max_bits: int) -> DataFrame:
-    """(a, b), a < b, of the values of two sides that share a key and differ in few bits."""
+    """(a, b), a < b, of the values of two sides that share a key and differ in few bits.
+
+    By shuffle whatever the size: Spark does not count the keys that a value has, takes a side for
+    as small as the values, and would broadcast it.
+    """
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits
     every = None
     for left, right in parts:
-        met = left.withColumnRenamed("value", "a").join(right.withColumnRenamed("value", "b"), on)
+        met = left.withColumnRenamed("value", "a").join(
+            right.withColumnRenamed("value", "b").hint("merge"), on
+        )
         met = met.filter(near & (F.col("a") != F.col("b")))
         met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         every = met if every is None else every.unionByName(met)
@@ -133,7 +140,7 @@ def near_pairs(values: DataFrame, column: str, max_bits: int, dense: int = 256)
     cut = values.select("value", F.inline(parts))
     heavy = cut.groupBy("start", "part").agg(F.count("*").alias("n")).filter(F.col("n") > dense)
     heavy = heavy.select("start", "part", F.lit(True).alias("heavy"))
-    cut = cut.join(heavy, ["start", "part"], "left")
+    cut = cut.join(heavy.hint("merge"), ["start", "part"], "left")
     cut = stored(cut.select("value", "start", F.coalesce("heavy", F.lit(False)).alias("heavy")), "segments")
 
     def keyed(rows: DataFrame, prefix: str, choose) -> DataFrame:
@@ -204,7 +211,7 @@ def _linked(docs: DataFrame, identity: str, text: str, shingle: int, max_bits: i
     values = stored(marked.select("fingerprint").distinct(), "values")
     roots = components(near_pairs(values, "fingerprint", max_bits))
     # Most fingerprints have no link, and are their own component.
-    grouped = values.join(roots, F.col("fingerprint") == F.col("node"), "left")
+    grouped = values.join(roots.hint("merge"), F.col("fingerprint") == F.col("node"), "left")
     return marked, grouped.select("fingerprint", F.coalesce("root", "fingerprint").alias("root"))
 
 
@@ -222,12 +229,12 @@ def simhash_groups(
     """(identity, fingerprint, component): each row with the smallest identity it is linked to."""
     marked, roots = _linked(docs, identity, text, shingle, max_bits)
     least = marked.groupBy("fingerprint").agg(F.min("id").alias("least"))
-    grouped = least.join(roots, "fingerprint")
+    grouped = least.join(roots.hint("merge"), "fingerprint")
     smallest = grouped.groupBy(F.col("root").alias("top")).agg(F.min("least").alias("component"))
-    component = grouped.join(smallest, F.col("root") == F.col("top")).select(
+    component = grouped.join(smallest.hint("merge"), F.col("root") == F.col("top")).select(
         F.col("fingerprint").alias("value"), "component"
     )
-    joined = marked.join(component, F.col("fingerprint") == F.col("value"))
+    joined = marked.join(component.hint("merge"), F.col("fingerprint") == F.col("value"))
     return joined.select(F.col("id").alias(identity), "fingerprint", "component")
 
 
@@ -246,13 +253,13 @@ def keep_one(
     """
     marked, roots = _linked(docs, identity, text, shingle, max_bits)
     named = marked.filter("id IS NOT NULL").groupBy("fingerprint").agg(F.min(F.struct("id", "digest")).alias("first"))
-    first = named.join(roots, "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
+    first = named.join(roots.hint("merge"), "fingerprint").groupBy("root").agg(F.min("first").alias("first"))
     first = first.select(F.col("first.id").alias("first_id"), F.col("first.digest").alias("first_digest"))
     # The documents' own columns are packed, so that their names meet no others.
     packed = docs.select(
         F.struct("*").alias("row"), F.col(identity).alias("id"), text_digest(F.col(text)).alias("digest")
     )
     same = (F.col("id") == F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
-    kept = packed.join(first, same, "left_semi").dropDuplicates(["id", "digest"])
+    kept = packed.join(first.hint("merge"), same, "left_semi").dropDuplicates(["id", "digest"])
     every = kept.unionByName(packed.filter("id IS NULL"))
     return every.select(*[F.col("row")[c].alias(c) for c in docs.columns])

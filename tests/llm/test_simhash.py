@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from talmir.llm import simhash
 from talmir.llm.common import components
+from tests.plans import final_plan
 
 
 def plain_fingerprint(text, shingle=3):
@@ -125,3 +126,16 @@ def test_one_of_each_group_stays(spark):
         (1, "one text"), (1, "quite another"), (5, "fifth"), (6, None), (None, "one text"), (None, None)], key=str)
     assert all(list(r)[2:] == names for r in kept.collect())
     assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_no_side_of_a_join_is_broadcast(spark):
+    """A value has dozens of keys, which Spark does not count when it sizes a side."""
+    values = spark.range(300).select(F.xxhash64("id").alias("v"))
+    values = values.unionByName(values.select(F.col("v").bitwiseXOR(F.lit(5)).alias("v")))
+    # Values of one segment are cut further, so both kinds of keys are joined.
+    values = values.unionByName(spark.range(300).select(F.col("id").alias("v")))
+    assert "Broadcast" not in final_plan(simhash.near_pairs(values, "v", 3, dense=100))
+    text = F.concat(F.lit("some words and "), (F.col("id") % 50).cast("string"))
+    docs = spark.range(200).select(F.col("id").alias("doc_id"), text.alias("text"))
+    assert "Broadcast" not in final_plan(simhash.simhash_groups(docs))
+    assert "Broadcast" not in final_plan(simhash.keep_one(docs))
