@@ -117,9 +117,10 @@ def _contained(
     grams = grams.select("digest", F.explode(F.array_distinct(_texts("_w", shingle))).alias("gram"))
     vocabulary = shingles.select("gram").distinct()
     # Few shingles of a document are in any item, so this comes before the join with pairs.
-    grams = grams.join(vocabulary, "gram", "left_semi")
-    pairs = pairs.join(shingles.select("_item", "gram", "n"), "_item")
-    shared = pairs.join(grams, ["digest", "gram"]).groupBy("digest", "_item")
+    # Joins are by shuffle: Spark does not count what a text or an item is exploded into.
+    grams = grams.join(vocabulary.hint("merge"), "gram", "left_semi")
+    pairs = pairs.join(shingles.select("_item", "gram", "n").hint("merge"), "_item")
+    shared = pairs.join(grams.hint("merge"), ["digest", "gram"]).groupBy("digest", "_item")
     shared = shared.agg(F.first("n").alias("n_shingles"), F.count("*").alias("n_shared"))
     enough = F.col("n_shared") >= least_shared(F.col("n_shingles"), threshold)
     return stored(shared.filter(enough), "contained")

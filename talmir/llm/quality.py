@@ -258,7 +258,8 @@ def with_features(docs: DataFrame, labels: DataFrame, identity: str, label: str,
     facts = docs.select(F.col(identity).alias("_id"), feature_column(F.col(text)).alias("features"))
     known = labels.filter(F.col(identity).isNotNull() & F.col(label).isNotNull())
     known = known.groupBy(F.col(identity).alias("_label_id")).agg(F.min(label).alias("label"))
-    joined = facts.join(known, F.col("_id") == F.col("_label_id"), "left")
+    # By shuffle whatever the number of labels, which grows with the documents.
+    joined = facts.join(known.hint("merge"), F.col("_id") == F.col("_label_id"), "left")
     rows = joined.select("_id", "features", held_out(F.col("_id")).alias("held_out"), "label")
     return stored(rows, "features")
 

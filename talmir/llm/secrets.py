@@ -227,7 +227,8 @@ def findings(
     """Every version with ``blob`` and ``spans``, joined from the ledger; columns of these names,
     in any case, are replaced.
 
-    Only blobs with findings are joined. Spark splits the join at a very frequent blob.
+    Only blobs with findings are joined, by shuffle, as their number grows with the versions and
+    spans take far less in files than as rows. Spark splits the join at a very frequent blob.
     """
     wanted = [rule.name for rule in rules]
     kept = F.filter("spans", lambda s: s["rule"].isin(wanted))
@@ -240,7 +241,7 @@ def findings(
     found = found.select("of", _let(F.col("spans"), once).alias("spans"))
     # The versions' own columns are packed, so that their names meet no others.
     packed = versions.select(F.struct("*").alias("row"), blob_of(F.col(text)).alias("blob"))
-    joined = packed.join(found, F.col("blob") == F.col("of"), "left")
+    joined = packed.join(found.hint("merge"), F.col("blob") == F.col("of"), "left")
     names = [c for c in versions.columns if c.lower() not in ("blob", "spans")]
     return joined.select(
         *[F.col("row")[c].alias(c) for c in names], "blob", F.coalesce("spans", F.array()).alias("spans")

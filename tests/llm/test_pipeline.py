@@ -4,12 +4,13 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
-from talmir.llm import quality, sentencepiece
+from talmir.llm import common, decontaminate, quality, sentencepiece, simhash
 from talmir.llm.common import table
 from tests.conftest import TESTDATA
 from tests.llm.test_decontaminate import plain as plain_leaks
 from tests.llm.test_secrets import plain as plain_secrets
 from tests.llm.test_simhash import plain_fingerprint, plain_groups
+from tests.plans import plan
 
 FOLDER = f"{TESTDATA}/sf0.001"
 
@@ -128,3 +129,21 @@ def test_quality_keeps_all_where_nothing_is_labelled(spark, documents, tmp_path)
 def test_unlike_texts_of_one_identity_both_stay(spark, documents):
     rows = spark.createDataFrame([(1, "one text of some words"), (1, "quite another one")], "doc_id bigint, text string")
     assert pipeline.drop_near_duplicates(spark, rows, FOLDER).count() == 2
+
+
+def test_nothing_that_grows_with_the_documents_is_broadcast(spark, monkeypatch):
+    """Neither in what a stage returns nor in what it stores, but for the blocks of benchmark sketches."""
+    docs, plans, store = table(spark, FOLDER, "documents"), [], common.stored
+
+    def stored(df, name):
+        if name != "candidates":
+            plans.append((name, plan(df)))
+        return store(df, name)
+
+    for module in (common, decontaminate, quality, simhash):
+        monkeypatch.setattr(module, "stored", stored)
+    quality.with_features(docs, table(spark, FOLDER, "labels"), "doc_id", "quality", "text")
+    for name, stage in pipeline.STAGES[1:]:
+        plans.append((name, plan(stage(spark, docs, FOLDER))))
+    assert {"features", "segments", "hop", "contained", "secrets"} <= {name for name, _ in plans}
+    assert [name for name, text in plans if "Broadcast" in text] == []
