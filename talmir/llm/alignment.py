@@ -12,8 +12,10 @@ Only the irregular group there is resolved token by token, which gives the next
 
 Id pairs are counted by documents. A task hands over chunks of documents, each with the
 different pairs of the chunk and, for its documents, places among these. So pairs are shuffled
-once per chunk, not per document, and the counts come back to a chunk as arrays. Tasks hold one
-chunk: about ``CHUNK_BYTES`` of text, or one longer document.
+once per chunk, not per document, and the counts come back to a chunk. Tasks hold one chunk: about
+``CHUNK_BYTES`` of text, or one longer document. Chunks are stored in small rows, one for each document
+and one for each ``PAIRS`` pairs, as readers and writers of files hold many rows, and batches for
+Python thousands.
 
 A's vocabulary is encoded by tiktoken, which gives the same ids as the tokenizers library (a
 test compares them) in a quarter of the time. Very long texts are cut, for both, before spaces
@@ -35,6 +37,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,6 +47,8 @@ from talmir.llm.common import stored
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK_BYTES = 2 << 20
+# Pairs that a stored row holds, and that a batch of documents holds together, but for longer ones.
+PAIRS = 1 << 14
 # Texts are cut into parts of about so many characters.
 PART = 1 << 16
 # Tokens that are compared first.
@@ -246,22 +251,44 @@ def _chunks(a_file, b_file):
         docs, held, kind = [], 0, None
 
         def chunk():
-            facts = list(zip(*(d[:6] for d in docs)))
+            """Rows of the chunk's documents, then rows of its pairs, PAIRS at most in each."""
             codes, at = np.unique(np.concatenate([d[6] for d in docs]), return_inverse=True)
             n_docs = np.bincount(at, minlength=len(codes))
-            ends = np.cumsum([len(d[6]) for d in docs])
-
-            def one(values, type_):
-                array = values if isinstance(values, pa.Array) else pa.array(values, type_)
-                return pa.ListArray.from_arrays(pa.array([0, len(array)], pa.int32()), array)
-
+            ends = np.cumsum([0, *(len(d[6]) for d in docs)])
+            facts = list(zip(*(d[:6] for d in docs)))
+            weights = np.concatenate([d[7] for d in docs])
             n = pa.int64()
-            arrays = [
-                pa.array([number], n), one(facts[0], kind), *[one(facts[k], n) for k in (1, 2, 3, 4)],
-                one(facts[5], pa.string()), one(ends, n), one(at.astype(np.int32), pa.int32()),
-                one(np.concatenate([d[7] for d in docs]), n), one(codes, n), one(n_docs, n),
-            ]
-            return pa.RecordBatch.from_arrays(arrays, CHUNK_NAMES)
+
+            def lists(values, type_, offsets):
+                return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, type_))
+
+            def rows(count, **columns):
+                columns["chunk"] = pa.array(np.full(count, number), n)
+                arrays = [columns.get(f.name, pa.nulls(count, f.type)) for f in schema]
+                return pa.RecordBatch.from_arrays(arrays, schema=schema)
+
+            schema = pa.schema([("id", kind) if name == "id" else (name, type_) for name, type_ in CHUNK])
+            # A batch is handed over as a whole, so rows of very long documents come in several.
+            start = 0
+            while start < len(docs):
+                stop = start + 1
+                while stop < len(docs) and ends[stop + 1] - ends[start] <= PAIRS:
+                    stop += 1
+                places = at[ends[start] : ends[stop]].astype(np.int32)
+                offsets = ends[start : stop + 1] - ends[start]
+                yield rows(
+                    stop - start, id=pa.array(facts[0][start:stop], kind), digest=pa.array(facts[5][start:stop]),
+                    **{name: pa.array(facts[k][start:stop], n) for k, name in enumerate(FACTS, 1)},
+                    places=lists(places, pa.int32(), offsets),
+                    weights=lists(weights[ends[start] : ends[stop]], n, offsets),
+                )
+                start = stop
+            for first in range(0, len(codes), PAIRS):
+                some = codes[first : first + PAIRS]
+                of = [0, len(some)]
+                yield rows(
+                    1, first=pa.array([first], n), codes=lists(some, n, of), n_docs=lists(n_docs[first : first + PAIRS], n, of)
+                )
 
         for batch in batches:
             kind = batch.schema.field(0).type
@@ -270,46 +297,51 @@ def _chunks(a_file, b_file):
                 docs.append((key.as_py(), *aligner.align(text)))
                 held += len(text or "") + 64
                 if held >= CHUNK_BYTES:
-                    yield chunk()
+                    yield from chunk()
                     docs, held, number = [], 0, number + 1
         if docs:
-            yield chunk()
+            yield from chunk()
 
     return work
 
 
-CHUNK_NAMES = [
-    "chunk", "ids", "n_a", "n_b", "n_groups", "n_links", "digests", "ends", "places", "weights", "codes", "n_docs"
+FACTS = ["n_a", "n_b", "n_groups", "n_links"]
+# Columns of both kinds of rows; the type of ``id`` is the documents'.
+CHUNK = [
+    ("chunk", pa.int64()), ("id", None), *[(name, pa.int64()) for name in FACTS], ("digest", pa.string()),
+    ("places", pa.list_(pa.int32())), ("weights", pa.list_(pa.int64())),
+    ("first", pa.int64()), ("codes", pa.list_(pa.int64())), ("n_docs", pa.list_(pa.int64())),
 ]
 RESULT = "n_a bigint, n_b bigint, n_groups bigint, n_links bigint, n_best bigint, count_sum bigint, groups_sha256 string"
 
 
-def _finish(batches):
-    """Chunks with the corpus counts of their pairs to one row per document."""
-    for batch in batches:
-        for row in range(batch.num_rows):
-            ids, n_a, n_b, n_groups, n_links, digests, ends, places, weights, at, counts, best = (
-                batch.column(i)[row].values for i in range(12)
-            )
-            number = lambda x: x.to_numpy(zero_copy_only=False)
-            # Counts come in the order of arrival.
-            of = np.zeros(len(at), np.int64)
-            is_best = np.zeros(len(at), np.int64)
-            if len(at):
-                of[number(at)] = number(counts)
-                is_best[number(at)] = number(best)
-            ends = number(ends)
-            starts = np.concatenate([[0], ends[:-1]])
-
-            def per_document(values):
-                total = np.concatenate([[0], np.cumsum(values)])
-                return pa.array(total[ends] - total[starts])
-
-            p, w = number(places), number(weights)
-            yield pa.RecordBatch.from_arrays(
-                [ids, n_a, n_b, n_groups, n_links, per_document(w * is_best[p]), per_document(w * of[p]), digests],
-                ["id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"],
-            )
+def _finish(docs, pairs):
+    """A chunk's documents, with the corpus counts of its pairs, to one row per document."""
+    docs, pairs = docs.combine_chunks(), pairs.combine_chunks()
+    at, counts, best = (pairs.column(name).to_numpy() for name in ("at", "count", "best"))
+    # Counts come in the order of arrival.
+    of = np.zeros(len(at), np.int64)
+    is_best = np.zeros(len(at), np.int64)
+    of[at] = counts
+    is_best[at] = best
+
+    def flat(name):
+        column = docs.column(name)
+        parts = [part.flatten().to_numpy(zero_copy_only=False) for part in column.chunks]
+        return np.concatenate([np.zeros(0, np.int64), *parts])
+
+    p, w = flat("places").astype(np.int64), flat("weights").astype(np.int64)
+    sizes = pc.list_value_length(docs.column("places")).to_numpy()
+    ends = np.cumsum(sizes)
+
+    def per_document(values):
+        total = np.concatenate([[0], np.cumsum(values)])
+        return pa.array(total[ends] - total[ends - sizes], pa.int64())
+
+    return pa.table(
+        [docs.column("id"), *[docs.column(n) for n in FACTS], per_document(w * is_best[p]), per_document(w * of[p]), docs.column("digest")],
+        ["id", *FACTS, "n_best", "count_sum", "groups_sha256"],
+    )
 
 
 def align_documents(
@@ -327,30 +359,28 @@ def align_documents(
             files.append(spark.sparkContext.broadcast(file.read()))
     rows = docs.select(F.col(identity).alias("id"), F.col(text).cast("string").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    listed = [f"{n} array<bigint>" for n in ("n_a", "n_b", "n_groups", "n_links")]
     schema = (
-        f"chunk bigint, ids array<{kind}>, {', '.join(listed)}, digests array<string>, "
-        "ends array<bigint>, places array<int>, weights array<bigint>, codes array<bigint>, n_docs array<bigint>"
+        f"chunk bigint, id {kind}, {', '.join(f'{n} bigint' for n in FACTS)}, digest string, places array<int>, "
+        "weights array<bigint>, first bigint, codes array<bigint>, n_docs array<bigint>"
     )
     chunks = stored(rows.mapInArrow(_chunks(*files), schema), "aligned")
 
-    pairs = chunks.select("chunk", F.posexplode(F.arrays_zip("codes", "n_docs")).alias("at", "pair"))
-    pairs = pairs.select("chunk", "at", F.col("pair.codes").alias("code"), F.col("pair.n_docs").alias("n"))
+    # All joins are by shuffle: Spark does not count the pairs that a row is exploded into.
+    pairs = chunks.filter("first IS NOT NULL").select(
+        "chunk", "first", F.posexplode(F.arrays_zip("codes", "n_docs")).alias("i", "pair")
+    )
+    at = (F.col("first") + F.col("i")).alias("at")
+    pairs = pairs.select("chunk", at, F.col("pair.codes").alias("code"), F.col("pair.n_docs").alias("n"))
     counts = pairs.groupBy("code").agg(F.sum("n").alias("count"))
     # A window holds the pairs of one A id: as many as B has ids, at most.
     of_a = Window.partitionBy(F.shiftright("code", SHIFT))
     counts = counts.select(
         F.col("code").alias("counted"), "count", (F.col("count") == F.max("count").over(of_a)).cast("bigint").alias("best")
     )
-    met = pairs.join(counts, F.col("code") == F.col("counted")).groupBy(F.col("chunk").alias("met")).agg(
-        F.collect_list(F.struct("at", "count", "best")).alias("found")
+    met = pairs.join(counts.hint("merge"), F.col("code") == F.col("counted")).select("chunk", "at", "count", "best")
+    facts = chunks.filter("first IS NULL").select(
+        F.col("chunk").alias("own"), "id", *FACTS, "digest", "places", "weights"
     )
-    joined = chunks.drop("codes", "n_docs").join(met, F.col("chunk") == F.col("met"), "left")
-    none = F.array().cast("array<bigint>")
-    ready = joined.select(
-        "ids", "n_a", "n_b", "n_groups", "n_links", "digests", "ends", "places", "weights",
-        F.coalesce(F.col("found.at").cast("array<bigint>"), none).alias("at"),
-        F.coalesce("found.count", none).alias("count"),
-        F.coalesce("found.best", none).alias("best"),
-    )
-    return ready.mapInArrow(_finish, f"id {kind}, {RESULT}").withColumnRenamed("id", identity)
+    # A task holds one chunk at a time, whatever the number of chunks.
+    done = facts.groupBy("own").cogroup(met.groupBy("chunk")).applyInArrow(_finish, f"id {kind}, {RESULT}")
+    return done.withColumnRenamed("id", identity)

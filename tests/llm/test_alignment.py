@@ -7,12 +7,14 @@ from collections import Counter
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from talmir.llm import alignment
 from talmir.llm.common import table
 from talmir.llm.queries import BYTE_TOKENIZER, TOKENIZER
 from tests.conftest import TESTDATA
+from tests.plans import plan
 
 
 @pytest.fixture(scope="module")
@@ -98,6 +100,21 @@ def test_equals_plain_walk_on_documents_in_small_chunks(spark, libraries, monkey
     assert {r.doc_id: tuple(r[n] for n in NAMES) for r in found} == expected
 
 
+def test_rows_are_small_whatever_the_chunk(spark, libraries, monkeypatch):
+    """One chunk of all documents is stored in rows of a document or of some pairs, and nothing collects it."""
+    kept, store = [], alignment.stored
+    monkeypatch.setattr(alignment, "stored", lambda df, name: kept.append(store(df, name)) or kept[-1])
+    monkeypatch.setattr(alignment, "PAIRS", 500, raising=False)
+    texts = [" ".join(f"{w}{i}" for w in "one two three four five six".split()) * 9 for i in range(200)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").coalesce(1)
+    aligned = alignment.align_documents(docs, BYTE_TOKENIZER, TOKENIZER)
+    assert not [x for x in ("Broadcast", "collect_list") if x in plan(aligned)]
+    found = {r.doc_id: tuple(r[n] for n in NAMES) for r in aligned.collect()}
+    assert found == dict(enumerate(plain(libraries, texts)))
+    sizes = kept[0].agg(F.max(F.size("places")), F.max(F.size("codes")), F.count_distinct("chunk")).first()
+    assert sizes[0] <= 500 and sizes[1] <= 500 and sizes[2] == 1
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id string, text string")
     found = alignment.align_documents(docs, BYTE_TOKENIZER, TOKENIZER)
