@@ -145,3 +145,15 @@ def test_every_pair_that_reaches_the_threshold(spark):
             assert (name, 1.0, True) in [tuple(c) for c in row.contained]
     nothing = licenses.scan_licenses(df.filter("doc_id = 8"), every=True).first()
     assert [tuple(c) for c in nothing.contained] == [("mit", 0.8, False)] and nothing.matches == []
+
+
+def test_every_block_is_joined_whatever_is_returned(spark, monkeypatch):
+    """A template's needed words decide about the label, not about which blocks are compared."""
+    joined, join = [], licenses.containment_join
+    monkeypatch.setattr(licenses, "containment_join", lambda *a: joined.append(join(*a)) or joined[-1])
+    texts = ["Released under the Apache license", "Licensed under CC BY-NC 4.0.", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = licenses.scan_licenses(docs).collect()
+    pairs = {(r.label, r.containment, r.told) for r in joined[0].collect()}
+    assert pairs >= {pair for t in texts for pair in plain_pairs(t)} and ("mit", 0.8, False) in pairs
+    assert {r.doc_id: [m.label for m in r.matches] for r in found} == {0: [], 1: ["cc-by-nc-4.0"], 2: []}
